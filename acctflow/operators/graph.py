@@ -41,13 +41,14 @@ def _smallest_lower(edges: DataFrame) -> DataFrame:
 
 def large_star(edges: DataFrame) -> DataFrame:
     """Re-point every edge (u, v) to (u, m(v)), m(v) = min of v's closed
-    neighbourhood; u > v >= m(v) keeps the orientation."""
+    neighbourhood; u > v >= m(v) keeps the orientation.
+
+    Repeated edges are left in: the small-star step that always follows
+    aggregates them away and de-duplicates its own output, so a distinct here
+    would only add a shuffle.
+    """
     m = _smallest_lower(edges).withColumnRenamed("u", "v")
-    return (
-        edges.join(m, "v", "left")
-        .select("u", F.coalesce("m", "v").alias("v"))
-        .distinct()
-    )
+    return edges.join(m, "v", "left").select("u", F.coalesce("m", "v").alias("v"))
 
 
 def small_star(edges: DataFrame) -> DataFrame:
