@@ -1,12 +1,16 @@
 """Row-wise work on the five (name, score) feature pairs of a row.
 
-Everything is a higher-order SQL function over an in-row array, evaluated in
-the JVM inside the projection: no collect, no Python, no positional join.
+Everything is a column expression evaluated in the JVM inside the projection:
+no collect, no Python, no positional join. The hot paths are plain
+comparisons that compile into whole-stage codegen; the array form
+(``top_features``) uses lambda functions and is kept for callers who want the
+ranked array itself.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,8 +75,65 @@ def top_columns(k: int = 3) -> list[str]:
     return cols
 
 
-def with_top_features(df: DataFrame, k: int = 3, n: int = 5) -> DataFrame:
-    """Append ``Top{i}_Feature`` and ``top{i}_val`` for i = 1..k."""
+def with_top_features(
+    df: DataFrame,
+    k: int = 3,
+    n: int = 5,
+    name_fmt: str = "FEATURE{}",
+    score_fmt: str = "FEATURE{}_Score",
+) -> DataFrame:
+    """Append ``Top{i}_Feature`` and ``top{i}_val`` for i = 1..k.
+
+    Same result as ``top_features`` but written out as plain comparisons over
+    the n columns (n^2 of them), which compile into whole-stage codegen;
+    lambda functions over arrays are evaluated row by row outside it. For
+    each column i: it counts only if its name did not occur earlier; its
+    score is that of the last column with the same name; its rank is one
+    plus the number of counted columns that beat it (higher score, or equal
+    score and earlier column; null scores lose).
+    """
+    names = [F.col(name_fmt.format(i)) for i in range(1, n + 1)]
+    raw = [F.col(score_fmt.format(i)).cast("double") for i in range(1, n + 1)]
+    # Stage 1: per column, "first occurrence of its name" and its effective score.
+    stage1: dict[str, Column] = {}
+    for i in range(n):
+        stage1[f"__tf_first{i}"] = reduce(
+            lambda a, b: a & b, [~names[j].eqNullSafe(names[i]) for j in range(i)], F.lit(True)
+        )
+        expr = None
+        for j in range(n - 1, i, -1):
+            cond = names[j].eqNullSafe(names[i])
+            expr = F.when(cond, raw[j]) if expr is None else expr.when(cond, raw[j])
+        stage1[f"__tf_score{i}"] = raw[i] if expr is None else expr.otherwise(raw[i])
+    first = [F.col(f"__tf_first{i}") for i in range(n)]
+    score = [F.col(f"__tf_score{i}") for i in range(n)]
+    key = [F.coalesce(s, F.lit(NEG_INF)) for s in score]
+    # Stage 2: rank of each column among the counted ones.
+    stage2: dict[str, Column] = {}
+    for i in range(n):
+        beats = [
+            F.when(first[j] & ((key[j] > key[i]) | ((key[j] == key[i]) & F.lit(j < i))), 1).otherwise(0)
+            for j in range(n)
+            if j != i
+        ]
+        rank = sum(beats[1:], beats[0]) + 1 if beats else F.lit(1)
+        stage2[f"__tf_rank{i}"] = F.when(first[i], rank)
+    # Stage 3: the column holding each of the first k ranks.
+    added: dict[str, Column] = {}
+    for r in range(1, k + 1):
+        hit = [F.col(f"__tf_rank{i}") == r for i in range(n)]
+        name_expr = score_expr = None
+        for i in range(n):
+            name_expr = F.when(hit[i], names[i]) if name_expr is None else name_expr.when(hit[i], names[i])
+            score_expr = F.when(hit[i], score[i]) if score_expr is None else score_expr.when(hit[i], score[i])
+        added[f"Top{r}_Feature"] = name_expr
+        added[f"top{r}_val"] = score_expr
+    temps = [*stage1, *stage2]
+    return df.withColumns(stage1).withColumns(stage2).withColumns(added).drop(*temps)
+
+
+def with_top_features_array(df: DataFrame, k: int = 3, n: int = 5) -> DataFrame:
+    """``with_top_features`` through the array form (``top_features``)."""
     top = top_features(feature_array(n), k)
     added: dict[str, Column] = {}
     for i in range(k):
@@ -92,9 +153,10 @@ def with_top_values(
 
 
 def matching_names(value: Column, scores: Sequence[str]) -> Column:
-    """Names of the score columns whose value equals ``value``."""
-    tagged = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("score")) for c in scores])
-    return F.transform(F.filter(tagged, lambda t: t["score"] == value), lambda t: t["name"])
+    """Names of the score columns whose value equals ``value``, in column
+    order (R4). A CASE per column and ``array_compact`` to drop the misses:
+    no lambda, so it stays inside whole-stage codegen."""
+    return F.array_compact(F.array(*[F.when(F.col(c) == value, F.lit(c)) for c in scores]))
 
 
 def with_matching_names(

@@ -5,9 +5,9 @@ Mirrokni, Rastogi and Vassilvitskii, "Connected Components in MapReduce and
 Beyond" (SoCC 2014), as DataFrame jobs. Edges are kept oriented from the
 larger node id to the smaller one. Each step is a ``min`` aggregate (combined
 map-side, so a hub node costs one row per task) and one join that AQE's
-skew-join can split. The edge set is checkpointed to the cluster's
-checkpoint folder every round, so lineage stays short and a lost executor
-only costs the current round.
+skew-join can split. The edge set is written as Parquet to the cluster's
+checkpoint folder every round (the previous round's files are then deleted),
+so lineage stays short and a lost executor only costs the current round.
 
 The loop stops when the edges form stars around their smallest node: every
 source has one target and no target is also a source. That test is exact
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acctflow.operators.ranking import ordinal
-from acctflow.session import ensure_checkpoint_dir
+from acctflow.session import materialize, release
 
 MAX_ROUNDS = 200
 
@@ -76,10 +76,11 @@ def _not_star_count(edges: DataFrame) -> int:
 def component_roots(edges: DataFrame, src: str, dst: str) -> DataFrame:
     """(node, root) for every node that is not the smallest of its component;
     nodes absent here are their own root."""
-    ensure_checkpoint_dir(edges.sparkSession)
-    current = _orient(edges, src, dst).checkpoint(eager=True)
+    current = materialize(_orient(edges, src, dst), "cc-edges")
     for _ in range(MAX_ROUNDS):
-        current = small_star(large_star(current)).checkpoint(eager=True)
+        following = materialize(small_star(large_star(current)), "cc-edges")
+        release(current)
+        current = following
         if _not_star_count(current) == 0:
             return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
     raise RuntimeError(f"connected components did not converge in {MAX_ROUNDS} rounds")
@@ -103,8 +104,7 @@ def with_components(
     """
     # The rows are read three times below; pin them once instead of
     # recomputing whatever plan produced them.
-    ensure_checkpoint_dir(rows.sparkSession)
-    rows = rows.checkpoint(eager=True)
+    rows = materialize(rows, "cc-rows")
     roots = component_roots(rows, src, dst)
     # Smallest order value per component, from the two needed columns only.
     keyed = (

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from acctflow.session import ensure_checkpoint_dir
+from acctflow.session import materialize
 
 ColumnLike = str | Column
 
@@ -64,18 +64,16 @@ def ordinal(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """Number the rows 1..N in ``order`` (dense, gap-free) at any size.
 
     Range-partition and sort, stamp each row with its partition id and
-    in-partition position, checkpoint so both stay fixed, then add the count of
+    in-partition position, write them once so both stay fixed, then add the count of
     all earlier partitions. The offsets table has one row per partition, so its
     broadcast is bounded by the partition count, not by the data.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    ranged = (
+    ranged = materialize(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("__ord_pid", F.spark_partition_id())
-        .withColumn("__ord_pos", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
+        .withColumn("__ord_pos", F.monotonically_increasing_id()),
+        "ordinal",
     )
     before = Window.orderBy("__ord_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -8,8 +8,9 @@ cluster names in ``spark.checkpoint.dir`` and only invents one in local mode.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale. AQE re-plans joins and coalesces partitions
 # from runtime sizes; skew-join splits hot keys. Timestamps stay in UTC so
@@ -66,3 +67,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="acctflow-ckpt-")
     sc.setCheckpointDir(folder)
     return folder
+
+
+def materialize(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the checkpoint folder and read it back.
+
+    This cuts the lineage like ``checkpoint()``, but computes the plan a single
+    time (an eager reliable checkpoint runs it once to count and again to
+    write), stores it compressed and columnar, and gives later joins real
+    size statistics. The files live in the cluster's shared checkpoint folder,
+    so they survive the loss of any executor. Remove them with ``release``.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/acctflow/{tag}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    out = spark.read.parquet(path)
+    out._acctflow_path = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files behind a frame returned by ``materialize``."""
+    path = getattr(df, "_acctflow_path", None)
+    if path is None:
+        return
+    sc = df.sparkSession.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)

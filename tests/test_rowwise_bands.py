@@ -48,6 +48,8 @@ def test_top3_matches_brute_force(spark):
         rows.append(_row(ref, names, scores))
     df = spark.createDataFrame(rows, SCHEMA)
     got = {r.REF_ID: r for r in rowwise.with_top_features(df).collect()}
+    via_array = {r.REF_ID: r for r in rowwise.with_top_features_array(df).collect()}
+    assert got == via_array
     for row in rows:
         names, scores = list(row[1::2]), list(row[2::2])
         want = _python_top3(names, scores)
