@@ -81,9 +81,13 @@ def with_top_features(
     n: int = 5,
     name_fmt: str = "FEATURE{}",
     score_fmt: str = "FEATURE{}_Score",
+    value_type: str = "double",
 ) -> DataFrame:
     """Append ``Top{i}_Feature`` and ``top{i}_val`` for i = 1..k.
 
+    ``value_type`` casts the top values (e.g. "int", R5); they stay numbers,
+    never text.
+
     Same result as ``top_features`` but written out as plain comparisons over
     the n columns (n^2 of them), which compile into whole-stage codegen;
     lambda functions over arrays are evaluated row by row outside it. For
@@ -127,7 +131,7 @@ def with_top_features(
             name_expr = F.when(hit[i], names[i]) if name_expr is None else name_expr.when(hit[i], names[i])
             score_expr = F.when(hit[i], score[i]) if score_expr is None else score_expr.when(hit[i], score[i])
         added[f"Top{r}_Feature"] = name_expr
-        added[f"top{r}_val"] = score_expr
+        added[f"top{r}_val"] = score_expr if value_type == "double" else score_expr.cast(value_type)
     temps = [*stage1, *stage2]
     return df.withColumns(stage1).withColumns(stage2).withColumns(added).drop(*temps)
 

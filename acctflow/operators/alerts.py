@@ -3,8 +3,8 @@
 The reference uses whole-partition windows over ``Group``; a window puts a
 whole group into one task, and a graph component can hold a large share of
 all rows. Here each step is a combinable aggregate per group (one small row
-per group per task before the shuffle) joined back to the rows, which AQE's
-skew-join splits when a group is hot.
+per group per task before the shuffle) joined back to the rows with hot
+groups split over many tasks (``acctflow.operators.skew``).
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from acctflow.functions.columns import copy_when_present, keep_columns
 from acctflow.functions.rowwise import top_columns, with_top_features
 from acctflow.operators.filters import at_least
 from acctflow.operators.graph import with_components
+from acctflow.operators.skew import join_by_key
 
 
 def with_alert_key(
@@ -45,9 +46,10 @@ def with_alert_key(
                 s.isNotNull(),
                 F.struct((-s).alias("neg"), d.isNull().alias("nodate"), d.alias("d")),
             )
-        ).alias("__best")
+        ).alias("__best"),
+        F.count(F.lit(1)).alias("__n"),
     )
-    flagged = df.join(best, group, "left").withColumn(
+    flagged = join_by_key(df, best, [group], "__n", "left").withColumn(
         key,
         F.when((s == -F.col("__best.neg")) & (d == F.col("__best.d")), F.col(orig)),
     ).drop("__best")
@@ -69,12 +71,11 @@ def fill_from_keyed(
     With several keyed rows the one with the smallest ``order`` wins, so the
     result is deterministic; a group without a keyed row gets nulls.
     """
-    winner = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(group)
-        .agg(F.min(F.struct(*[F.col(c) for c in order], *[F.col(c).alias(f"__v{i}") for i, c in enumerate(columns)])).alias("__w"))
+    keyed = F.struct(*[F.col(c) for c in order], *[F.col(c).alias(f"__v{i}") for i, c in enumerate(columns)])
+    winner = df.groupBy(group).agg(
+        F.min(F.when(F.col(key).isNotNull(), keyed)).alias("__w"), F.count(F.lit(1)).alias("__n")
     )
-    joined = df.drop(*columns).join(winner, group, "left")
+    joined = join_by_key(df.drop(*columns), winner, [group], "__n", "left")
     filled = joined.withColumns({c: F.col(f"__w.__v{i}") for i, c in enumerate(columns)})
     return filled.select(*df.columns)
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acctflow.operators.ranking import ordinal
+from acctflow.operators.skew import join_by_key
 from acctflow.session import materialize, release
 
 MAX_ROUNDS = 200
@@ -34,28 +35,38 @@ def _orient(edges: DataFrame, src: str, dst: str) -> DataFrame:
     )
 
 
-def _smallest_lower(edges: DataFrame) -> DataFrame:
-    # For each node with a smaller neighbour: the smallest of them.
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
+def _lower_and_indegree(edges: DataFrame) -> DataFrame:
+    # Per node x: the smallest smaller neighbour (m) and how many edges point
+    # to x (its in-degree, the row count the large-star join sees for x).
+    vt = edges.schema["v"].dataType
+    roles = edges.select(
+        F.col("u").alias("x"), F.col("v").alias("lower"), F.lit(0).alias("indeg")
+    ).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(None).cast(vt).alias("lower"), F.lit(1).alias("indeg"))
+    )
+    return roles.groupBy("x").agg(F.min("lower").alias("m"), F.sum("indeg").alias("__n"))
 
 
 def large_star(edges: DataFrame) -> DataFrame:
     """Re-point every edge (u, v) to (u, m(v)), m(v) = min of v's closed
     neighbourhood; u > v >= m(v) keeps the orientation.
 
-    Repeated edges are left in: the small-star step that always follows
-    aggregates them away and de-duplicates its own output, so a distinct here
-    would only add a shuffle.
+    A star centre collects every edge of its component, so the join back is
+    skew-split on v. Repeated edges are left in: the small-star step that
+    always follows aggregates them away and de-duplicates its own output.
     """
-    m = _smallest_lower(edges).withColumnRenamed("u", "v")
-    return edges.join(m, "v", "left").select("u", F.coalesce("m", "v").alias("v"))
+    stats = _lower_and_indegree(edges).withColumnRenamed("x", "v")
+    joined = join_by_key(edges, stats, ["v"], "__n", "left")
+    return joined.select("u", F.coalesce("m", "v").alias("v"))
 
 
 def small_star(edges: DataFrame) -> DataFrame:
     """Connect u and all its smaller neighbours to the smallest of them."""
-    m = _smallest_lower(edges)
-    leaves = edges.join(m, "u").where(F.col("v") != F.col("m")).select(
-        F.col("v").alias("u"), F.col("m").alias("v")
+    m = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("__n"))
+    leaves = (
+        join_by_key(edges, m, ["u"], "__n", "inner")
+        .where(F.col("v") != F.col("m"))
+        .select(F.col("v").alias("u"), F.col("m").alias("v"))
     )
     centre = m.select("u", F.col("m").alias("v"))
     return leaves.unionByName(centre).distinct()
@@ -105,21 +116,24 @@ def with_components(
     # The rows are read three times below; pin them once instead of
     # recomputing whatever plan produced them.
     rows = materialize(rows, "cc-rows")
-    roots = component_roots(rows, src, dst)
-    # Smallest order value per component, from the two needed columns only.
-    keyed = (
-        rows.select(src, order_by)
-        .where(F.col(src).isNotNull())
-        .join(roots.withColumnRenamed("node", src), src, "left")
-        .select(F.coalesce(F.col("root"), F.col(src)).alias("__root"), order_by)
+    roots = component_roots(rows, src, dst).withColumnRenamed("node", src)
+    # One row per source node (its first order value and row count), so the
+    # root lookup joins node to node and never sees a hot key.
+    per_node = (
+        rows.where(F.col(src).isNotNull())
+        .groupBy(src)
+        .agg(F.min(order_by).alias("__first"), F.count(F.lit(1)).alias("__rows"))
+    )
+    node_root = per_node.join(roots, src, "left").select(
+        src, F.coalesce(F.col("root"), F.col(src)).alias("__root"), "__first", "__rows"
+    )
+    comps = node_root.groupBy("__root").agg(
+        F.min("__first").alias("__first"), F.count(F.lit(1)).alias("__nodes")
     )
-    comps = keyed.groupBy("__root").agg(F.min(order_by).alias("__first"))
     numbered = ordinal(comps, ["__first", "__root"], "__k").select(
-        "__root", F.concat(F.lit(prefix), F.col("__k").cast("string")).alias(name)
+        "__root", F.concat(F.lit(prefix), F.col("__k").cast("string")).alias(name), "__nodes"
     )
-    # node -> label for every node: non-root nodes through their root, roots
-    # (and edge-less nodes) directly. The rows then need one join.
-    labels = roots.join(numbered, roots.root == numbered.__root).select(
-        F.col("node").alias(src), name
-    ).unionByName(numbered.select(F.col("__root").alias(src), name))
-    return rows.join(labels, src, "left").select(*rows.columns, name)
+    # A big component gives its root many nodes, and a busy node many rows:
+    # both joins back are skew-split.
+    labels = join_by_key(node_root, numbered, ["__root"], "__nodes", "left").select(src, name, "__rows")
+    return join_by_key(rows, labels, [src], "__rows", "left")

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from acctflow.operators.skew import join_by_key
 from acctflow.session import materialize
 
 ColumnLike = str | Column
@@ -53,11 +54,14 @@ def arg_max_over(
 
     ``by`` may list several columns, compared in order, so ties can be broken
     deterministically. A ``max_by`` aggregate (combined map-side) joined back
-    on the keys, instead of a window that would hold a whole group in one task.
+    on the keys with hot keys split, instead of a window that would hold a
+    whole group in one task.
     """
     by_cols = [by] if isinstance(by, str) else list(by)
-    best = df.groupBy(*keys).agg(F.max_by(F.col(value), F.struct(*by_cols)).alias(name))
-    return df.join(best, list(keys), "left").select(*df.columns, name)
+    best = df.groupBy(*keys).agg(
+        F.max_by(F.col(value), F.struct(*by_cols)).alias(name), F.count(F.lit(1)).alias("__n")
+    )
+    return join_by_key(df, best, keys, "__n", "left")
 
 
 def ordinal(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:

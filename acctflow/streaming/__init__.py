@@ -1,0 +1,29 @@
+"""Streaming.
+
+The reference processes batch files only: it has no stream source, watermark,
+window or state, so this package adds no streaming operator of its own.
+
+What carries over unchanged: every row-level operator is a pure projection or
+filter, so it runs on a streaming DataFrame (``spark.readStream``) exactly as
+on a batch one: renames and date parsing (``functions.columns``), bank typing
+(``operators.bank.prepare``, ``of_type``, ``cheques``, ``in_range``), score
+filters and bands, and the in-row top features (``functions.rowwise``).
+Operators that aggregate, join back or iterate (totals, duplicates,
+components, alert keys) are batch jobs; run them per micro-batch with
+``foreachBatch`` if a stream feeds them.
+"""
+
+STATELESS_OPERATORS = (
+    "acctflow.functions.columns.rename_columns",
+    "acctflow.functions.columns.parse_dates",
+    "acctflow.functions.columns.parse_date",
+    "acctflow.functions.columns.add_transaction_type_amount",
+    "acctflow.operators.bank.prepare",
+    "acctflow.operators.bank.of_type",
+    "acctflow.operators.bank.cheques",
+    "acctflow.operators.bank.in_range",
+    "acctflow.operators.filters.at_least",
+    "acctflow.functions.bands.with_band",
+    "acctflow.functions.rowwise.with_top_features",
+    "acctflow.functions.rowwise.with_top_values",
+)

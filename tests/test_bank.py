@@ -66,3 +66,21 @@ def test_sql_form_matches_api(spark):
     assert bank.sql_of_type(spark, "DR").count() == 3
     # A quote in a bound parameter is data, not SQL.
     assert bank.sql_of_type(spark, "DR' OR '1'='1").count() == 0
+
+
+def test_typing_runs_on_a_stream(spark, tmp_out):
+    import os
+
+    src = os.path.join(tmp_out, "stream_in")
+    os.makedirs(src)
+    with open(os.path.join(src, "part1.csv"), "w") as fh:
+        fh.write("Account No,DATE,TRANSACTION DETAILS,CHQ NO,VALUE DATE,WITHDRAWAL AMT,DEPOSIT AMT,BALANCE AMT\n")
+        fh.write("A,01-02-2017,x,,01-02-2017,,100,0\nA,02-02-2017,x,7,02-02-2017,40,,0\n")
+    stream = spark.readStream.schema(BANK).option("header", True).csv(src)
+    debits = bank.of_type(bank.prepare(stream), "DR")
+    query = (debits.writeStream.format("memory").queryName("acctflow_debits")
+             .option("checkpointLocation", os.path.join(tmp_out, "stream_ckpt"))
+             .trigger(availableNow=True).start())
+    query.awaitTermination(120)
+    rows = spark.sql("SELECT Account_No, TransactionAmount FROM acctflow_debits").collect()
+    assert [(r.Account_No, r.TransactionAmount) for r in rows] == [("A", "40")]
