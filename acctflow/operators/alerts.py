@@ -9,18 +9,35 @@ groups split over many tasks (``acctflow.operators.skew``).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acctflow.functions.columns import copy_when_present, keep_columns
+from acctflow.functions.columns import keep_columns
 from acctflow.functions.rowwise import top_columns, with_top_features
 from acctflow.operators.filters import at_least
 from acctflow.operators.graph import with_components
 from acctflow.operators.skew import join_by_key
 
 
+def _winner_struct(score: str, date: str, order: Sequence[str], carry: Sequence[str]) -> Column:
+    """Orders rows so that the smallest is the group's keyed row: highest
+    score, then earliest date (a missing date last), then smallest ``order``;
+    rows without a score never qualify."""
+    s, d = F.col(score), F.col(date)
+    return F.when(
+        s.isNotNull(),
+        F.struct(
+            (-s).alias("neg"),
+            d.isNull().alias("nodate"),
+            d.alias("d"),
+            *[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)],
+            *[F.col(c).alias(f"__c{i}") for i, c in enumerate(carry)],
+        ),
+    )
+
+
 def with_alert_key(
     df: DataFrame,
     group: str = "Group",
@@ -30,33 +47,38 @@ def with_alert_key(
     key: str = "Alert_Key",
     fill: bool = False,
     order: Sequence[str] = ("REF_ID", "ORIG", "BENEF"),
+    carry: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """``key = orig`` on the rows of each group that have the group's highest
     score and, among those, the earliest date; null elsewhere (W1, W2).
 
     Ties on both score and date key several rows, as in the reference. Null
-    scores never win; null dates lose to any date among the top scores.
+    scores never win; a null date loses to any date among the top scores.
     With ``fill`` every row of a group gets the key of its keyed row with the
-    smallest ``order`` (W3 applied to the key itself).
+    smallest ``order`` (W3 applied to the key itself). ``carry`` maps new
+    column names to columns of that same keyed row, given to every row of the
+    group (P9 copies spread by W3); a group without a keyed row gets nulls.
+
+    One aggregate per group: the minimum of ``_winner_struct`` *is* the keyed
+    row that wins the fill, so the key, the fill and the carried values need
+    a single pass and a single join back (hot groups split).
     """
-    s, d = F.col(score), F.col(date)
+    carry = dict(carry or {})
+    sources = list(carry.values())
     best = df.groupBy(group).agg(
-        F.min(
-            F.when(
-                s.isNotNull(),
-                F.struct((-s).alias("neg"), d.isNull().alias("nodate"), d.alias("d")),
-            )
-        ).alias("__best"),
+        F.min(_winner_struct(score, date, [*order, orig], sources)).alias("__best"),
         F.count(F.lit(1)).alias("__n"),
     )
-    flagged = join_by_key(df, best, [group], "__n", "left").withColumn(
-        key,
-        F.when((s == -F.col("__best.neg")) & (d == F.col("__best.d")), F.col(orig)),
-    ).drop("__best")
-    out = flagged.select(*df.columns, key)
+    joined = join_by_key(df, best, [group], "__n", "left")
+    b = F.col("__best")
+    has_key = b["d"].isNotNull()
     if fill:
-        out = fill_from_keyed(out, [key], group, key, order)
-    return out
+        key_col = F.when(has_key, b[f"__o{len(order)}"])
+    else:
+        key_col = F.when((F.col(score) == -b["neg"]) & (F.col(date) == b["d"]), F.col(orig))
+    added = {key: key_col}
+    added.update({new: F.when(has_key, b[f"__c{i}"]) for i, new in enumerate(carry)})
+    return joined.withColumns(added).select(*df.columns, *added)
 
 
 def fill_from_keyed(
@@ -66,7 +88,8 @@ def fill_from_keyed(
     key: str = "Alert_Key",
     order: Sequence[str] = ("REF_ID", "ORIG", "BENEF"),
 ) -> DataFrame:
-    """Give every row of a group the ``columns`` of the group's keyed row.
+    """Give every row of a group the ``columns`` of the group's keyed row (W3),
+    for a key column computed elsewhere.
 
     With several keyed rows the one with the smallest ``order`` wins, so the
     result is deterministic; a group without a keyed row gets nulls.
@@ -108,17 +131,16 @@ def alert_report(
     fill_key: bool = False,
 ) -> DataFrame:
     """The payment-alert job (C3): score filter (F4) -> components (G1) ->
-    in-row top-3 features (R1) -> alert key (W1, W2) -> alert copies of the
-    keyed row's top features (P9), spread over the group (W3) -> the 20 report
+    in-row top-3 features (R1) -> alert key (W1, W2) -> the keyed row's top
+    features copied (P9) to every row of its group (W3) -> the 20 report
     columns. ``fill_key`` also spreads Alert_Key itself.
+
+    The key and all six alert columns come out of one aggregate per group and
+    one join back (see ``with_alert_key``).
     """
     kept = at_least(features, score_column, threshold)
     grouped = with_components(kept, "ORIG", "BENEF", order_by="REF_ID", name="Group")
     topped = with_top_features(grouped, 3)
-    keyed = with_alert_key(topped, fill=False)
-    copied = copy_when_present(keyed, ALERT_COPIES, "Alert_Key")
-    filled = fill_from_keyed(copied, list(ALERT_COPIES), "Group", "Alert_Key")
-    if fill_key:
-        filled = fill_from_keyed(filled, ["Alert_Key"], "Group", "Alert_Key")
     assert top_columns(3) == REPORT_COLUMNS[3:9]
-    return keep_columns(filled, REPORT_COLUMNS)
+    keyed = with_alert_key(topped, score=score_column, fill=fill_key, carry=ALERT_COPIES)
+    return keep_columns(keyed, REPORT_COLUMNS)

@@ -10,12 +10,14 @@ checkpoint folder every round (the previous round's files are then deleted),
 so lineage stays short and a lost executor only costs the current round.
 
 The loop stops when the edges form stars around their smallest node: every
-source has one target and no target is also a source. That test is exact
-and reaches the driver as one number per round.
+source has one target and no target is also a source. That test is exact,
+reads the node statistics the round needs anyway, and reaches the driver as
+one number per round.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,19 +37,32 @@ def _orient(edges: DataFrame, src: str, dst: str) -> DataFrame:
     )
 
 
-def _lower_and_indegree(edges: DataFrame) -> DataFrame:
-    # Per node x: the smallest smaller neighbour (m) and how many edges point
-    # to x (its in-degree, the row count the large-star join sees for x).
+def node_stats(edges: DataFrame) -> DataFrame:
+    """Per node x: ``m`` = its smallest smaller neighbour, ``__n`` = how many
+    edges point to x (the rows the large-star join sees for x) and ``out`` =
+    how many edges leave x. One combinable aggregate."""
     vt = edges.schema["v"].dataType
     roles = edges.select(
-        F.col("u").alias("x"), F.col("v").alias("lower"), F.lit(0).alias("indeg")
+        F.col("u").alias("x"), F.col("v").alias("lower"), F.lit(0).alias("indeg"), F.lit(1).alias("outdeg")
     ).unionByName(
-        edges.select(F.col("v").alias("x"), F.lit(None).cast(vt).alias("lower"), F.lit(1).alias("indeg"))
+        edges.select(
+            F.col("v").alias("x"), F.lit(None).cast(vt).alias("lower"), F.lit(1).alias("indeg"),
+            F.lit(0).alias("outdeg"),
+        )
     )
-    return roles.groupBy("x").agg(F.min("lower").alias("m"), F.sum("indeg").alias("__n"))
+    return roles.groupBy("x").agg(
+        F.min("lower").alias("m"), F.sum("indeg").alias("__n"), F.sum("outdeg").alias("out")
+    )
+
+
+def is_star_forest(stats: DataFrame) -> bool:
+    """Every node has at most one edge out, and a node with an edge out has
+    none in: each component is a star around its smallest node."""
+    bad = stats.where((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("__n") > 0)))
+    return bad.limit(1).count() == 0
 
 
-def large_star(edges: DataFrame) -> DataFrame:
+def large_star(edges: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Re-point every edge (u, v) to (u, m(v)), m(v) = min of v's closed
     neighbourhood; u > v >= m(v) keeps the orientation.
 
@@ -55,8 +70,9 @@ def large_star(edges: DataFrame) -> DataFrame:
     skew-split on v. Repeated edges are left in: the small-star step that
     always follows aggregates them away and de-duplicates its own output.
     """
-    stats = _lower_and_indegree(edges).withColumnRenamed("x", "v")
-    joined = join_by_key(edges, stats, ["v"], "__n", "left")
+    stats = node_stats(edges) if stats is None else stats
+    per_v = stats.select(F.col("x").alias("v"), "m", "__n")
+    joined = join_by_key(edges, per_v, ["v"], "__n", "left")
     return joined.select("u", F.coalesce("m", "v").alias("v"))
 
 
@@ -72,28 +88,29 @@ def small_star(edges: DataFrame) -> DataFrame:
     return leaves.unionByName(centre).distinct()
 
 
-def _not_star_count(edges: DataFrame) -> int:
-    roles = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("inn")).unionByName(
-        edges.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("inn"))
-    )
-    bad = (
-        roles.groupBy("node")
-        .agg(F.sum("out").alias("out"), F.max("inn").alias("inn"))
-        .where((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("inn") > 0)))
-    )
-    return bad.limit(1).count()
-
-
 def component_roots(edges: DataFrame, src: str, dst: str) -> DataFrame:
     """(node, root) for every node that is not the smallest of its component;
-    nodes absent here are their own root."""
+    nodes absent here are their own root.
+
+    Per round: the node stats of the current edges are computed once (kept
+    for the round) and serve both the convergence test and the large-star
+    step; the large-star output, read three times by small-star, is kept for
+    the round too; the small-star output is written and becomes the next
+    round's input. Kept data that an executor loses is recomputed from the
+    written input of the round.
+    """
     current = materialize(_orient(edges, src, dst), "cc-edges")
     for _ in range(MAX_ROUNDS):
-        following = materialize(small_star(large_star(current)), "cc-edges")
+        stats = node_stats(current).persist(StorageLevel.MEMORY_AND_DISK)
+        if is_star_forest(stats):
+            stats.unpersist()
+            return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        large = large_star(current, stats).persist(StorageLevel.MEMORY_AND_DISK)
+        following = materialize(small_star(large), "cc-edges")
+        large.unpersist()
+        stats.unpersist()
         release(current)
         current = following
-        if _not_star_count(current) == 0:
-            return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
     raise RuntimeError(f"connected components did not converge in {MAX_ROUNDS} rounds")
 
 
@@ -136,4 +153,6 @@ def with_components(
     # A big component gives its root many nodes, and a busy node many rows:
     # both joins back are skew-split.
     labels = join_by_key(node_root, numbered, ["__root"], "__nodes", "left").select(src, name, "__rows")
-    return join_by_key(rows, labels, [src], "__rows", "left")
+    # Written once: callers join per-group summaries back to these rows,
+    # each of which would otherwise re-run the label joins.
+    return materialize(join_by_key(rows, labels, [src], "__rows", "left"), "cc-labelled")

@@ -48,15 +48,22 @@ def join_by_key(
     keys = list(keys)
     threshold = HOT_ROWS if hot_rows is None else hot_rows
     n = F.col(count_col)
+    payload = [c for c in per_key.columns if c not in keys and c != count_col]
+    salts = F.least(F.ceil(n / F.lit(threshold)), F.lit(MAX_SALT)).cast("int")
+    # Always true, but it reads the payload columns: the hot list then comes
+    # from the very same aggregate as the payload side, and Spark reuses that
+    # shuffle instead of running a second, count-only aggregate.
+    same_aggregate = (
+        F.xxhash64(*[F.col(c) for c in payload]) >= F.lit(-(2**63)) if payload else F.lit(True)
+    )
     hot = (
-        per_key.where(n >= threshold)
+        per_key.where((n >= threshold) & same_aggregate)
         .orderBy(n.desc())
         .limit(MAX_HOT_KEYS)
-        .select(*keys, F.least(F.ceil(n / F.lit(threshold)), F.lit(MAX_SALT)).cast("int").alias("__salts"))
+        .select(*keys, salts.alias("__salts"))
     )
-    hot_b = F.broadcast(hot)
     salted_rows = (
-        rows.join(hot_b, keys, "left")
+        rows.join(F.broadcast(hot), keys, "left")
         .withColumn(
             "__salt",
             F.when(F.col("__salts").isNull(), F.lit(0)).otherwise(
@@ -65,15 +72,9 @@ def join_by_key(
         )
         .drop("__salts")
     )
-    copies = F.when(F.col("__salts").isNull(), F.array(F.lit(0))).otherwise(
-        F.sequence(F.lit(0), F.col("__salts") - 1)
-    )
-    salted_keys = (
-        per_key.drop(count_col)
-        .join(hot_b, keys, "left")
-        .withColumn("__salt", F.explode(copies))
-        .drop("__salts")
-    )
-    payload = [c for c in per_key.columns if c not in keys and c != count_col]
+    # Every key over the threshold gets one summary copy per salt (a superset
+    # of the salts its rows can carry), so this side needs no hot list.
+    copies = F.when(n >= threshold, salts).otherwise(F.lit(1))
+    salted_keys = per_key.withColumn("__salt", F.explode(F.sequence(F.lit(0), copies - 1))).drop(count_col)
     joined = salted_rows.join(salted_keys, [*keys, "__salt"], how)
     return joined.select(*rows.columns, *payload)

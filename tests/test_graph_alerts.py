@@ -136,3 +136,11 @@ def test_alert_report(spark):
         "HighRisk", "Lease", "Credit")
     filled = alerts.alert_report(spark.createDataFrame(rows, FEATURE_SCHEMA), "TOTAL_Score", 15, fill_key=True)
     assert {r.REF_ID: r.Alert_Key for r in filled.collect()} == {1: "C", 2: "C", 3: "C", 4: "E"}
+
+
+def test_copy_when_present(spark):
+    from acctflow.functions.columns import copy_when_present
+
+    df = spark.createDataFrame([(1, "k", "x", 2.0), (2, None, "y", 3.0)], "id int, Alert_Key string, f string, v double")
+    out = copy_when_present(df, {"alert_f": "f", "alert_v": "v"})
+    assert sorted((r.id, r.alert_f, r.alert_v) for r in out.collect()) == [(1, "x", 2.0), (2, None, None)]
