@@ -261,6 +261,10 @@ def _sql() -> dict[str, str]:
         "txn_duplicates_sql": duplicates,
         "txn_debits_sql": debits,
         "row_top3": _with(PAY, *top3_ctes("pay", "top")) + f"SELECT REF_ID, ORIG, BENEF, {top3_cols} FROM top",
+        "row_top3_int": _with(PAY, *top3_ctes("pay", "top"))
+        + "SELECT REF_ID, ORIG, BENEF, Top1_Feature, CAST(top1_val AS INTEGER) AS top1_val, "
+        + "Top2_Feature, CAST(top2_val AS INTEGER) AS top2_val, "
+        + "Top3_Feature, CAST(top3_val AS INTEGER) AS top3_val FROM top",
         "row_topk_values": _with(PAY)
         + f"SELECT REF_ID, ORIG, BENEF, {sorted_scores}[1] AS top1_val, {sorted_scores}[2] AS top2_val, "
         + f"{sorted_scores}[3] AS top3_val FROM pay",

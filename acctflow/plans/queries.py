@@ -154,6 +154,12 @@ def row_top3(spark, d):
     )
 
 
+def row_top3_int(spark, d):
+    return rowwise.with_top_features(tm.payments(spark, d), 3, value_type="int").select(
+        "REF_ID", "ORIG", "BENEF", *rowwise.top_columns(3)
+    )
+
+
 def row_topk_values(spark, d):
     return rowwise.with_top_values(tm.payments(spark, d), 3).select(
         "REF_ID", "ORIG", "BENEF", "top1_val", "top2_val", "top3_val"
@@ -246,6 +252,7 @@ QUERIES: dict[str, Query] = {
     "txn_duplicates_sql": txn_duplicates_sql,
     "txn_debits_sql": txn_debits_sql,
     "row_top3": row_top3,
+    "row_top3_int": row_top3_int,
     "row_topk_values": row_topk_values,
     "features_long": features_long,
     "columns_matching": columns_matching,
