@@ -104,7 +104,9 @@ def component_roots(edges: DataFrame, src: str, dst: str) -> DataFrame:
         stats = node_stats(current).persist(StorageLevel.MEMORY_AND_DISK)
         if is_star_forest(stats):
             stats.unpersist()
-            return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            roots = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            roots._acctflow_path = current._acctflow_path  # released by the caller
+            return roots
         large = large_star(current, stats).persist(StorageLevel.MEMORY_AND_DISK)
         following = materialize(small_star(large), "cc-edges")
         large.unpersist()
@@ -133,7 +135,8 @@ def with_components(
     # The rows are read three times below; pin them once instead of
     # recomputing whatever plan produced them.
     rows = materialize(rows, "cc-rows")
-    roots = component_roots(rows, src, dst).withColumnRenamed("node", src)
+    root_files = component_roots(rows, src, dst)
+    roots = root_files.withColumnRenamed("node", src)
     # One row per source node (its first order value and row count), so the
     # root lookup joins node to node and never sees a hot key.
     per_node = (
@@ -147,12 +150,17 @@ def with_components(
     comps = node_root.groupBy("__root").agg(
         F.min("__first").alias("__first"), F.count(F.lit(1)).alias("__nodes")
     )
-    numbered = ordinal(comps, ["__first", "__root"], "__k").select(
+    ordinal_files = ordinal(comps, ["__first", "__root"], "__k")
+    numbered = ordinal_files.select(
         "__root", F.concat(F.lit(prefix), F.col("__k").cast("string")).alias(name), "__nodes"
     )
     # A big component gives its root many nodes, and a busy node many rows:
     # both joins back are skew-split.
     labels = join_by_key(node_root, numbered, ["__root"], "__nodes", "left").select(src, name, "__rows")
     # Written once: callers join per-group summaries back to these rows,
-    # each of which would otherwise re-run the label joins.
-    return materialize(join_by_key(rows, labels, [src], "__rows", "left"), "cc-labelled")
+    # each of which would otherwise re-run the label joins. Once written,
+    # nothing reads the intermediate files any more.
+    labelled = materialize(join_by_key(rows, labels, [src], "__rows", "left"), "cc-labelled")
+    for scratch in (rows, root_files, ordinal_files):
+        release(scratch)
+    return labelled

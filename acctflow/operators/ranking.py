@@ -86,8 +86,10 @@ def ordinal(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
         .withColumn("__ord_before", F.coalesce(F.sum("__ord_n").over(before), F.lit(0)))
         .select("__ord_pid", "__ord_first", "__ord_before")
     )
-    return (
+    out = (
         ranged.join(F.broadcast(offsets), "__ord_pid")
         .withColumn(name, F.col("__ord_before") + F.col("__ord_pos") - F.col("__ord_first") + F.lit(1))
         .drop("__ord_pid", "__ord_pos", "__ord_first", "__ord_before")
     )
+    out._acctflow_path = ranged._acctflow_path  # its files, for session.release
+    return out
