@@ -123,6 +123,7 @@ def with_components(
     order_by: str = "REF_ID",
     name: str = "Group",
     prefix: str = "G",
+    trim: bool = False,
 ) -> DataFrame:
     """Label each row with ``G<k>``, the component of its ``src`` node.
 
@@ -130,8 +131,13 @@ def with_components(
     rows (then by their smallest node), i.e. in order of first appearance when
     rows are read in ``order_by`` order. A row whose ``dst`` is null still
     puts ``src`` in the graph as a node without edges; a null ``src`` gets a
-    null label. Node values are compared exactly (no trimming).
+    null label. Node values are compared exactly unless ``trim``, which
+    drops surrounding spaces from node values first (the rows keep theirs).
     """
+    if trim:
+        work = rows.withColumns({"__tsrc": F.trim(F.col(src)), "__tdst": F.trim(F.col(dst))})
+        out = with_components(work, "__tsrc", "__tdst", order_by, name, prefix)
+        return out.drop("__tsrc", "__tdst")
     # The rows are read three times below; pin them once instead of
     # recomputing whatever plan produced them.
     rows = materialize(rows, "cc-rows")
