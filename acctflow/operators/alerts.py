@@ -69,7 +69,8 @@ def with_alert_key(
         F.min(_winner_struct(score, date, [*order, orig], sources)).alias("__best"),
         F.count(F.lit(1)).alias("__n"),
     )
-    joined = join_by_key(df, best, [group], "__n", "left")
+    row_id = list(dict.fromkeys([*order, orig]))
+    joined = join_by_key(df, best, [group], "__n", "left", salt_by=row_id)
     b = F.col("__best")
     has_key = b["d"].isNotNull()
     if fill:
@@ -98,7 +99,7 @@ def fill_from_keyed(
     winner = df.groupBy(group).agg(
         F.min(F.when(F.col(key).isNotNull(), keyed)).alias("__w"), F.count(F.lit(1)).alias("__n")
     )
-    joined = join_by_key(df.drop(*columns), winner, [group], "__n", "left")
+    joined = join_by_key(df.drop(*columns), winner, [group], "__n", "left", salt_by=list(order))
     filled = joined.withColumns({c: F.col(f"__w.__v{i}") for i, c in enumerate(columns)})
     return filled.select(*df.columns)
 

@@ -36,12 +36,15 @@ def join_by_key(
     count_col: str,
     how: str = "left",
     hot_rows: int | None = None,
+    salt_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """``rows`` joined to ``per_key`` (one row per key, ``count_col`` = how
     many of ``rows`` have that key) on ``keys``; ``count_col`` is dropped.
 
     ``how`` is "left" or "inner". The result has the columns of ``rows`` then
-    those of ``per_key``.
+    those of ``per_key``. The salt of a hot row is a hash of ``salt_by``
+    (default: every column of ``rows``); naming a row id there keeps the other
+    columns prunable when a later projection does not need them.
     """
     if how not in ("left", "inner"):
         raise ValueError("join_by_key supports left and inner joins")
@@ -67,7 +70,7 @@ def join_by_key(
         .withColumn(
             "__salt",
             F.when(F.col("__salts").isNull(), F.lit(0)).otherwise(
-                F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.col("__salts")).cast("int")
+                F.pmod(F.xxhash64(*[F.col(c) for c in (salt_by or rows.columns)]), F.col("__salts")).cast("int")
             ),
         )
         .drop("__salts")
