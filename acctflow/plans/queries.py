@@ -216,7 +216,9 @@ def alert_keys_filled(spark, d):
 
 def group_best_orig(spark, d):
     df = _alert_input(spark, d)
-    return ranking.arg_max_over(df, ["Group"], "ORIG", ["TOTAL_Score", "ORIG", "BENEF"], "best_orig").select(
+    return ranking.arg_max_over(
+        df, ["Group"], "ORIG", ["TOTAL_Score", "ORIG", "BENEF"], "best_orig", row_id=["REF_ID", "ORIG", "BENEF"]
+    ).select(
         "REF_ID", "ORIG", "BENEF", "Group", "best_orig"
     )
 
