@@ -72,3 +72,16 @@ def test_jobs_write_outputs(spark, tmp_out):
     assert io.read_table(spark, os.path.join(tmp_out, "Credit_Transaction"), "parquet").count() == 1
     assert io.read_table(spark, os.path.join(tmp_out, "Debit_Transaction"), "parquet").count() == 1
     assert res["Totals"].collect()[0].Total_Withdraw == 40.0
+
+
+def test_materialize_and_release(spark):
+    from acctflow.session import ensure_checkpoint_dir, materialize, release
+
+    base = ensure_checkpoint_dir(spark)
+    df = materialize(spark.range(10), "probe")
+    path = df._acctflow_path
+    assert path.startswith(base.rstrip("/"))
+    local = path.replace("file:", "")
+    assert os.path.isdir(local) and df.count() == 10
+    release(df)
+    assert not os.path.exists(local)
