@@ -144,3 +144,14 @@ def test_copy_when_present(spark):
     df = spark.createDataFrame([(1, "k", "x", 2.0), (2, None, "y", 3.0)], "id int, Alert_Key string, f string, v double")
     out = copy_when_present(df, {"alert_f": "f", "alert_v": "v"})
     assert sorted((r.id, r.alert_f, r.alert_v) for r in out.collect()) == [(1, "x", 2.0), (2, None, None)]
+
+
+def test_components_trim_option(spark):
+    rows = [(1, " Ann", "Bo"), (2, "Ann", " Cy"), (3, "Cy ", "Dee"), (4, "Eve", " Fay")]
+    df = spark.createDataFrame(rows, EDGE_SCHEMA)
+    untrimmed = {r.REF_ID: r.Group for r in graph.with_components(df).collect()}
+    trimmed = {r.REF_ID: r.Group for r in graph.with_components(df, trim=True).collect()}
+    assert untrimmed == {1: "G1", 2: "G2", 3: "G3", 4: "G4"}
+    assert trimmed == {1: "G1", 2: "G1", 3: "G1", 4: "G2"}
+    # the rows keep their own spelling
+    assert sorted(r.ORIG for r in graph.with_components(df, trim=True).collect()) == [" Ann", "Ann", "Cy ", "Eve"]
