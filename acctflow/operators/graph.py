@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acctflow.operators.ranking import ordinal
-from acctflow.operators.skew import join_by_key
+from acctflow.operators.skew import hot_keys, join_by_key
 from acctflow.session import materialize, release
 
 MAX_ROUNDS = 200
@@ -62,7 +62,9 @@ def is_star_forest(stats: DataFrame) -> bool:
     return bad.limit(1).count() == 0
 
 
-def large_star(edges: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+def large_star(
+    edges: DataFrame, stats: DataFrame | None = None, hot: list[tuple] | None = None
+) -> DataFrame:
     """Re-point every edge (u, v) to (u, m(v)), m(v) = min of v's closed
     neighbourhood; u > v >= m(v) keeps the orientation.
 
@@ -72,15 +74,15 @@ def large_star(edges: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """
     stats = node_stats(edges) if stats is None else stats
     per_v = stats.select(F.col("x").alias("v"), "m", "__n")
-    joined = join_by_key(edges, per_v, ["v"], "__n", "left")
+    joined = join_by_key(edges, per_v, ["v"], "__n", "left", hot=hot)
     return joined.select("u", F.coalesce("m", "v").alias("v"))
 
 
-def small_star(edges: DataFrame) -> DataFrame:
+def small_star(edges: DataFrame, hot: list[tuple] | None = None) -> DataFrame:
     """Connect u and all its smaller neighbours to the smallest of them."""
     m = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("__n"))
     leaves = (
-        join_by_key(edges, m, ["u"], "__n", "inner")
+        join_by_key(edges, m, ["u"], "__n", "inner", hot=hot)
         .where(F.col("v") != F.col("m"))
         .select(F.col("v").alias("u"), F.col("m").alias("v"))
     )
@@ -93,8 +95,9 @@ def component_roots(edges: DataFrame, src: str, dst: str) -> DataFrame:
     nodes absent here are their own root.
 
     Per round: the node stats of the current edges are computed once (kept
-    for the round) and serve both the convergence test and the large-star
-    step; the large-star output, read three times by small-star, is kept for
+    for the round) and serve the convergence test, the large-star step and
+    both joins' hot-key lists (at most ``MAX_HOT_KEYS`` keys each reach the
+    driver; with none, the joins are plain); the large-star output, read three times by small-star, is kept for
     the round too; the small-star output is written and becomes the next
     round's input. Kept data that an executor loses is recomputed from the
     written input of the round.
@@ -107,8 +110,13 @@ def component_roots(edges: DataFrame, src: str, dst: str) -> DataFrame:
             roots = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
             roots._acctflow_path = current._acctflow_path  # released by the caller
             return roots
-        large = large_star(current, stats).persist(StorageLevel.MEMORY_AND_DISK)
-        following = materialize(small_star(large), "cc-edges")
+        # Both joins' hot keys, from the cached stats in one small job each:
+        # large-star joins on v (in-degree); small-star on u, whose edge
+        # count large-star leaves unchanged (out-degree).
+        hot_in = hot_keys(stats.select(F.col("x").alias("v"), "__n"), ["v"], "__n")
+        hot_out = hot_keys(stats.select(F.col("x").alias("u"), F.col("out").alias("__n")), ["u"], "__n")
+        large = large_star(current, stats, hot_in).persist(StorageLevel.MEMORY_AND_DISK)
+        following = materialize(small_star(large, hot_out), "cc-edges")
         large.unpersist()
         stats.unpersist()
         release(current)

@@ -22,6 +22,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 # Tunables, read at call time so tests can lower them.
 HOT_ROWS = 2_000_000
@@ -29,6 +30,27 @@ MAX_HOT_KEYS = 1000
 MAX_SALT = 256
 
 
+def _salts(n, threshold: int):
+    return F.least(F.ceil(n / F.lit(threshold)), F.lit(MAX_SALT)).cast("int")
+
+
+def hot_keys(
+    per_key: DataFrame, keys: Sequence[str], count_col: str, hot_rows: int | None = None
+) -> list[tuple]:
+    """The heaviest keys with at least ``HOT_ROWS`` rows, as (*key, salts)
+    tuples on the driver: at most ``MAX_HOT_KEYS`` of them, whatever the data.
+    Meant for a ``per_key`` that is cached or cheap to read."""
+    threshold = HOT_ROWS if hot_rows is None else hot_rows
+    n = F.col(count_col)
+    top = (
+        per_key.where(n >= threshold)
+        .orderBy(n.desc())
+        .limit(MAX_HOT_KEYS)
+        .select(*keys, _salts(n, threshold).alias("__salts"))
+    )
+    return [tuple(r) for r in top.collect()]
+
+
 def join_by_key(
     rows: DataFrame,
     per_key: DataFrame,
@@ -37,6 +59,7 @@ def join_by_key(
     how: str = "left",
     hot_rows: int | None = None,
     salt_by: Sequence[str] | None = None,
+    hot: list[tuple] | None = None,
 ) -> DataFrame:
     """``rows`` joined to ``per_key`` (one row per key, ``count_col`` = how
     many of ``rows`` have that key) on ``keys``; ``count_col`` is dropped.
@@ -45,28 +68,49 @@ def join_by_key(
     those of ``per_key``. The salt of a hot row is a hash of ``salt_by``
     (default: every column of ``rows``); naming a row id there keeps the other
     columns prunable when a later projection does not need them.
+
+    ``hot`` is the hot-key list from ``hot_keys`` when the caller has measured
+    it already (an empty list gives a plain join that keeps the aggregate's
+    partitioning). Without it the hot keys are found inside the same plan.
     """
     if how not in ("left", "inner"):
         raise ValueError("join_by_key supports left and inner joins")
     keys = list(keys)
+    payload = [c for c in per_key.columns if c not in keys and c != count_col]
+    if hot is not None and not hot:
+        return rows.join(per_key.drop(count_col), keys, how).select(*rows.columns, *payload)
     threshold = HOT_ROWS if hot_rows is None else hot_rows
     n = F.col(count_col)
-    payload = [c for c in per_key.columns if c not in keys and c != count_col]
-    salts = F.least(F.ceil(n / F.lit(threshold)), F.lit(MAX_SALT)).cast("int")
-    # Always true, but it reads the payload columns: the hot list then comes
-    # from the very same aggregate as the payload side, and Spark reuses that
-    # shuffle instead of running a second, count-only aggregate.
-    same_aggregate = (
-        F.xxhash64(*[F.col(c) for c in payload]) >= F.lit(-(2**63)) if payload else F.lit(True)
-    )
-    hot = (
-        per_key.where((n >= threshold) & same_aggregate)
-        .orderBy(n.desc())
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, salts.alias("__salts"))
-    )
+    if hot is None:
+        # Always true, but it reads the payload columns: the hot list then
+        # comes from the very same aggregate as the payload side, and Spark
+        # reuses that shuffle instead of running a second, count-only one.
+        same_aggregate = (
+            F.xxhash64(*[F.col(c) for c in payload]) >= F.lit(-(2**63)) if payload else F.lit(True)
+        )
+        hot_df = (
+            per_key.where((n >= threshold) & same_aggregate)
+            .orderBy(n.desc())
+            .limit(MAX_HOT_KEYS)
+            .select(*keys, _salts(n, threshold).alias("__salts"))
+        )
+        # Every key over the threshold gets one summary copy per salt (a
+        # superset of the salts its rows can carry): no hot list needed here.
+        copies = F.when(n >= threshold, _salts(n, threshold)).otherwise(F.lit(1))
+        salted_keys = per_key.withColumn("__salt", F.explode(F.sequence(F.lit(0), copies - 1)))
+    else:
+        key_fields = [per_key.schema[k] for k in keys]
+        schema = StructType([*key_fields, StructField("__salts", IntegerType(), False)])
+        hot_df = rows.sparkSession.createDataFrame(hot, schema)
+        copies = F.coalesce(F.col("__salts"), F.lit(1))
+        salted_keys = (
+            per_key.join(F.broadcast(hot_df), keys, "left")
+            .withColumn("__salt", F.explode(F.sequence(F.lit(0), copies - 1)))
+            .drop("__salts")
+        )
+    hot_b = F.broadcast(hot_df)
     salted_rows = (
-        rows.join(F.broadcast(hot), keys, "left")
+        rows.join(hot_b, keys, "left")
         .withColumn(
             "__salt",
             F.when(F.col("__salts").isNull(), F.lit(0)).otherwise(
@@ -75,9 +119,5 @@ def join_by_key(
         )
         .drop("__salts")
     )
-    # Every key over the threshold gets one summary copy per salt (a superset
-    # of the salts its rows can carry), so this side needs no hot list.
-    copies = F.when(n >= threshold, salts).otherwise(F.lit(1))
-    salted_keys = per_key.withColumn("__salt", F.explode(F.sequence(F.lit(0), copies - 1))).drop(count_col)
-    joined = salted_rows.join(salted_keys, [*keys, "__salt"], how)
+    joined = salted_rows.join(salted_keys.drop(count_col), [*keys, "__salt"], how)
     return joined.select(*rows.columns, *payload)

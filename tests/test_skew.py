@@ -19,6 +19,12 @@ def test_join_by_key_splits_hot_keys(spark, monkeypatch):
     split = skew.join_by_key(rows, per_key, ["k"], "__n", "left", hot_rows=100)
     assert split.columns == ["k", "id", "total"]
     assert sorted(map(tuple, split.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    listed = skew.hot_keys(per_key, ["k"], "__n", hot_rows=100)
+    assert [k for k, _ in listed] == ["hot"]
+    measured = skew.join_by_key(rows, per_key, ["k"], "__n", "left", hot_rows=100, hot=listed)
+    assert sorted(map(tuple, measured.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    none_hot = skew.join_by_key(rows, per_key, ["k"], "__n", "left", hot=[])
+    assert none_hot.count() == 3001
     inner = skew.join_by_key(rows, per_key, ["k"], "__n", "inner", hot_rows=100)
     assert inner.count() == 3000
     with pytest.raises(ValueError):
