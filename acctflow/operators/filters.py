@@ -49,11 +49,15 @@ def value_and_range(
     start,
     end,
 ) -> DataFrame:
-    """Equality plus an inclusive range (F6). Date-typed ranges get date bounds."""
+    """Equality plus an inclusive range (F6). A DATE column gets date bounds;
+    a text column is compared as text, with date bounds written as ISO text
+    (no implicit cast of the column, which would fail on malformed values)."""
     rc = F.col(range_column)
     dtype = dict(df.dtypes).get(range_column, "")
     if dtype == "date":
         lo, hi = _as_date(start), _as_date(end)
+    elif dtype == "string":
+        lo, hi = (F.lit(v.isoformat() if isinstance(v, dt.date) else str(v)) for v in (start, end))
     else:
         lo, hi = F.lit(start), F.lit(end)
     return df.filter((F.col(column) == F.lit(value)) & rc.between(lo, hi))

@@ -127,3 +127,16 @@ def test_top_units_and_region_range(spark):
     got = sales.region_orders_in_range(df, "Asia", dt.date(2011, 1, 1), dt.date(2015, 12, 31)).collect()
     assert [(r.Order_Date, r.Units_Sold) for r in got] == [
         (dt.date(2011, 2, 5), 5210.0), (dt.date(2011, 9, 5), 4187.0)]
+
+
+def test_value_and_range_on_text_dates(spark):
+    from acctflow.operators.filters import value_and_range
+
+    df = spark.createDataFrame(
+        [("Asia", "2011-02-05"), ("Asia", "junk"), ("Asia", "2016-01-01"), ("Europe", "2012-01-01")],
+        "Region string, Order_Date string",
+    )
+    got = value_and_range(df, "Region", "Asia", "Order_Date", dt.date(2011, 1, 1), dt.date(2015, 12, 31))
+    assert [r.Order_Date for r in got.collect()] == ["2011-02-05"]
+    same = value_and_range(df, "Region", "Asia", "Order_Date", "2011-01-01", "2015-12-31")
+    assert same.count() == 1
