@@ -30,9 +30,22 @@ def _as_date(value: dt.date | str):
     return F.to_date(F.lit(value))
 
 
+def _bounds(df: DataFrame, column: str, start, end):
+    """Range bounds matching the column: dates for a DATE column, ISO text
+    for a text column (no implicit cast of the column, which would fail on
+    malformed values), the values as given otherwise."""
+    dtype = dict(df.dtypes).get(column, "")
+    if dtype == "date":
+        return _as_date(start), _as_date(end)
+    if dtype == "string":
+        return tuple(F.lit(v.isoformat() if isinstance(v, dt.date) else str(v)) for v in (start, end))
+    return F.lit(start), F.lit(end)
+
+
 def date_between(df: DataFrame, column: str, start: dt.date | str, end: dt.date | str) -> DataFrame:
-    """Inclusive date range (F3). Bounds are typed dates, never pasted text."""
-    return df.filter(F.col(column).between(_as_date(start), _as_date(end)))
+    """Inclusive date range (F3). Bounds are typed values, never pasted text."""
+    lo, hi = _bounds(df, column, start, end)
+    return df.filter(F.col(column).between(lo, hi))
 
 
 def at_least(df: DataFrame, column: str, threshold) -> DataFrame:
@@ -52,12 +65,5 @@ def value_and_range(
     """Equality plus an inclusive range (F6). A DATE column gets date bounds;
     a text column is compared as text, with date bounds written as ISO text
     (no implicit cast of the column, which would fail on malformed values)."""
-    rc = F.col(range_column)
-    dtype = dict(df.dtypes).get(range_column, "")
-    if dtype == "date":
-        lo, hi = _as_date(start), _as_date(end)
-    elif dtype == "string":
-        lo, hi = (F.lit(v.isoformat() if isinstance(v, dt.date) else str(v)) for v in (start, end))
-    else:
-        lo, hi = F.lit(start), F.lit(end)
-    return df.filter((F.col(column) == F.lit(value)) & rc.between(lo, hi))
+    lo, hi = _bounds(df, range_column, start, end)
+    return df.filter((F.col(column) == F.lit(value)) & F.col(range_column).between(lo, hi))
