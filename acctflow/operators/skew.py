@@ -11,9 +11,11 @@ same aggregate). Keys with at least ``HOT_ROWS`` rows, at most
 its size is bounded by ``MAX_HOT_KEYS`` whatever the data. Rows of a hot key
 get a salt from a hash of the whole row, so a retried task puts every row in
 the same bucket again; the hot key's summary row is copied once per salt.
-The join then runs on (key, salt), one shuffle, and a hot key is spread over
-up to ``MAX_SALT`` tasks instead of one. Cold keys have salt 0 and join as
-before.
+A key gets ceil(rows / ``HOT_ROWS``) salts, so each (key, salt) bucket holds
+about ``HOT_ROWS`` rows however big the key is: a key with a third of 10^12
+rows becomes ~170 000 buckets of ~2 million rows, at the price of ~170 000
+copies of one summary row. The join then runs on (key, salt), one shuffle.
+Cold keys have salt 0 and join as before.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 # Tunables, read at call time so tests can lower them.
 HOT_ROWS = 2_000_000
 MAX_HOT_KEYS = 1000
-MAX_SALT = 256
+MAX_SALT = 1 << 20
 
 
 def _salts(n, threshold: int):
