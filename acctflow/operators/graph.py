@@ -170,7 +170,12 @@ def with_components(
     )
     # A big component gives its root many nodes, and a busy node many rows:
     # both joins back are skew-split.
-    labels = join_by_key(node_root, numbered, ["__root"], "__nodes", "left").select(src, name, "__rows")
+    # The numbered components are on disk already, so their hot list is one
+    # small read.
+    hot_roots = hot_keys(numbered, ["__root"], "__nodes")
+    labels = join_by_key(node_root, numbered, ["__root"], "__nodes", "left", hot=hot_roots).select(
+        src, name, "__rows"
+    )
     # Written once: callers join per-group summaries back to these rows,
     # each of which would otherwise re-run the label joins. Once written,
     # nothing reads the intermediate files any more.
