@@ -46,21 +46,32 @@ def build_session(
     return spark
 
 
+def _context(spark: SparkSession):
+    # None for a Spark Connect session, which has no SparkContext.
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only in local mode.
 
     A cluster must name a shared folder in ``spark.checkpoint.dir``; a
     machine-local temp folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
+        if sc is not None:
+            sc.setCheckpointDir(configured)
         return configured
-    if not sc.master.startswith("local"):
+    if sc is None or not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; name a shared folder for it"
         )
@@ -90,8 +101,8 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
 def release(df: DataFrame) -> None:
     """Delete the files behind a frame returned by ``materialize``."""
     path = getattr(df, "_acctflow_path", None)
-    if path is None:
-        return
-    sc = df.sparkSession.sparkContext
+    sc = _context(df.sparkSession)
+    if path is None or sc is None:
+        return  # without a JVM handle (Spark Connect) the files stay
     folder = sc._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
