@@ -155,3 +155,21 @@ def test_components_trim_option(spark):
     assert trimmed == {1: "G1", 2: "G1", 3: "G1", 4: "G2"}
     # the rows keep their own spelling
     assert sorted(r.ORIG for r in graph.with_components(df, trim=True).collect()) == [" Ann", "Ann", "Cy ", "Eve"]
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_node = st.one_of(st.none(), st.sampled_from([f"x{i:02d}" for i in range(25)]))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(_node, _node), min_size=1, max_size=40))
+def test_components_property(spark, pairs):
+    rows = [(i * 7 + 1, a, b) for i, (a, b) in enumerate(pairs)]
+    out = graph.with_components(spark.createDataFrame(rows, EDGE_SCHEMA))
+    labels, find = _python_labels(rows)
+    got = {r.REF_ID: r.Group for r in out.collect()}
+    assert len(got) == len(rows)
+    for ref, a, _b in rows:
+        assert got[ref] == (None if a is None else labels[find(a)])
