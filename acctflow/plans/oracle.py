@@ -260,6 +260,9 @@ def _sql() -> dict[str, str]:
         "txn_totals_sql": totals,
         "txn_duplicates_sql": duplicates,
         "txn_debits_sql": debits,
+        "txn_range_sql": _with(TYPED) + typed_range,
+        "txn_cheques_sql": _with(TYPED) + "SELECT * FROM typed WHERE CHQ_NO IS NOT NULL",
+        "txn_single_sql": _with(TYPED) + single,
         "row_top3": _with(PAY, *top3_ctes("pay", "top")) + f"SELECT REF_ID, ORIG, BENEF, {top3_cols} FROM top",
         "row_top3_int": _with(PAY, *top3_ctes("pay", "top"))
         + "SELECT REF_ID, ORIG, BENEF, Top1_Feature, CAST(top1_val AS INTEGER) AS top1_val, "

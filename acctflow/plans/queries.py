@@ -141,6 +141,18 @@ def txn_duplicates_sql(spark, d):
     return _sql_views(spark, d)["bank_duplicate_count"]
 
 
+def txn_range_sql(spark, d):
+    return _sql_views(spark, d)["bank_date_range"]
+
+
+def txn_cheques_sql(spark, d):
+    return _sql_views(spark, d)["bank_chq_trn"]
+
+
+def txn_single_sql(spark, d):
+    return _sql_views(spark, d)["bank_unique_trn"]
+
+
 def txn_debits_sql(spark, d):
     _sql_views(spark, d)
     return bank.sql_of_type(spark, "DR")
@@ -253,6 +265,9 @@ QUERIES: dict[str, Query] = {
     "txn_totals_sql": txn_totals_sql,
     "txn_duplicates_sql": txn_duplicates_sql,
     "txn_debits_sql": txn_debits_sql,
+    "txn_range_sql": txn_range_sql,
+    "txn_cheques_sql": txn_cheques_sql,
+    "txn_single_sql": txn_single_sql,
     "row_top3": row_top3,
     "row_top3_int": row_top3_int,
     "row_topk_values": row_topk_values,
