@@ -1,0 +1,90 @@
+"""Straggler demo for operators.skew.join_by_key (a tool, not a registered query).
+
+SKEW_DEMO_ROWS synthetic rows (default 12 000 000), one key holding a third
+of them, a per-key summary of 100 001 keys joined back to the rows.
+Broadcasting is switched off, as it would be at scale where the summary is
+far too big to broadcast. Runs a plain join and join_by_key with an event log
+in a fresh scratch folder, then prints, for each shuffle-reading stage, the
+largest and median task input (rows) and task time.
+"""
+
+from __future__ import annotations
+
+import collections
+import glob
+import io
+import json
+import os
+import sys
+import tempfile
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def _stage_stats(log_dir: str) -> list[tuple]:
+    import zstandard
+
+    group_of, tasks = {}, collections.defaultdict(list)
+    for path in sorted(glob.glob(os.path.join(log_dir, "*", "events_*"))):
+        with open(path, "rb") as fh:
+            raw = zstandard.ZstdDecompressor().stream_reader(fh) if path.endswith(".zstd") else fh
+            for line in io.TextIOWrapper(raw, encoding="utf-8"):
+                event = json.loads(line)
+                kind = event["Event"]
+                if kind == "SparkListenerJobStart":
+                    group = event.get("Properties", {}).get("spark.jobGroup.id")
+                    for stage in event["Stage IDs"]:
+                        group_of[stage] = group
+                elif kind == "SparkListenerTaskEnd":
+                    metrics = event.get("Task Metrics") or {}
+                    read = metrics.get("Shuffle Read Metrics", {}).get("Total Records Read", 0)
+                    info = event["Task Info"]
+                    tasks[event["Stage ID"]].append((read, info["Finish Time"] - info["Launch Time"]))
+    out = []
+    for stage, items in sorted(tasks.items()):
+        reads = sorted(r for r, _ in items)
+        times = sorted(t for _, t in items)
+        if reads[-1] > 1000:
+            out.append((group_of.get(stage), stage, len(items), reads[-1], reads[len(reads) // 2],
+                        times[-1], times[len(times) // 2]))
+    return out
+
+
+def main() -> None:
+    from pyspark.sql import functions as F
+
+    from acctflow.operators import skew
+    from acctflow.session import build_session
+
+    log_dir = tempfile.mkdtemp(prefix="acctflow-skew-demo-")
+    n = int(os.environ.get("SKEW_DEMO_ROWS", "12000000"))
+    spark = build_session(extra={
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.eventLog.enabled": "true",
+        "spark.eventLog.dir": log_dir,
+    })
+    rows = spark.range(0, n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+        .otherwise(F.concat(F.lit("k"), (F.col("id") % 100_000).cast("string"))).alias("k"),
+        F.col("id"),
+        (F.col("id") * 7 % 1000).alias("v"),
+    )
+    per_key = rows.groupBy("k").agg(F.sum("v").alias("total"), F.count(F.lit(1)).alias("__n"))
+    runs = {
+        "plain join": rows.join(per_key.drop("__n"), "k", "left"),
+        "join_by_key": skew.join_by_key(rows, per_key, ["k"], "__n", "left", hot_rows=n // 60),
+    }
+    sc = spark.sparkContext
+    for label, df in runs.items():
+        sc.setJobGroup(label, label)
+        df.write.format("noop").mode("overwrite").save()
+    spark.stop()
+    print(f"{n} rows, one key with {n // 3}; stages reading shuffled rows:")
+    for group, stage, ntasks, max_r, med_r, max_t, med_t in _stage_stats(log_dir):
+        print(f"  {group:12s} stage {stage:3d}: {ntasks} tasks, rows max {max_r} / median {med_r}, "
+              f"ms max {max_t} / median {med_t}")
+
+
+if __name__ == "__main__":
+    main()
