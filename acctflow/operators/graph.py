@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acctflow.operators.ranking import ordinal
+from acctflow.operators import skew
 from acctflow.operators.skew import hot_keys, join_by_key
 from acctflow.session import materialize, release
 
@@ -55,11 +56,27 @@ def node_stats(edges: DataFrame) -> DataFrame:
     )
 
 
+def _not_star():
+    return (F.col("out") > 1) | ((F.col("out") > 0) & (F.col("__n") > 0))
+
+
 def is_star_forest(stats: DataFrame) -> bool:
     """Every node has at most one edge out, and a node with an edge out has
     none in: each component is a star around its smallest node."""
-    bad = stats.where((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("__n") > 0)))
-    return bad.limit(1).count() == 0
+    return stats.where(_not_star()).limit(1).count() == 0
+
+
+def round_summary(stats: DataFrame) -> tuple[bool, int, int]:
+    """One global aggregate over the node stats: (star forest?, nodes whose
+    in-degree is hot, nodes whose out-degree is hot). Three numbers reach the
+    driver."""
+    threshold = skew.HOT_ROWS
+    row = stats.agg(
+        F.max(F.when(_not_star(), 1).otherwise(0)).alias("bad"),
+        F.sum(F.when(F.col("__n") >= threshold, 1).otherwise(0)).alias("hot_in"),
+        F.sum(F.when(F.col("out") >= threshold, 1).otherwise(0)).alias("hot_out"),
+    ).collect()[0]
+    return (row.bad or 0) == 0, row.hot_in or 0, row.hot_out or 0
 
 
 def large_star(
@@ -95,9 +112,10 @@ def component_roots(edges: DataFrame, src: str, dst: str) -> DataFrame:
     nodes absent here are their own root.
 
     Per round: the node stats of the current edges are computed once (kept
-    for the round) and serve the convergence test, the large-star step and
-    both joins' hot-key lists (at most ``MAX_HOT_KEYS`` keys each reach the
-    driver; with none, the joins are plain); the large-star output, read three times by small-star, is kept for
+    for the round); one global aggregate over them answers the convergence
+    test and counts the hot keys of both joins; only when some are hot are
+    their lists collected (at most ``MAX_HOT_KEYS`` keys each), and with none
+    the joins are plain; the large-star output, read three times by small-star, is kept for
     the round too; the small-star output is written and becomes the next
     round's input. Kept data that an executor loses is recomputed from the
     written input of the round.
@@ -105,7 +123,8 @@ def component_roots(edges: DataFrame, src: str, dst: str) -> DataFrame:
     current = materialize(_orient(edges, src, dst), "cc-edges")
     for _ in range(MAX_ROUNDS):
         stats = node_stats(current).persist(StorageLevel.MEMORY_AND_DISK)
-        if is_star_forest(stats):
+        star, n_hot_in, n_hot_out = round_summary(stats)
+        if star:
             stats.unpersist()
             roots = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
             roots._acctflow_path = current._acctflow_path  # released by the caller
@@ -113,8 +132,12 @@ def component_roots(edges: DataFrame, src: str, dst: str) -> DataFrame:
         # Both joins' hot keys, from the cached stats in one small job each:
         # large-star joins on v (in-degree); small-star on u, whose edge
         # count large-star leaves unchanged (out-degree).
-        hot_in = hot_keys(stats.select(F.col("x").alias("v"), "__n"), ["v"], "__n")
-        hot_out = hot_keys(stats.select(F.col("x").alias("u"), F.col("out").alias("__n")), ["u"], "__n")
+        hot_in = hot_keys(stats.select(F.col("x").alias("v"), "__n"), ["v"], "__n") if n_hot_in else []
+        hot_out = (
+            hot_keys(stats.select(F.col("x").alias("u"), F.col("out").alias("__n")), ["u"], "__n")
+            if n_hot_out
+            else []
+        )
         large = large_star(current, stats, hot_in).persist(StorageLevel.MEMORY_AND_DISK)
         following = materialize(small_star(large, hot_out), "cc-edges")
         large.unpersist()
