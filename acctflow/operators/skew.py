@@ -16,6 +16,10 @@ about ``HOT_ROWS`` rows however big the key is: a key with a third of 10^12
 rows becomes ~170 000 buckets of ~2 million rows, at the price of ~170 000
 copies of one summary row. The join then runs on (key, salt), one shuffle.
 Cold keys have salt 0 and join as before.
+
+Two ways to get the hot list: inside the same plan (default; the aggregate's
+shuffle is shared), or measured beforehand with ``hot_keys`` when the
+per-key table is cached or on disk; a measured empty list gives a plain join.
 """
 
 from __future__ import annotations
