@@ -29,11 +29,20 @@ from acctflow.session import materialize, release
 MAX_ROUNDS = 200
 
 
+def _key(col: F.Column) -> F.Column:
+    # Nodes are ordered by a hash first: a fixed but scrambled order, so
+    # that no side of a structured graph (all hubs larger than all leaves,
+    # say) makes a whole star step idle. Ties fall back to the node itself,
+    # so the order is total and two keys are equal only for equal nodes.
+    return F.struct(F.xxhash64(col).alias("h"), col.alias("n"))
+
+
 def _orient(edges: DataFrame, src: str, dst: str) -> DataFrame:
     a, b = F.col(src), F.col(dst)
+    ka, kb = _key(a), _key(b)
     return (
         edges.where(a.isNotNull() & b.isNotNull() & (a != b))
-        .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+        .select(F.greatest(ka, kb).alias("u"), F.least(ka, kb).alias("v"))
         .distinct()
     )
 
@@ -108,8 +117,9 @@ def small_star(edges: DataFrame, hot: list[tuple] | None = None) -> DataFrame:
 
 
 def component_roots(edges: DataFrame, src: str, dst: str) -> DataFrame:
-    """(node, root) for every node that is not the smallest of its component;
-    nodes absent here are their own root.
+    """(node, root) for every node that is not the root of its component (the
+    component's smallest node in hash order); nodes absent here are their own
+    root.
 
     Per round: the node stats of the current edges are computed once (kept
     for the round); one global aggregate over them answers the convergence
@@ -126,7 +136,7 @@ def component_roots(edges: DataFrame, src: str, dst: str) -> DataFrame:
         star, n_hot_in, n_hot_out = round_summary(stats)
         if star:
             stats.unpersist()
-            roots = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            roots = current.select(F.col("u.n").alias("node"), F.col("v.n").alias("root"))
             roots._acctflow_path = current._acctflow_path  # released by the caller
             return roots
         # Both joins' hot keys, from the cached stats in one small job each:
@@ -159,8 +169,8 @@ def with_components(
     """Label each row with ``G<k>``, the component of its ``src`` node.
 
     Components are numbered 1, 2, ... by the smallest ``order_by`` among their
-    rows (then by their smallest node), i.e. in order of first appearance when
-    rows are read in ``order_by`` order. A row whose ``dst`` is null still
+    rows (then by their smallest ``src`` node), i.e. in order of first
+    appearance when rows are read in ``order_by`` order. A row whose ``dst`` is null still
     puts ``src`` in the graph as a node without edges; a null ``src`` gets a
     null label. Node values are compared exactly unless ``trim``, which
     drops surrounding spaces from node values first (the rows keep theirs).
@@ -185,9 +195,11 @@ def with_components(
         src, F.coalesce(F.col("root"), F.col(src)).alias("__root"), "__first", "__rows"
     )
     comps = node_root.groupBy("__root").agg(
-        F.min("__first").alias("__first"), F.count(F.lit(1)).alias("__nodes")
+        F.min("__first").alias("__first"),
+        F.min(src).alias("__first_node"),
+        F.count(F.lit(1)).alias("__nodes"),
     )
-    ordinal_files = ordinal(comps, ["__first", "__root"], "__k")
+    ordinal_files = ordinal(comps, ["__first", "__first_node"], "__k")
     numbered = ordinal_files.select(
         "__root", F.concat(F.lit(prefix), F.col("__k").cast("string")).alias(name), "__nodes"
     )

@@ -69,7 +69,8 @@ def _with(*ctes: str) -> str:
 def components_ctes(src: str, out: str) -> list[str]:
     """CTEs labelling every row of ``src`` (REF_ID, ORIG, BENEF, ...) with its
     component ``G<k>`` in relation ``out``: min-label propagation to a fixed
-    point, then components numbered by their smallest REF_ID (then root)."""
+    point, then components numbered by their smallest REF_ID (then smallest
+    ORIG)."""
     return [
         f"""{out}_edges AS (
   SELECT ORIG AS a, BENEF AS b FROM {src} WHERE ORIG IS NOT NULL AND BENEF IS NOT NULL AND ORIG <> BENEF
@@ -86,8 +87,9 @@ def components_ctes(src: str, out: str) -> list[str]:
   SELECT s.*, CASE WHEN s.ORIG IS NOT NULL THEN lab.l END AS __root
   FROM {src} s LEFT JOIN {out}_lab lab ON s.ORIG = lab.n)""",
         f"""{out}_num AS (
-  SELECT __root, 'G' || CAST(row_number() OVER (ORDER BY first_ref, __root) AS VARCHAR) AS "Group"
-  FROM (SELECT __root, min(REF_ID) AS first_ref FROM {out}_rows WHERE __root IS NOT NULL GROUP BY __root) c)""",
+  SELECT __root, 'G' || CAST(row_number() OVER (ORDER BY first_ref, first_node) AS VARCHAR) AS "Group"
+  FROM (SELECT __root, min(REF_ID) AS first_ref, min(ORIG) AS first_node
+        FROM {out}_rows WHERE __root IS NOT NULL GROUP BY __root) c)""",
         f"""{out} AS (
   SELECT r.* EXCLUDE (__root), n."Group" FROM {out}_rows r LEFT JOIN {out}_num n USING (__root))""",
     ]
