@@ -170,9 +170,9 @@ def with_components(
 
     Components are numbered 1, 2, ... by the smallest ``order_by`` among their
     rows (then by their smallest ``src`` node), i.e. in order of first
-    appearance when rows are read in ``order_by`` order. A row whose ``dst`` is null still
-    puts ``src`` in the graph as a node without edges; a null ``src`` gets a
-    null label. Node values are compared exactly unless ``trim``, which
+    appearance when rows are read in ``order_by`` order. A row whose ``dst``
+    is null still puts ``src`` in the graph as a node without edges; a null
+    ``src`` gets a null label. Node values are compared exactly unless ``trim``, which
     drops surrounding spaces from node values first (the rows keep theirs).
     """
     if trim:
@@ -191,8 +191,10 @@ def with_components(
         .groupBy(src)
         .agg(F.min(order_by).alias("__first"), F.count(F.lit(1)).alias("__rows"))
     )
-    node_root = per_node.join(roots, src, "left").select(
-        src, F.coalesce(F.col("root"), F.col(src)).alias("__root"), "__first", "__rows"
+    node_root = (
+        per_node.join(roots, src, "left")
+        .select(src, F.coalesce(F.col("root"), F.col(src)).alias("__root"), "__first", "__rows")
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
     comps = node_root.groupBy("__root").agg(
         F.min("__first").alias("__first"),
@@ -204,17 +206,19 @@ def with_components(
         "__root", F.concat(F.lit(prefix), F.col("__k").cast("string")).alias(name), "__nodes"
     )
     # A big component gives its root many nodes, and a busy node many rows:
-    # both joins back are skew-split.
-    # The numbered components are on disk already, so their hot list is one
-    # small read.
+    # both joins back are skew-split. Their hot lists are measured on data
+    # already at hand (the numbered components on disk, the kept per-node
+    # table), so when nothing is hot they are plain joins.
     hot_roots = hot_keys(numbered, ["__root"], "__nodes")
+    hot_nodes = hot_keys(node_root, [src], "__rows")
     labels = join_by_key(node_root, numbered, ["__root"], "__nodes", "left", hot=hot_roots).select(
         src, name, "__rows"
     )
     # Written once: callers join per-group summaries back to these rows,
     # each of which would otherwise re-run the label joins. Once written,
     # nothing reads the intermediate files any more.
-    labelled = materialize(join_by_key(rows, labels, [src], "__rows", "left"), "cc-labelled")
+    labelled = materialize(join_by_key(rows, labels, [src], "__rows", "left", hot=hot_nodes), "cc-labelled")
+    node_root.unpersist()
     for scratch in (rows, root_files, ordinal_files):
         release(scratch)
     return labelled
