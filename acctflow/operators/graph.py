@@ -9,10 +9,11 @@ skew-join can split. The edge set is written as Parquet to the cluster's
 checkpoint folder every round (the previous round's files are then deleted),
 so lineage stays short and a lost executor only costs the current round.
 
-The loop stops when the edges form stars around their smallest node: every
-source has one target and no target is also a source. That test is exact,
+The loop stops when the edges form stars around their smallest node (in the
+hash order of ``_key``): every source has one target and no target is also a
+source. That test is exact,
 reads the node statistics the round needs anyway, and reaches the driver as
-one number per round.
+three numbers per round.
 """
 
 from __future__ import annotations
