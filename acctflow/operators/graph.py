@@ -131,12 +131,18 @@ def component_roots(edges: DataFrame, src: str, dst: str) -> DataFrame:
     round's input. Kept data that an executor loses is recomputed from the
     written input of the round.
     """
-    current = materialize(_orient(edges, src, dst), "cc-edges")
+    # The oriented edges are one distinct over rows the caller has on disk:
+    # kept in memory (and spilled) for the first round rather than written.
+    current = _orient(edges, src, dst).persist(StorageLevel.MEMORY_AND_DISK)
     for _ in range(MAX_ROUNDS):
         stats = node_stats(current).persist(StorageLevel.MEMORY_AND_DISK)
         star, n_hot_in, n_hot_out = round_summary(stats)
         if star:
             stats.unpersist()
+            if getattr(current, "_acctflow_path", None) is None:
+                written = materialize(current, "cc-edges")
+                current.unpersist()
+                current = written
             roots = current.select(F.col("u.n").alias("node"), F.col("v.n").alias("root"))
             roots._acctflow_path = current._acctflow_path  # released by the caller
             return roots
@@ -153,7 +159,10 @@ def component_roots(edges: DataFrame, src: str, dst: str) -> DataFrame:
         following = materialize(small_star(large, hot_out), "cc-edges")
         large.unpersist()
         stats.unpersist()
-        release(current)
+        if getattr(current, "_acctflow_path", None) is None:
+            current.unpersist()
+        else:
+            release(current)
         current = following
     raise RuntimeError(f"connected components did not converge in {MAX_ROUNDS} rounds")
 
