@@ -173,3 +173,21 @@ def test_components_property(spark, pairs):
     assert len(got) == len(rows)
     for ref, a, _b in rows:
         assert got[ref] == (None if a is None else labels[find(a)])
+
+
+def test_customer_feature_job_writes_sorted_report(spark, tmp_out):
+    import os
+
+    from acctflow.plans import jobs
+
+    rows = [
+        _feat(7, "A", "B", [5, 4, 3, 2, 1], 17, 5),
+        _feat(3, "B", "C", [1, 2, 3, 4, 5], 21, 9),
+        _feat(5, "X", "Y", [1, 1, 1, 1, 1], 10, 1),
+    ]
+    out = jobs.customer_feature_job(spark.createDataFrame(rows, FEATURE_SCHEMA), tmp_out, threshold=15)
+    report = out["AlertReport"]
+    assert [r.REF_ID for r in report.collect()] == [3, 7]
+    written = spark.read.parquet(os.path.join(tmp_out, "AlertReport"))
+    assert written.columns == alerts.REPORT_COLUMNS
+    assert written.count() == 2
