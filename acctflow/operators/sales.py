@@ -20,7 +20,9 @@ def money_sum(column: str, decimals: int | None) -> F.Column:
     """
     if decimals is None:
         return F.sum(column)
-    return F.sum(F.col(column).cast(f"decimal(15,{decimals})")).cast(f"decimal(18,{decimals})")
+    # Values as decimal(15, d); the total as decimal(38, d), room for any
+    # realistic sum (10^36) where decimal(18, d) would overflow near 10^16.
+    return F.sum(F.col(column).cast(f"decimal(15,{decimals})")).cast(f"decimal(38,{decimals})")
 
 
 def revenue_by_region(

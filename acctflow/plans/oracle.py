@@ -243,7 +243,7 @@ def _sql() -> dict[str, str]:
         + "SELECT * FROM customers c WHERE NOT EXISTS "
         + "(SELECT 1 FROM accounts a WHERE a.customerId = c.customerId)",
         "revenue_by_region": _with(SALES)
-        + "SELECT Region, CAST(sum(CAST(Total_Revenue AS DECIMAL(15,2))) AS DECIMAL(18,2)) AS Total_Revenue "
+        + "SELECT Region, CAST(sum(CAST(Total_Revenue AS DECIMAL(15,2))) AS DECIMAL(38,2)) AS Total_Revenue "
         + "FROM sales GROUP BY Region",
         "top_units": _with(SALES)
         + f"SELECT * FROM sales WHERE Item_Type = '{q.ITEM_TYPE}' "

@@ -117,7 +117,7 @@ def test_revenue_by_region(spark):
     out = sales.revenue_by_region(_sales(spark))
     assert sorted(map(tuple, out.collect())) == [("Asia", 172.75), ("Europe", 11.0)]
     exact = sales.revenue_by_region(_sales(spark), decimals=2)
-    assert dict(exact.dtypes)["Total_Revenue"] == "decimal(18,2)"
+    assert dict(exact.dtypes)["Total_Revenue"] == "decimal(38,2)"
 
 
 def test_top_units_and_region_range(spark):
