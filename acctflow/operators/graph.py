@@ -5,9 +5,10 @@ Mirrokni, Rastogi and Vassilvitskii, "Connected Components in MapReduce and
 Beyond" (SoCC 2014), as DataFrame jobs. Edges are kept oriented from the
 larger node id to the smaller one. Each step is a ``min`` aggregate (combined
 map-side, so a hub node costs one row per task) and one join that AQE's
-skew-join can split. The edge set is written as Parquet to the cluster's
-checkpoint folder every round (the previous round's files are then deleted),
-so lineage stays short and a lost executor only costs the current round.
+skew-join can split. Every second round the edge set is written as Parquet
+to the cluster's checkpoint folder (the previous written round is then
+deleted), so lineage stays short and a lost executor costs at most the
+rounds since the last write.
 
 The loop stops when the edges form stars around their smallest node (in the
 hash order of ``_key``): every source has one target and no target is also a
@@ -28,6 +29,7 @@ from acctflow.operators.skew import hot_keys, join_by_key
 from acctflow.session import materialize, release
 
 MAX_ROUNDS = 200
+WRITE_EVERY = 2
 
 
 def _key(col: F.Column) -> F.Column:
@@ -117,6 +119,13 @@ def small_star(edges: DataFrame, hot: list[tuple] | None = None) -> DataFrame:
     return leaves.unionByName(centre).distinct()
 
 
+def _free(kept: list[DataFrame], anchor: DataFrame | None) -> None:
+    for frame in kept:
+        frame.unpersist()
+    if anchor is not None:
+        release(anchor)
+
+
 def component_roots(edges: DataFrame, src: str, dst: str) -> DataFrame:
     """(node, root) for every node that is not the root of its component (the
     component's smallest node in hash order); nodes absent here are their own
@@ -126,29 +135,31 @@ def component_roots(edges: DataFrame, src: str, dst: str) -> DataFrame:
     for the round); one global aggregate over them answers the convergence
     test and counts the hot keys of both joins; only when some are hot are
     their lists collected (at most ``MAX_HOT_KEYS`` keys each), and with none
-    the joins are plain; the large-star output, read three times by small-star, is kept for
-    the round too; the small-star output is written and becomes the next
-    round's input. Kept data that an executor loses is recomputed from the
-    written input of the round.
+    the joins are plain; the large-star output, read three times by
+    small-star, is kept for the round too. Every ``WRITE_EVERY``-th round's
+    edges are written as Parquet to the checkpoint folder; the rounds between
+    are kept in memory (spilling to disk). So lineage never spans more than
+    one unwritten round, and kept data that an executor loses is recomputed
+    from the last written round. The result is always written.
     """
-    # The oriented edges are one distinct over rows the caller has on disk:
-    # kept in memory (and spilled) for the first round rather than written.
+    # The oriented edges are one distinct over rows the caller has on disk.
     current = _orient(edges, src, dst).persist(StorageLevel.MEMORY_AND_DISK)
-    for _ in range(MAX_ROUNDS):
+    kept: list[DataFrame] = [current]  # cached since the last written round
+    anchor: DataFrame | None = None  # the last written round
+    for round_no in range(1, MAX_ROUNDS + 1):
         stats = node_stats(current).persist(StorageLevel.MEMORY_AND_DISK)
         star, n_hot_in, n_hot_out = round_summary(stats)
         if star:
             stats.unpersist()
-            if getattr(current, "_acctflow_path", None) is None:
-                written = materialize(current, "cc-edges")
-                current.unpersist()
-                current = written
+            if current is not anchor:
+                current = materialize(current, "cc-edges")
+                _free(kept, anchor)
             roots = current.select(F.col("u.n").alias("node"), F.col("v.n").alias("root"))
             roots._acctflow_path = current._acctflow_path  # released by the caller
             return roots
-        # Both joins' hot keys, from the cached stats in one small job each:
-        # large-star joins on v (in-degree); small-star on u, whose edge
-        # count large-star leaves unchanged (out-degree).
+        # Both joins' hot keys, from the cached stats: large-star joins on v
+        # (in-degree); small-star on u, whose edge count large-star leaves
+        # unchanged (out-degree).
         hot_in = hot_keys(stats.select(F.col("x").alias("v"), "__n"), ["v"], "__n") if n_hot_in else []
         hot_out = (
             hot_keys(stats.select(F.col("x").alias("u"), F.col("out").alias("__n")), ["u"], "__n")
@@ -156,13 +167,19 @@ def component_roots(edges: DataFrame, src: str, dst: str) -> DataFrame:
             else []
         )
         large = large_star(current, stats, hot_in).persist(StorageLevel.MEMORY_AND_DISK)
-        following = materialize(small_star(large, hot_out), "cc-edges")
-        large.unpersist()
-        stats.unpersist()
-        if getattr(current, "_acctflow_path", None) is None:
-            current.unpersist()
+        step = small_star(large, hot_out)
+        if round_no % WRITE_EVERY == 0:
+            following = materialize(step, "cc-edges")
+            large.unpersist()
+            stats.unpersist()
+            _free(kept, anchor)
+            kept, anchor = [], following
         else:
-            release(current)
+            following = step.persist(StorageLevel.MEMORY_AND_DISK)
+            following.count()  # fill it while this round's inputs are still kept
+            large.unpersist()
+            stats.unpersist()
+            kept.append(following)
         current = following
     raise RuntimeError(f"connected components did not converge in {MAX_ROUNDS} rounds")
 
