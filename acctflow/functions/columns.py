@@ -71,6 +71,16 @@ def date_from_formats(col: str | Column, formats: Iterable[str]) -> Column:
     return F.coalesce(*[F.try_to_date(c, fmt) for fmt in formats])
 
 
+def _as_date_column(df: DataFrame, name: str, formats: Iterable[str]) -> Column:
+    # A DATE column is kept, a timestamp is cut to its date, text is parsed.
+    dtype = dict(df.dtypes).get(name, "string")
+    if dtype == "date":
+        return _quoted(name)
+    if dtype.startswith("timestamp"):
+        return F.to_date(_quoted(name))
+    return date_from_formats(name, formats)
+
+
 def parse_dates(
     df: DataFrame,
     target: str,
@@ -78,12 +88,12 @@ def parse_dates(
     formats: Iterable[str] = SALES_DATE_FORMATS,
 ) -> DataFrame:
     """Normalise a mixed-format text date column into a DATE column (P5)."""
-    return df.withColumn(target, date_from_formats(source or target, formats))
+    return df.withColumn(target, _as_date_column(df, source or target, formats))
 
 
 def parse_date(df: DataFrame, name: str, fmt: str = "dd-MM-yyyy") -> DataFrame:
     """Parse one text column in place with a single format."""
-    return df.withColumn(name, date_from_formats(name, [fmt]))
+    return df.withColumn(name, _as_date_column(df, name, [fmt]))
 
 
 def transaction_amount(withdrawal: str = "WITHDRAWAL_AMT", deposit: str = "DEPOSIT_AMT") -> Column:
