@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import os
 
+import pytest
+
 from acctflow.plans import jobs
 from acctflow.sources import io, schemas
 
@@ -85,3 +87,12 @@ def test_materialize_and_release(spark):
     assert os.path.isdir(local) and df.count() == 10
     release(df)
     assert not os.path.exists(local)
+
+
+@pytest.mark.parametrize("fmt", ["json", "orc"])
+def test_other_formats_round_trip(spark, tmp_out, fmt):
+    df = io.from_rows(spark, [("a", 1), ("b", 2)], "k string, v int")
+    target = os.path.join(tmp_out, f"out_{fmt}")
+    io.write_table(df, target, fmt=fmt)
+    back = io.read_table(spark, target, fmt, schema="k string, v int")
+    assert sorted(map(tuple, back.collect())) == [("a", 1), ("b", 2)]
