@@ -209,8 +209,13 @@ def components(spark, d):
     return graph.with_components(pay, "ORIG", "BENEF", order_by="REF_ID", name="Group")
 
 
+ALERT_INPUT = ["REF_ID", "ORIG", "BENEF", "TOTAL_Score", "PAYMENT_DATE"]
+
+
 def _alert_input(spark, d, threshold=None):
-    pay = tm.payments(spark, d)
+    # Only the columns the alert queries use: the component step writes its
+    # rows, so columns dropped later would still be written and read back.
+    pay = tm.payments(spark, d).select(*ALERT_INPUT)
     if threshold is not None:
         pay = at_least(pay, "TOTAL_Score", threshold)
     return graph.with_components(pay, "ORIG", "BENEF", order_by="REF_ID", name="Group")
