@@ -82,7 +82,7 @@ def round_summary(stats: DataFrame) -> tuple[bool, int, int]:
     """One global aggregate over the node stats: (star forest?, nodes whose
     in-degree is hot, nodes whose out-degree is hot). Three numbers reach the
     driver."""
-    threshold = skew.HOT_ROWS
+    threshold = skew.hot_threshold(stats.sparkSession)
     row = stats.agg(
         F.max(F.when(_not_star(), 1).otherwise(0)).alias("bad"),
         F.sum(F.when(F.col("__n") >= threshold, 1).otherwise(0)).alias("hot_in"),

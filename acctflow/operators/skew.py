@@ -26,14 +26,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-# Tunables, read at call time so tests can lower them.
+# Tunables, read at call time so tests can lower them. A session can set
+# the threshold without code changes: spark.conf.set("acctflow.skew.hotRows", n).
 HOT_ROWS = 2_000_000
 MAX_HOT_KEYS = 1000
 MAX_SALT = 1 << 20
+HOT_ROWS_CONF = "acctflow.skew.hotRows"
+
+
+def hot_threshold(spark: SparkSession, hot_rows: int | None = None) -> int:
+    """Rows from which one key counts as hot: the argument, else the session
+    setting ``acctflow.skew.hotRows``, else ``HOT_ROWS``."""
+    if hot_rows is not None:
+        return hot_rows
+    try:
+        configured = spark.conf.get(HOT_ROWS_CONF, None)
+    except Exception:  # noqa: BLE001
+        configured = None
+    return int(configured) if configured else HOT_ROWS
 
 
 def _salts(n, threshold: int):
@@ -46,7 +60,7 @@ def hot_keys(
     """The heaviest keys with at least ``HOT_ROWS`` rows, as (*key, salts)
     tuples on the driver: at most ``MAX_HOT_KEYS`` of them, whatever the data.
     Meant for a ``per_key`` that is cached or cheap to read."""
-    threshold = HOT_ROWS if hot_rows is None else hot_rows
+    threshold = hot_threshold(per_key.sparkSession, hot_rows)
     n = F.col(count_col)
     top = (
         per_key.where(n >= threshold)
@@ -85,7 +99,7 @@ def join_by_key(
     payload = [c for c in per_key.columns if c not in keys and c != count_col]
     if hot is not None and not hot:
         return rows.join(per_key.drop(count_col), keys, how).select(*rows.columns, *payload)
-    threshold = HOT_ROWS if hot_rows is None else hot_rows
+    threshold = hot_threshold(rows.sparkSession, hot_rows)
     n = F.col(count_col)
     if hot is None:
         # Always true, but it reads the payload columns: the hot list then

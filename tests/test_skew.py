@@ -42,3 +42,13 @@ def test_graph_and_alerts_same_with_split(spark, monkeypatch):
     split = {r.REF_ID: (r.Group, r.Alert_Key) for r in alerts.with_alert_key(graph.with_components(df), fill=True).collect()}
     assert plain == split
     assert len({g for g, _ in plain.values()}) == 2
+
+
+def test_hot_threshold_from_session(spark):
+    assert skew.hot_threshold(spark, 5) == 5
+    spark.conf.set(skew.HOT_ROWS_CONF, "123")
+    try:
+        assert skew.hot_threshold(spark) == 123
+    finally:
+        spark.conf.unset(skew.HOT_ROWS_CONF)
+    assert skew.hot_threshold(spark) == skew.HOT_ROWS
