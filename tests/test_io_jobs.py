@@ -96,3 +96,21 @@ def test_other_formats_round_trip(spark, tmp_out, fmt):
     io.write_table(df, target, fmt=fmt)
     back = io.read_table(spark, target, fmt, schema="k string, v int")
     assert sorted(map(tuple, back.collect())) == [("a", 1), ("b", 2)]
+
+
+def test_command_line_jobs(spark, tmp_out):
+    from acctflow.plans import cli
+
+    bank = _write(os.path.join(tmp_out, "bank.csv"),
+                  "Account No,DATE,TRANSACTION DETAILS,CHQ NO,VALUE DATE,WITHDRAWAL AMT,DEPOSIT AMT,BALANCE AMT\n"
+                  "A,01-02-2017,x,,01-02-2017,,100,0\nA,02-02-2017,x,7,02-02-2017,40,,0\n")
+    out = cli.main(["bank", "--statement", bank, "--out", os.path.join(tmp_out, "b"),
+                    "--start", "2017-02-01", "--end", "2017-02-28"], spark=spark)
+    assert out["Totals"].collect()[0].Total_Withdraw == 40.0
+    assert os.path.isdir(os.path.join(tmp_out, "b", "Cheque_Transaction"))
+    feats = _write(os.path.join(tmp_out, "f.csv"),
+                   "REF_ID;ORIG;BENEF;F1;1;F2;2;F3;3;F4;4;F5;5;T;P;M\n"
+                   "1;A;B;Credit;5;Lease;4;Deposit;3;Risk;2;Transfer;1;17;2021-01-05 00:00:00;1\n")
+    rep = cli.main(["customer-features", "--features", feats, "--out", os.path.join(tmp_out, "c")], spark=spark)
+    row = rep["AlertReport"].collect()[0]
+    assert (row.Group, row.Alert_Key, row.Top1_Feature) == ("G1", "A", "Credit")
