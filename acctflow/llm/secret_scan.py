@@ -48,8 +48,10 @@ INTEGER, BIT_STRING, OCTETS, OID, SEQUENCE = 0x02, 0x03, 0x04, 0x06, 0x30
 
 
 def from_base64(text: str) -> bytes:
-    """Either alphabet, padding optional; empty if it can't be decoded."""
-    raw = re.sub(r"\s", "", text).rstrip("=").translate(str.maketrans("-_", "+/"))
+    """Either alphabet, padding optional, a lone last character left out; empty
+    if it can't be decoded."""
+    raw = re.sub(r"[\s=]", "", text).translate(str.maketrans("-_", "+/"))
+    raw = raw[:-1] if len(raw) % 4 == 1 else raw
     try:
         return base64.b64decode(raw + "=" * (-len(raw) % 4), validate=True)
     except binascii.Error:
@@ -82,42 +84,46 @@ def members(raw: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
     return out
 
 
-def is_private_key(raw: bytes) -> bool:
-    """A DER private key: nested lengths exact, members as the standards say."""
+def private_key_length(raw: bytes) -> int:
+    """Bytes of the DER private key that ``raw`` begins with, or 0: nested
+    lengths exact, members as the standards say."""
     top = read_der(raw, 0, len(raw)) if raw[:1] == b"\x30" else None
-    if top is None or top[2] != len(raw):
-        return False
+    if top is None:
+        return 0
     inside = members(raw, top[1], top[2])
     if not inside or len(inside) < 2 or inside[0][0] != INTEGER:
-        return False
+        return 0
     tags = [t for t, _, _ in inside]
     version = raw[inside[0][1] : inside[0][2]]
     if len(tags) >= 9 and set(tags[:9]) == {INTEGER} and version in (b"\x00", b"\x01"):
-        return True  # PKCS#1: version, modulus, exponents, primes
+        return top[2]  # PKCS#1: version, modulus, exponents, primes
     if tags[1] == SEQUENCE and len(tags) > 2 and tags[2] == OCTETS and version in (b"\x00", b"\x01"):
         algorithm = members(raw, inside[1][1], inside[1][2])  # PKCS#8
-        return bool(algorithm) and algorithm[0][0] == OID
-    return tags[1] == OCTETS and version == b"\x01" and all(t in (0xA0, 0xA1) for t in tags[2:])  # SEC 1
+        return top[2] if algorithm and algorithm[0][0] == OID else 0
+    sec1 = tags[1] == OCTETS and version == b"\x01" and all(t in (0xA0, 0xA1) for t in tags[2:])
+    return top[2] if sec1 else 0
 
 
-def is_openssh_key(raw: bytes) -> bool:
+def openssh_key_length(raw: bytes) -> int:
+    """Bytes of the OpenSSH private key that ``raw`` begins with, or 0."""
     magic = b"openssh-key-v1\x00"
-    if not raw.startswith(magic):
-        return False
     at = len(magic)
+    if not raw.startswith(magic):
+        return 0
 
-    def field() -> bool:
+    def skip(fields: int) -> bool:
         nonlocal at
-        n = int.from_bytes(raw[at : at + 4], "big")
-        ok = at + 4 + n <= len(raw)
-        at += 4 + n
-        return ok
-
-    if not (field() and field() and field()):  # cipher, derivation, its options
-        return False
+        for _ in range(fields):
+            if at + 4 > len(raw):
+                return False
+            at += 4 + int.from_bytes(raw[at : at + 4], "big")
+        return at <= len(raw)
+
+    if not skip(3) or at + 4 > len(raw):  # cipher, derivation, its options
+        return 0
     keys = int.from_bytes(raw[at : at + 4], "big")
     at += 4
-    return 1 <= keys <= 64 and all(field() for _ in range(keys)) and field() and at == len(raw)
+    return at if 1 <= keys <= 64 and skip(keys + 1) else 0
 
 
 def is_signed_token(header: str, claims: str) -> bool:
@@ -142,30 +148,33 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     if "ey" in text:
         out += [(m.start(), 3, m.end()) for m in JWT.finditer(text) if is_signed_token(m[1], m[2])]
     for m in ENCODED.finditer(text):
-        # A body may follow other text of the alphabet; a key begins at the
-        # encoding of its first bytes. Lines after a key may belong to others.
-        for start, kind in _beginnings(m[0]):
-            ends = [k for k in range(len(m[0]), start, -1) if k == len(m[0]) or m[0][k] in "\r\n"]
-            parse = is_private_key if kind == 4 else is_openssh_key
-            end = next((e for e in ends if parse(from_base64(m[0][start:e]))), None)
-            if end is not None:
-                out.append((m.start() + start, kind, m.start() + end))
-                break
+        out += [(m.start() + s, k, m.start() + e) for s, k, e in encoded_keys(m[0])]
     for m in HEX_BYTES.finditer(text):
-        if m[0][:2] == "30" and is_private_key(bytes.fromhex(m[0])):
-            out.append((m.start(), 4, m.end()))
+        if m[0][:2] == "30" and (n := private_key_length(bytes.fromhex(m[0]))):
+            out.append((m.start(), 4, m.start() + 2 * n))
     return sorted(set(out))
 
 
-def _beginnings(run: str) -> list[tuple[int, int]]:
-    """Where a line of ``run`` starts like an encoded key: (offset, kind)."""
-    out = []
-    at = 0
+def encoded_keys(run: str) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of keys that begin a line of a base64 run. A key says
+    how long it is, so what stands behind it doesn't matter."""
+    out, at = [], 0
     while at >= 0:
-        if run.startswith("M", at):  # 0x30 begins with this character
-            out.append((at, 4))
-        elif run.startswith("b3BlbnNzaC1rZXktdjE", at):
-            out.append((at, 5))
+        # 0x30 is encoded with this first character, the magic with these.
+        kind = 4 if run.startswith("M", at) else 5 if run.startswith("b3BlbnNzaC1rZXktdjE", at) else 0
+        if kind:
+            raw = from_base64(run[at:])
+            n = private_key_length(raw) if kind == 4 else openssh_key_length(raw)
+            if n:
+                chars = -(-n * 8 // 6)  # of the alphabet, without padding
+                end = at
+                while chars:
+                    chars -= run[end] not in "\r\n"
+                    end += 1
+                while end < len(run) and run[end] == "=":
+                    end += 1
+                out.append((at, kind, end))
+                at = end
         at = run.find("\n", at) + 1 or -1
     return out
 
