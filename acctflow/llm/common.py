@@ -98,3 +98,28 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", max_bytes: int
             held += n
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def with_columns_of_text(
+    df: DataFrame, text_col: str, keep: tuple[str, ...], added: str, make: Callable[[], Callable[[list[str]], list[pa.Array]]],
+    max_bytes: int = 4 << 20,
+) -> DataFrame:
+    """The columns ``keep`` of ``df`` and those of the schema ``added``, which a
+    function of a list of texts gives as arrays; ``make`` builds it once a task.
+    A null text counts as empty. The text crosses to Python once, kept or not."""
+    taken = [F.col(c) for c in keep]
+    if text_col not in keep or df.schema[text_col].dataType.typeName() != "string":
+        taken.append(F.col(text_col).cast("string").alias("__text"))
+    narrow = df.select(*taken)
+    source = "__text" if "__text" in narrow.columns else text_col
+    at, n = narrow.columns.index(source), len(keep)
+    names = [c.strip().rsplit(" ", 1)[0] for c in added.split(",")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_texts = make()
+        for batch in pieces(batches, source, max_bytes):
+            arrays = of_texts([t or "" for t in batch.column(at).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *arrays], names=[*keep, *names])
+
+    held = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:n])
+    return narrow.mapInArrow(run, f"{held}, {added}")

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from acctflow.llm.common import pieces, text_or_empty
+from acctflow.llm.common import with_columns_of_text
 
 # Fixed by the HTML standard: elements without an end tag, elements that end a
 # line of text, and elements whose content is no article text.
@@ -188,13 +188,8 @@ def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("
     the parser gets; repeated rows give repeated results.
     """
 
-    def run(batches):
-        for batch in pieces(batches, "__html"):
-            found = [main_text(h) for h in batch.column(batch.num_columns - 1).to_pylist()]
-            made = [pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())]
-            names = [*batch.schema.names[:-1], "text", "n_chars"]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: batch.num_columns - 1], *made], names=names)
+    def arrays(htmls: list[str]) -> list[pa.Array]:
+        found = list(map(main_text, htmls))
+        return [pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())]
 
-    narrow = pages.select(*keep, text_or_empty(html_col).alias("__html"))
-    held = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1])
-    return narrow.mapInArrow(run, f"{held}, text string, n_chars long")
+    return with_columns_of_text(pages, html_col, keep, "text string, n_chars long", lambda: arrays)

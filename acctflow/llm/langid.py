@@ -33,10 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from acctflow.llm.common import delete_folder, pieces, shared_folder, text_or_empty, written
+from acctflow.llm.common import delete_folder, pieces, shared_folder, with_columns_of_text, written
 
 ORDER = 4
 BOUNDARY = " "
+SLICE = 2 << 20  # bytes of text taken at a time
 ALPHABET = 1 << 16  # the uniform floor spreads over this many characters
 _RUNS = re.compile(r"[^\W\d_]+")
 
@@ -110,8 +111,8 @@ class Model:
 class Scorer:
     """Costs of whole texts; costs of chunks are kept in a bounded memo."""
 
-    def __init__(self, model: Model, size: int = 300_000):
-        self.model, self.size = model, size
+    def __init__(self, model: Model, size: int = 200_000, block: int = 20_000):
+        self.model, self.size, self.block = model, size, block
         self.rows: dict[str, int] = {}
         self.costs = np.zeros((0, len(model.langs) + 1))
 
@@ -124,8 +125,10 @@ class Scorer:
             for w in words_of(c):
                 words.append(w)
                 owner.append(i)
-        costs, n = self.model.word_costs(words)
-        both = np.concatenate([costs, n[:, None]], axis=1)
+        both = np.zeros((len(words), len(self.model.langs) + 1))
+        for lo in range(0, len(words), self.block):
+            costs, n = self.model.word_costs(words[lo : lo + self.block])
+            both[lo : lo + self.block] = np.concatenate([costs, n[:, None]], axis=1)
         added = np.stack([np.bincount(owner, both[:, k], len(new)) for k in range(both.shape[1])], axis=1) if words else (
             np.zeros((len(new), both.shape[1]))
         )
@@ -149,7 +152,7 @@ class Scorer:
         return sums[:, :-1] / np.maximum(n, 1)[:, None], n
 
 
-def gram_counts(labelled: DataFrame, flush_words: int = 200_000) -> DataFrame:
+def gram_counts(labelled: DataFrame, flush_words: int = 50_000) -> DataFrame:
     """(lang, gram, n): counts of 4-grams over ``labelled`` (lang, text). Tasks
     count words in a bounded table first and send sums."""
     schema = pa.schema([("lang", pa.string()), ("gram", pa.string()), ("n", pa.int64())])
@@ -173,7 +176,7 @@ def gram_counts(labelled: DataFrame, flush_words: int = 200_000) -> DataFrame:
 
     def run(batches):
         held: dict[str, Counter] = {}
-        for batch in pieces(batches):
+        for batch in pieces(batches, max_bytes=SLICE):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 held.setdefault(lang, Counter()).update(text.lower().split())
             if sum(map(len, held.values())) > flush_words:
@@ -268,7 +271,7 @@ def _limits(calibration: DataFrame, model: Model, sigmas: float) -> dict[str, tu
 
     def run(batches):
         scorer = Scorer(sent.value)
-        for batch in pieces(batches):
+        for batch in pieces(batches, max_bytes=SLICE):
             lang = batch.column(0).to_pylist()
             costs, n = scorer.texts(batch.column(1).to_pylist())
             ok = [i for i, x in enumerate(lang) if x in langs and n[i] > 0]
@@ -308,32 +311,32 @@ def identify(
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
+    def make():
         m = sent.value
         scorer = Scorer(m)
         limits = np.array([m.limits.get(x, (np.inf, 0.0, 0.0)) for x in m.langs]).reshape(-1, 3)
-        for batch in pieces(batches, "__text"):
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+
+        def arrays(texts: list[str]) -> list[pa.Array]:
             costs, n = scorer.texts(texts) if m.langs else (np.zeros((len(texts), 1)), np.zeros(len(texts)))
             best = costs.argmin(axis=1)
             low = costs[np.arange(len(texts)), best]
             odds = np.exp(-(costs - low[:, None]) * np.minimum(n, evidence)[:, None]).sum(axis=1)
             known = n > 0
-            lang = [m.langs[b] if k else "und" for b, k in zip(best, known)]
             accepted = known.copy()
             if m.langs:
                 lim = limits[best]
                 accepted &= low <= lim[:, 0] + np.sqrt(lim[:, 1] ** 2 + lim[:, 2] ** 2 / np.maximum(n, 1))
-            made = [
-                pa.array(lang, pa.string()), pa.array(np.where(known, 1 / odds, 0.0)),
-                pa.array([float(x) if k else None for x, k in zip(low, known)], pa.float64()), pa.array(accepted),
-            ]
-            names = [*batch.schema.names[:-1], "lang_pred", "score", "cross_entropy", "accepted"]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: batch.num_columns - 1], *made], names=names)
-
-    narrow = docs.select(*(keep or (id_col,)), text_or_empty(text_col).alias("__text"))
-    held = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1])
-    return narrow.mapInArrow(run, f"{held}, lang_pred string, score double, cross_entropy double, accepted boolean")
+            return [
+                pa.array([m.langs[b] if k else "und" for b, k in zip(best, known)], pa.string()),
+                pa.array(np.where(known, 1 / odds, 0.0)),
+                pa.array([float(x) if k else None for x, k in zip(low, known)], pa.float64()),
+                pa.array(accepted),
+            ]
+
+        return arrays
+
+    added = "lang_pred string, score double, cross_entropy double, accepted boolean"
+    return with_columns_of_text(docs, text_col, keep or (id_col,), added, make, SLICE)
 
 
 def fold(id_col: str = "doc_id", folds: int = 5) -> F.Column:

@@ -20,7 +20,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from acctflow.llm.common import pieces, text_or_empty
+from acctflow.llm.common import with_columns_of_text
 
 SYMBOLS = re.compile("[#*$%&|<>]")
 
@@ -97,29 +97,23 @@ def quality(
     null or empty text has no words, so it fails the base rule. A null id stays
     null; columns not named in ``keep`` are not read.
     """
-    counted = (
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chunks", "n_bad_chunks",
-    )
-    schema = ", ".join(f"{c} long" for c in counted) + ", ratio double, base_failed boolean, kept boolean"
-    kinds = [pa.field(c, pa.int64()) for c in counted]
-    kinds += [pa.field("ratio", pa.float64()), pa.field("base_failed", pa.bool_()), pa.field("kept", pa.bool_())]
-
-    def judge(text: str, compressor) -> tuple:
-        n, chars, symbols, dup, repeat = word_counts(text)
-        ratio, chunks, bad, rejected = band_verdict(text.encode(), bands, compressor)
-        failed = n < min_words or 100 * repeat > max_repeat_pct * n
-        return n, chars, symbols, dup, repeat, chunks, bad, ratio, failed, not (failed or rejected)
-
-    def run(batches):
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chunks", "n_bad_chunks")
+    kinds = [pa.int64()] * len(counts) + [pa.float64(), pa.bool_(), pa.bool_()]
+    schema = ", ".join(f"{c} long" for c in counts) + ", ratio double, base_failed boolean, kept boolean"
+
+    def make():
         compressor = zstandard.ZstdCompressor(level=bands.level)
-        for batch in pieces(batches, "__text"):
-            found = [judge(t, compressor) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            made = [pa.array([r[k] for r in found], type=f.type) for k, f in enumerate(kinds)]
-            held = list(batch.columns[: batch.num_columns - 1])
-            names = [*batch.schema.names[:-1], *(f.name for f in kinds)]
-            yield pa.RecordBatch.from_arrays(held + made, names=names)
-
-    names = list(keep) or [id_col]
-    narrow = docs.select(*names, text_or_empty(text_col).alias("__text"))
-    held = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1])
-    return narrow.mapInArrow(run, f"{held}, {schema}")
+
+        def judge(text: str) -> tuple:
+            n, chars, symbols, dup, repeat = word_counts(text)
+            ratio, chunks, bad, rejected = band_verdict(text.encode(), bands, compressor)
+            failed = n < min_words or 100 * repeat > max_repeat_pct * n
+            return n, chars, symbols, dup, repeat, chunks, bad, ratio, failed, not (failed or rejected)
+
+        def arrays(texts: list[str]) -> list[pa.Array]:
+            found = list(map(judge, texts))
+            return [pa.array([r[k] for r in found], kind) for k, kind in enumerate(kinds)]
+
+        return arrays
+
+    return with_columns_of_text(docs, text_col, keep or (id_col,), schema, make)

@@ -23,7 +23,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from acctflow.llm.common import pieces, text_or_empty
+from acctflow.llm.common import with_columns_of_text
 
 KINDS = ("assign", "access", "hex", "jwt", "der", "openssh")
 
@@ -194,28 +194,21 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
     repeated rows give repeated results, null ids stay null.
     """
 
-    def run(batches):
-        for batch in pieces(batches, "__text"):
-            found = []
-            for text in batch.column(batch.num_columns - 1).to_pylist():
-                base = base_spans(text)
-                spans = sorted(base + confirmed_spans(text))
-                kinds = [k for _, k, _ in base]
-                found.append(
-                    (kinds.count(0), kinds.count(1), kinds.count(2), len(spans) - len(base),
-                     digest_form(base), digest_form(spans), redact(text, spans))
-                )
-            made = [pa.array([r[k] for r in found], type=t) for k, (_, t) in enumerate(kinds_out)]
-            names = [*batch.schema.names[:-1], *(n for n, _ in kinds_out)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: batch.num_columns - 1], *made], names=names)
-
-    kinds_out = [(n, pa.int64()) for n in ("n_assign", "n_access", "n_hex", "n_confirmed")]
-    kinds_out += [(n, pa.string()) for n in ("base_spans", "spans", "redacted")]
-    names = list(keep) or [id_col]
-    narrow = docs.select(*names, text_or_empty(text_col).alias("__text"))
-    held = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1])
-    more = "n_assign long, n_access long, n_hex long, n_confirmed long, base_spans string, spans string, redacted string"
-    return narrow.mapInArrow(run, f"{held}, {more}")
+    kinds = [pa.int64()] * 4 + [pa.string()] * 3
+
+    def one(text: str) -> tuple:
+        base = base_spans(text)
+        spans = sorted(base + confirmed_spans(text))
+        found = [k for _, k, _ in base]
+        counts = [found.count(k) for k in range(3)]
+        return *counts, len(spans) - len(base), digest_form(base), digest_form(spans), redact(text, spans)
+
+    def arrays(texts: list[str]) -> list[pa.Array]:
+        rows = list(map(one, texts))
+        return [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+
+    added = "n_assign long, n_access long, n_hex long, n_confirmed long, base_spans string, spans string, redacted string"
+    return with_columns_of_text(docs, text_col, keep or (id_col,), added, lambda: arrays)
 
 
 def redact(text: str, spans: list[tuple[int, int, int]]) -> str:

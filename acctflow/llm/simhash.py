@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acctflow.llm.common import delete_folder, pieces, shared_folder, text_or_empty, written
+from acctflow.llm.common import delete_folder, shared_folder, with_columns_of_text, written
 from acctflow.operators.components import bigint_components
 from acctflow.session import release
 
@@ -69,15 +69,10 @@ def fingerprints(
     """``id_col`` (or the columns in ``keep``) and ``fp``, the fingerprint as a
     signed bigint. A null text counts as empty."""
 
-    def run(batches):
-        for batch in pieces(batches, "__text"):
-            found = [signed(fingerprint(t, words, seed)) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            held = list(batch.columns[: batch.num_columns - 1])
-            yield pa.RecordBatch.from_arrays([*held, pa.array(found, pa.int64())], names=[*batch.schema.names[:-1], "fp"])
-
-    narrow = docs.select(*(keep or (id_col,)), text_or_empty(text_col).alias("__text"))
-    held = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1])
-    return narrow.mapInArrow(run, f"{held}, fp long")
+    def arrays(texts: list[str]) -> list[pa.Array]:
+        return [pa.array([signed(fingerprint(t, words, seed)) for t in texts], pa.int64())]
+
+    return with_columns_of_text(docs, text_col, keep or (id_col,), "fp long", lambda: arrays)
 
 
 def spanning_links(members: np.ndarray, bits: int) -> list[tuple[int, int]]:
