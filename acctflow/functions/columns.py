@@ -71,9 +71,17 @@ def date_from_formats(col: str | Column, formats: Iterable[str]) -> Column:
     return F.coalesce(*[F.try_to_date(c, fmt) for fmt in formats])
 
 
+def type_of(df: DataFrame, name: str) -> str:
+    """The type of a column, its name compared as the session compares names;
+    empty if there is none."""
+    if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true":
+        return dict(df.dtypes).get(name, "")
+    return {c.lower(): t for c, t in df.dtypes}.get(name.lower(), "")
+
+
 def _as_date_column(df: DataFrame, name: str, formats: Iterable[str]) -> Column:
     # A DATE column is kept, a timestamp is cut to its date, text is parsed.
-    dtype = dict(df.dtypes).get(name, "string")
+    dtype = type_of(df, name) or "string"
     if dtype == "date":
         return _quoted(name)
     if dtype.startswith("timestamp"):

@@ -3,8 +3,8 @@
 The reference uses whole-partition windows over ``Group``; a window puts a
 whole group into one task, and a graph component can hold a large share of
 all rows. Here each step is a combinable aggregate per group (one small row
-per group per task before the shuffle) joined back to the rows with hot
-groups split over many tasks (``acctflow.operators.skew``).
+per group per task before the shuffle), written and joined back to the rows,
+hot groups split by the skew-join (``acctflow.operators.skew``).
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ def _winner_struct(score: str, date: str, order: Sequence[str], carry: Sequence[
     return F.when(
         s.isNotNull(),
         F.struct(
+            # NaN is the greatest score, as in Spark's own maximum.
+            (~F.isnan(s.cast("double"))).alias("number"),
             (-s).alias("neg"),
             d.isNull().alias("nodate"),
             d.alias("d"),
@@ -67,10 +69,8 @@ def with_alert_key(
     sources = list(carry.values())
     best = df.groupBy(group).agg(
         F.min(_winner_struct(score, date, [*order, orig], sources)).alias("__best"),
-        F.count(F.lit(1)).alias("__n"),
     )
-    row_id = list(dict.fromkeys([*order, orig]))
-    joined = join_by_key(df, best, [group], "__n", "left", salt_by=row_id)
+    joined = join_by_key(df, best, [group])
     b = F.col("__best")
     has_key = b["d"].isNotNull()
     if fill:
@@ -82,28 +82,6 @@ def with_alert_key(
     return joined.withColumns(added).select(*df.columns, *added)
 
 
-def fill_from_keyed(
-    df: DataFrame,
-    columns: Sequence[str],
-    group: str = "Group",
-    key: str = "Alert_Key",
-    order: Sequence[str] = ("REF_ID", "ORIG", "BENEF"),
-) -> DataFrame:
-    """Give every row of a group the ``columns`` of the group's keyed row (W3),
-    for a key column computed elsewhere.
-
-    With several keyed rows the one with the smallest ``order`` wins, so the
-    result is deterministic; a group without a keyed row gets nulls.
-    """
-    keyed = F.struct(*[F.col(c) for c in order], *[F.col(c).alias(f"__v{i}") for i, c in enumerate(columns)])
-    winner = df.groupBy(group).agg(
-        F.min(F.when(F.col(key).isNotNull(), keyed)).alias("__w"), F.count(F.lit(1)).alias("__n")
-    )
-    joined = join_by_key(df.drop(*columns), winner, [group], "__n", "left", salt_by=list(order))
-    filled = joined.withColumns({c: F.col(f"__w.__v{i}") for i, c in enumerate(columns)})
-    return filled.select(*df.columns)
-
-
 # The report's alert columns and their sources, and the report
 # layout.
 ALERT_COPIES = {

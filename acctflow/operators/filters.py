@@ -11,6 +11,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from acctflow.functions.columns import type_of
+
 
 def by_value(df: DataFrame, column: str, value) -> DataFrame:
     """Exact match on one column (F1 transaction type, F5 item type)."""
@@ -34,7 +36,7 @@ def _bounds(df: DataFrame, column: str, start, end):
     """Range bounds matching the column: dates for a DATE column, ISO text
     for a text column (no implicit cast of the column, which would fail on
     malformed values), the values as given otherwise."""
-    dtype = dict(df.dtypes).get(column, "")
+    dtype = type_of(df, column)
     if dtype == "date":
         return _as_date(start), _as_date(end)
     if dtype == "string":

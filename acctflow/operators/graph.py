@@ -1,188 +1,22 @@
-"""Connected components of an undirected edge list (G1), distributed.
+"""Connected components of payment edges (G1), distributed.
 
-Alternates the large-star and small-star steps of Kiveris, Lattanzi,
-Mirrokni, Rastogi and Vassilvitskii, "Connected Components in MapReduce and
-Beyond" (SoCC 2014), as DataFrame jobs. Edges are kept oriented from the
-larger node id to the smaller one. Each step is a ``min`` aggregate (combined
-map-side, so a hub node costs one row per task) and one join that AQE's
-skew-join can split. Every second round the edge set is written as Parquet
-to the cluster's checkpoint folder (the previous written round is then
-deleted), so lineage stays short and a lost executor costs at most the
-rounds since the last write.
-
-The loop stops when the edges form stars around their smallest node (in the
-hash order of ``_key``): every source has one target and no target is also a
-source. That test is exact,
-reads the node statistics the round needs anyway, and reaches the driver as
-three numbers per round.
+Node names become bigint ids once (written, so they stay fixed), the rounds run
+on ids (``operators.components``), and names come back at the end. Only the two
+node columns and the order column feed the graph; the rows themselves, however
+wide, meet one join with the finished (node, label) table, a written table, so
+that the skew-join can split a busy node.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from acctflow.operators.components import bigint_components
 from acctflow.operators.ranking import ordinal
-from acctflow.operators import skew
-from acctflow.operators.skew import hot_keys, join_by_key
+from acctflow.operators.skew import join_by_key
 from acctflow.session import materialize, release
 
-MAX_ROUNDS = 200
-WRITE_EVERY = 2
-
-
-def _key(col: F.Column) -> F.Column:
-    # Nodes are ordered by a hash first: a fixed but scrambled order, so
-    # that no side of a structured graph (all hubs larger than all leaves,
-    # say) makes a whole star step idle. Ties fall back to the node itself,
-    # so the order is total and two keys are equal only for equal nodes.
-    return F.struct(F.xxhash64(col).alias("h"), col.alias("n"))
-
-
-def _orient(edges: DataFrame, src: str, dst: str) -> DataFrame:
-    a, b = F.col(src), F.col(dst)
-    ka, kb = _key(a), _key(b)
-    return (
-        edges.where(a.isNotNull() & b.isNotNull() & (a != b))
-        .select(F.greatest(ka, kb).alias("u"), F.least(ka, kb).alias("v"))
-        .distinct()
-    )
-
-
-def node_stats(edges: DataFrame) -> DataFrame:
-    """Per node x: ``m`` = its smallest smaller neighbour, ``__n`` = how many
-    edges point to x (the rows the large-star join sees for x) and ``out`` =
-    how many edges leave x. One combinable aggregate."""
-    vt = edges.schema["v"].dataType
-    roles = edges.select(
-        F.col("u").alias("x"), F.col("v").alias("lower"), F.lit(0).alias("indeg"), F.lit(1).alias("outdeg")
-    ).unionByName(
-        edges.select(
-            F.col("v").alias("x"), F.lit(None).cast(vt).alias("lower"), F.lit(1).alias("indeg"),
-            F.lit(0).alias("outdeg"),
-        )
-    )
-    return roles.groupBy("x").agg(
-        F.min("lower").alias("m"), F.sum("indeg").alias("__n"), F.sum("outdeg").alias("out")
-    )
-
-
-def _not_star():
-    return (F.col("out") > 1) | ((F.col("out") > 0) & (F.col("__n") > 0))
-
-
-def is_star_forest(stats: DataFrame) -> bool:
-    """Every node has at most one edge out, and a node with an edge out has
-    none in: each component is a star around its smallest node."""
-    return stats.where(_not_star()).limit(1).count() == 0
-
-
-def round_summary(stats: DataFrame) -> tuple[bool, int, int]:
-    """One global aggregate over the node stats: (star forest?, nodes whose
-    in-degree is hot, nodes whose out-degree is hot). Three numbers reach the
-    driver."""
-    threshold = skew.hot_threshold(stats.sparkSession)
-    row = stats.agg(
-        F.max(F.when(_not_star(), 1).otherwise(0)).alias("bad"),
-        F.sum(F.when(F.col("__n") >= threshold, 1).otherwise(0)).alias("hot_in"),
-        F.sum(F.when(F.col("out") >= threshold, 1).otherwise(0)).alias("hot_out"),
-    ).collect()[0]
-    return (row.bad or 0) == 0, row.hot_in or 0, row.hot_out or 0
-
-
-def large_star(
-    edges: DataFrame, stats: DataFrame | None = None, hot: list[tuple] | None = None
-) -> DataFrame:
-    """Re-point every edge (u, v) to (u, m(v)), m(v) = min of v's closed
-    neighbourhood; u > v >= m(v) keeps the orientation.
-
-    A star centre collects every edge of its component, so the join back is
-    skew-split on v. Repeated edges are left in: the small-star step that
-    always follows aggregates them away and de-duplicates its own output.
-    """
-    stats = node_stats(edges) if stats is None else stats
-    per_v = stats.select(F.col("x").alias("v"), "m", "__n")
-    joined = join_by_key(edges, per_v, ["v"], "__n", "left", hot=hot)
-    return joined.select("u", F.coalesce("m", "v").alias("v"))
-
-
-def small_star(edges: DataFrame, hot: list[tuple] | None = None) -> DataFrame:
-    """Connect u and all its smaller neighbours to the smallest of them."""
-    m = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("__n"))
-    leaves = (
-        join_by_key(edges, m, ["u"], "__n", "inner", hot=hot)
-        .where(F.col("v") != F.col("m"))
-        .select(F.col("v").alias("u"), F.col("m").alias("v"))
-    )
-    centre = m.select("u", F.col("m").alias("v"))
-    return leaves.unionByName(centre).distinct()
-
-
-def _free(kept: list[DataFrame], anchor: DataFrame | None) -> None:
-    for frame in kept:
-        frame.unpersist()
-    if anchor is not None:
-        release(anchor)
-
-
-def component_roots(edges: DataFrame, src: str, dst: str) -> DataFrame:
-    """(node, root) for every node that is not the root of its component (the
-    component's smallest node in hash order); nodes absent here are their own
-    root.
-
-    Per round: the node stats of the current edges are computed once (kept
-    for the round); one global aggregate over them answers the convergence
-    test and counts the hot keys of both joins; only when some are hot are
-    their lists collected (at most ``MAX_HOT_KEYS`` keys each), and with none
-    the joins are plain; the large-star output, read three times by
-    small-star, is kept for the round too. Every ``WRITE_EVERY``-th round's
-    edges are written as Parquet to the checkpoint folder; the rounds between
-    are kept in memory (spilling to disk). So lineage never spans more than
-    one unwritten round, and kept data that an executor loses is recomputed
-    from the last written round. The result is always written.
-    """
-    # The oriented edges are one distinct over rows the caller has on disk.
-    current = _orient(edges, src, dst).persist(StorageLevel.MEMORY_AND_DISK)
-    kept: list[DataFrame] = [current]  # cached since the last written round
-    anchor: DataFrame | None = None  # the last written round
-    for round_no in range(1, MAX_ROUNDS + 1):
-        stats = node_stats(current).persist(StorageLevel.MEMORY_AND_DISK)
-        star, n_hot_in, n_hot_out = round_summary(stats)
-        if star:
-            stats.unpersist()
-            if current is not anchor:
-                current = materialize(current, "cc-edges")
-                _free(kept, anchor)
-            roots = current.select(F.col("u.n").alias("node"), F.col("v.n").alias("root"))
-            roots._acctflow_path = current._acctflow_path  # released by the caller
-            return roots
-        # Both joins' hot keys, from the cached stats: large-star joins on v
-        # (in-degree); small-star on u, whose edge count large-star leaves
-        # unchanged (out-degree).
-        hot_in = hot_keys(stats.select(F.col("x").alias("v"), "__n"), ["v"], "__n") if n_hot_in else []
-        hot_out = (
-            hot_keys(stats.select(F.col("x").alias("u"), F.col("out").alias("__n")), ["u"], "__n")
-            if n_hot_out
-            else []
-        )
-        large = large_star(current, stats, hot_in).persist(StorageLevel.MEMORY_AND_DISK)
-        step = small_star(large, hot_out)
-        if round_no % WRITE_EVERY == 0:
-            following = materialize(step, "cc-edges")
-            large.unpersist()
-            stats.unpersist()
-            _free(kept, anchor)
-            kept, anchor = [], following
-        else:
-            following = step.persist(StorageLevel.MEMORY_AND_DISK)
-            following.count()  # fill it while this round's inputs are still kept
-            large.unpersist()
-            stats.unpersist()
-            kept.append(following)
-        current = following
-    raise RuntimeError(f"connected components did not converge in {MAX_ROUNDS} rounds")
-
 
 def with_components(
     rows: DataFrame,
@@ -199,53 +33,45 @@ def with_components(
     rows (then by their smallest ``src`` node), i.e. in order of first
     appearance when rows are read in ``order_by`` order. A row whose ``dst``
     is null still puts ``src`` in the graph as a node without edges; a null
-    ``src`` gets a null label. Node values are compared exactly unless ``trim``, which
-    drops surrounding spaces from node values first (the rows keep theirs).
+    ``src`` gets a null label. Node values are compared exactly unless ``trim``,
+    which drops surrounding spaces from node values first (the rows keep theirs).
     """
-    if trim:
-        work = rows.withColumns({"__tsrc": F.trim(F.col(src)), "__tdst": F.trim(F.col(dst))})
-        out = with_components(work, "__tsrc", "__tdst", order_by, name, prefix)
-        return out.drop("__tsrc", "__tdst")
-    # The rows are read three times below; pin them once instead of
-    # recomputing whatever plan produced them.
-    rows = materialize(rows, "cc-rows")
-    root_files = component_roots(rows, src, dst)
-    roots = root_files.withColumnRenamed("node", src)
-    # One row per source node (its first order value and row count), so the
-    # root lookup joins node to node and never sees a hot key.
-    per_node = (
-        rows.where(F.col(src).isNotNull())
-        .groupBy(src)
-        .agg(F.min(order_by).alias("__first"), F.count(F.lit(1)).alias("__rows"))
-    )
-    node_root = (
-        per_node.join(roots, src, "left")
-        .select(src, F.coalesce(F.col("root"), F.col(src)).alias("__root"), "__first", "__rows")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    comps = node_root.groupBy("__root").agg(
-        F.min("__first").alias("__first"),
-        F.min(src).alias("__first_node"),
-        F.count(F.lit(1)).alias("__nodes"),
-    )
-    ordinal_files = ordinal(comps, ["__first", "__first_node"], "__k")
-    numbered = ordinal_files.select(
-        "__root", F.concat(F.lit(prefix), F.col("__k").cast("string")).alias(name), "__nodes"
-    )
-    # A big component gives its root many nodes, and a busy node many rows:
-    # both joins back are skew-split. Their hot lists are measured on data
-    # already at hand (the numbered components on disk, the kept per-node
-    # table), so when nothing is hot they are plain joins.
-    hot_roots = hot_keys(numbered, ["__root"], "__nodes")
-    hot_nodes = hot_keys(node_root, [src], "__rows")
-    labels = join_by_key(node_root, numbered, ["__root"], "__nodes", "left", hot=hot_roots).select(
-        src, name, "__rows"
-    )
-    # Written once: callers join per-group summaries back to these rows,
-    # each of which would otherwise re-run the label joins. Once written,
-    # nothing reads the intermediate files any more.
-    labelled = materialize(join_by_key(rows, labels, [src], "__rows", "left", hot=hot_nodes), "cc-labelled")
-    node_root.unpersist()
-    for scratch in (rows, root_files, ordinal_files):
-        release(scratch)
-    return labelled
+    node = (lambda c: F.trim(F.col(c))) if trim else F.col
+    scratch: list[DataFrame] = []
+
+    def kept(df: DataFrame, tag: str) -> DataFrame:
+        scratch.append(materialize(df, tag))
+        return scratch[-1]
+
+    try:
+        narrow = kept(rows.select(node(src).alias("s"), node(dst).alias("d"), F.col(order_by).alias("o")), "cc-narrow")
+        sources = narrow.where(F.col("s").isNotNull())
+        per_node = sources.groupBy("s").agg(F.min("o").alias("first"))
+        ends = per_node.select(F.col("s").alias("n")).unionByName(
+            sources.where(F.col("d").isNotNull()).select(F.col("d").alias("n"))
+        )
+        ids = kept(ends.distinct().withColumn("id", F.monotonically_increasing_id()), "cc-nodes")
+        edges = (
+            sources.where(F.col("d").isNotNull() & (F.col("s") != F.col("d")))
+            .join(ids.select(F.col("n").alias("s"), F.col("id").alias("u")), "s")
+            .join(ids.select(F.col("n").alias("d"), F.col("id").alias("v")), "d")
+        )
+        roots = bigint_components(edges)
+        scratch.append(roots)
+        named = (
+            per_node.join(ids.withColumnRenamed("n", "s"), "s")
+            .join(roots.withColumnRenamed("node", "id"), "id", "left")
+            .select("s", "first", F.coalesce("root", "id").alias("root"))
+        )
+        named = kept(named, "cc-named")
+        comps = named.groupBy("root").agg(F.min("first").alias("first"), F.min("s").alias("first_node"))
+        numbered = ordinal(comps, ["first", "first_node"], "k")
+        scratch.append(numbered)
+        labels = named.join(
+            kept(numbered.select("root", F.concat(F.lit(prefix), F.col("k").cast("string")).alias(name)), "cc-numbered"), "root"
+        ).select(F.col("s").alias("__node"), name)
+        labelled = join_by_key(rows.withColumn("__node", node(src)), labels, ["__node"])
+        return labelled.drop("__node")
+    finally:
+        for frame in scratch:
+            release(frame)

@@ -1,8 +1,10 @@
 """Equi-joins.
 
 No hints: with AQE on, Spark turns a side that is small *at run time* into a
-broadcast and otherwise sort-merges, splitting skewed partitions. A forced
-broadcast would have no size bound here because both sides grow with the data.
+broadcast and otherwise sort-merges. AQE splits a hot key on either side of an
+inner join only; so an outer join is written as the inner join and the rows of
+the kept side that match nothing, and semi and anti joins look at the distinct
+keys of the right side.
 """
 
 from __future__ import annotations
@@ -11,15 +13,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-JOIN_TYPES = (
-    "inner",
-    "left",
-    "right",
-    "full",
-    "left_semi",
-    "left_anti",
-)
-
 
 def join_on(
     left: DataFrame,
@@ -27,5 +20,18 @@ def join_on(
     on: str | Sequence[str],
     how: str = "inner",
 ) -> DataFrame:
-    """USING-style join: each key column appears once, first."""
-    return left.join(right, on=on if isinstance(on, str) else list(on), how=how)
+    """USING-style join: each key column appears once, first (J1). ``how`` is
+    inner, left, right, full, left_semi or left_anti. Where both sides have
+    another column of one name, an outer join is left to Spark as it is."""
+    keys = [on] if isinstance(on, str) else list(on)
+    if how in ("left_semi", "left_anti"):
+        return left.join(right.select(*keys).distinct(), keys, how)
+    named = [c.lower() for c in [*left.columns, *right.columns]]
+    if how == "inner" or len(set(named)) != len(named) - len(keys):
+        return left.join(right, keys, how)
+    out = both = left.join(right, keys)
+    if how in ("left", "full"):
+        out = out.unionByName(join_on(left, right, keys, "left_anti"), allowMissingColumns=True)
+    if how in ("right", "full"):
+        out = out.unionByName(join_on(right, left, keys, "left_anti"), allowMissingColumns=True)
+    return out.select(*both.columns)

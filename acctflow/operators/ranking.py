@@ -53,21 +53,19 @@ def arg_max_over(
     value: str,
     by: str | Sequence[str],
     name: str,
-    row_id: Sequence[str] | None = None,
 ) -> DataFrame:
     """Each row gets ``value`` of its group's row with the largest ``by``.
 
     ``by`` may list several columns, compared in order, so ties can be broken
     deterministically. A ``max_by`` aggregate (combined map-side) joined back
     on the keys with hot keys split, instead of a window that would hold a
-    whole group in one task. ``row_id`` names columns that tell rows apart
-    (used to salt hot keys; default every column).
+    whole group in one task.
     """
     by_cols = [by] if isinstance(by, str) else list(by)
     best = df.groupBy(*keys).agg(
-        F.max_by(F.col(value), F.struct(*by_cols)).alias(name), F.count(F.lit(1)).alias("__n")
+        F.max_by(F.col(value), F.struct(*by_cols)).alias(name)
     )
-    return join_by_key(df, best, keys, "__n", "left", salt_by=row_id)
+    return join_by_key(df, best, keys)
 
 
 def ordinal(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:

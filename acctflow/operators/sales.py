@@ -20,9 +20,8 @@ def money_sum(column: str, decimals: int | None) -> F.Column:
     """
     if decimals is None:
         return F.sum(column)
-    # Values as decimal(15, d); the total as decimal(38, d), room for any
-    # realistic sum (10^36) where decimal(18, d) would overflow near 10^16.
-    return F.sum(F.col(column).cast(f"decimal(15,{decimals})")).cast(f"decimal(38,{decimals})")
+    # Summed as decimal(28, d), so the sum itself is decimal(38, d).
+    return F.sum(F.col(column).cast(f"decimal(28,{decimals})")).cast(f"decimal(38,{decimals})")
 
 
 def revenue_by_region(
@@ -39,7 +38,7 @@ def top_units(
     sales: DataFrame,
     item_type: str,
     n: int = 5,
-    tie_break: Sequence[str] = ("Order_ID",),
+    tie_break: Sequence[str] = (),
 ) -> DataFrame:
     """The ``n`` rows of one item type with the most units sold (O2).
 
@@ -55,7 +54,7 @@ def region_orders_in_range(
     region: str,
     start,
     end,
-    tie_break: Sequence[str] = ("Order_ID",),
+    tie_break: Sequence[str] = (),
 ) -> DataFrame:
     """Orders of one region with an order date in [start, end], by date (O3).
 

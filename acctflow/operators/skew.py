@@ -1,143 +1,34 @@
-"""Joining a per-key summary back to the rows it summarises, with hot keys split.
+"""Joining a per-key summary back to the rows it summarises, at any skew.
 
 The pattern "aggregate per key, join the result back to the rows" appears in
-the graph rounds, component labels and alert keys. AQE's skew-join cannot
-help there: it only splits joins whose two inputs are plain shuffles, and one
-input here is an aggregate. So the split is done explicitly.
-
-The per-key table carries each key's row count (free: it comes out of the
-same aggregate). Keys with at least ``HOT_ROWS`` rows, at most
-``MAX_HOT_KEYS`` of them (the heaviest), are hot. The hot list is broadcast:
-its size is bounded by ``MAX_HOT_KEYS`` whatever the data. Rows of a hot key
-get a salt from a hash of the whole row, so a retried task puts every row in
-the same bucket again; the hot key's summary row is copied once per salt.
-A key gets ceil(rows / ``HOT_ROWS``) salts, so each (key, salt) bucket holds
-about ``HOT_ROWS`` rows however big the key is: a key with a third of 10^12
-rows becomes ~170 000 buckets of ~2 million rows, at the price of ~170 000
-copies of one summary row. The join then runs on (key, salt), one shuffle.
-Cold keys have salt 0 and join as before.
-
-Two ways to get the hot list: inside the same plan (default; the aggregate's
-shuffle is shared), or measured beforehand with ``hot_keys`` when the
-per-key table is cached or on disk; a measured empty list gives a plain join.
+component labels and alert keys. A window would hold a whole key in one task,
+and AQE's skew-join does not split a join one of whose inputs is an aggregate.
+So the summary, one small row per key, is written first: then both inputs of
+the join are plain shuffles, and AQE splits the rows of every hot key by their
+size at run time. There is no list of hot keys, no limit on their number and
+one code path for all sizes.
+
+Rows with a null key match nothing; they get a salt from a hash of the row, so
+they spread over all partitions whether AQE is on or not.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
-
-# Tunables, read at call time so tests can lower them. A session can set
-# the threshold without code changes: spark.conf.set("acctflow.skew.hotRows", n).
-HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 1000
-MAX_SALT = 1 << 20
-HOT_ROWS_CONF = "acctflow.skew.hotRows"
-
-
-def hot_threshold(spark: SparkSession, hot_rows: int | None = None) -> int:
-    """Rows from which one key counts as hot: the argument, else the session
-    setting ``acctflow.skew.hotRows``, else ``HOT_ROWS``."""
-    if hot_rows is not None:
-        return hot_rows
-    try:
-        configured = spark.conf.get(HOT_ROWS_CONF, None)
-    except Exception:  # noqa: BLE001
-        configured = None
-    return int(configured) if configured else HOT_ROWS
-
-
-def _salts(n, threshold: int):
-    return F.least(F.ceil(n / F.lit(threshold)), F.lit(MAX_SALT)).cast("int")
-
-
-def hot_keys(
-    per_key: DataFrame, keys: Sequence[str], count_col: str, hot_rows: int | None = None
-) -> list[tuple]:
-    """The heaviest keys with at least ``HOT_ROWS`` rows, as (*key, salts)
-    tuples on the driver: at most ``MAX_HOT_KEYS`` of them, whatever the data.
-    Meant for a ``per_key`` that is cached or cheap to read."""
-    threshold = hot_threshold(per_key.sparkSession, hot_rows)
-    n = F.col(count_col)
-    top = (
-        per_key.where(n >= threshold)
-        .orderBy(n.desc())
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, _salts(n, threshold).alias("__salts"))
-    )
-    return [tuple(r) for r in top.collect()]
-
 
-def join_by_key(
-    rows: DataFrame,
-    per_key: DataFrame,
-    keys: Sequence[str],
-    count_col: str,
-    how: str = "left",
-    hot_rows: int | None = None,
-    salt_by: Sequence[str] | None = None,
-    hot: list[tuple] | None = None,
-) -> DataFrame:
-    """``rows`` joined to ``per_key`` (one row per key, ``count_col`` = how
-    many of ``rows`` have that key) on ``keys``; ``count_col`` is dropped.
+from acctflow.session import materialize
 
-    ``how`` is "left" or "inner". The result has the columns of ``rows`` then
-    those of ``per_key``. The salt of a hot row is a hash of ``salt_by``
-    (default: every column of ``rows``); naming a row id there keeps the other
-    columns prunable when a later projection does not need them.
 
-    ``hot`` is the hot-key list from ``hot_keys`` when the caller has measured
-    it already (an empty list gives a plain join that keeps the aggregate's
-    partitioning). Without it the hot keys are found inside the same plan.
-    """
+def join_by_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """``rows`` joined to ``per_key`` (one row per key) on ``keys``, "left" or
+    "inner"; the columns of ``rows``, then those of ``per_key``."""
     if how not in ("left", "inner"):
         raise ValueError("join_by_key supports left and inner joins")
     keys = list(keys)
-    payload = [c for c in per_key.columns if c not in keys and c != count_col]
-    if hot is not None and not hot:
-        return rows.join(per_key.drop(count_col), keys, how).select(*rows.columns, *payload)
-    threshold = hot_threshold(rows.sparkSession, hot_rows)
-    n = F.col(count_col)
-    if hot is None:
-        # Always true, but it reads the payload columns: the hot list then
-        # comes from the very same aggregate as the payload side, and Spark
-        # reuses that shuffle instead of running a second, count-only one.
-        same_aggregate = (
-            F.xxhash64(*[F.col(c) for c in payload]) >= F.lit(-(2**63)) if payload else F.lit(True)
-        )
-        hot_df = (
-            per_key.where((n >= threshold) & same_aggregate)
-            .orderBy(n.desc())
-            .limit(MAX_HOT_KEYS)
-            .select(*keys, _salts(n, threshold).alias("__salts"))
-        )
-        # Every key over the threshold gets one summary copy per salt (a
-        # superset of the salts its rows can carry): no hot list needed here.
-        copies = F.when(n >= threshold, _salts(n, threshold)).otherwise(F.lit(1))
-        salted_keys = per_key.withColumn("__salt", F.explode(F.sequence(F.lit(0), copies - 1)))
-    else:
-        key_fields = [per_key.schema[k] for k in keys]
-        schema = StructType([*key_fields, StructField("__salts", IntegerType(), False)])
-        hot_df = rows.sparkSession.createDataFrame(hot, schema)
-        copies = F.coalesce(F.col("__salts"), F.lit(1))
-        salted_keys = (
-            per_key.join(F.broadcast(hot_df), keys, "left")
-            .withColumn("__salt", F.explode(F.sequence(F.lit(0), copies - 1)))
-            .drop("__salts")
-        )
-    hot_b = F.broadcast(hot_df)
-    salted_rows = (
-        rows.join(hot_b, keys, "left")
-        .withColumn(
-            "__salt",
-            F.when(F.col("__salts").isNull(), F.lit(0)).otherwise(
-                F.pmod(F.xxhash64(*[F.col(c) for c in (salt_by or rows.columns)]), F.col("__salts")).cast("int")
-            ),
-        )
-        .drop("__salts")
-    )
-    joined = salted_rows.join(salted_keys.drop(count_col), [*keys, "__salt"], how)
-    return joined.select(*rows.columns, *payload)
+    summary = materialize(per_key, "per-key").withColumn("__salt", F.lit(0).cast("long"))
+    no_key = F.coalesce(*[F.when(F.col(k).isNull(), F.xxhash64(*rows.columns)) for k in keys], F.lit(0).cast("long"))
+    joined = rows.withColumn("__salt", no_key).join(summary, [*keys, "__salt"], how)
+    return joined.select(*rows.columns, *[c for c in per_key.columns if c not in keys])

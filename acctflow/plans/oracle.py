@@ -62,6 +62,16 @@ PAY = """pay AS (
         FROM lineitem GROUP BY l_partkey, l_suppkey) g)"""
 
 
+TRANSFERS = """pay AS (
+  SELECT o_orderkey AS REF_ID, 'o' || CAST(o_orderkey AS VARCHAR) AS ORIG,
+         'o' || CAST(lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS VARCHAR) AS BENEF,
+         CASE WHEN o_custkey % 10 <> 7 THEN CAST(floor(o_totalprice / 100000) AS DOUBLE) END AS TOTAL_Score,
+         o_orderdate AS PAYMENT_DATE
+  FROM orders)"""
+
+VISITS = "visits AS (SELECT CAST(user_id AS BIGINT) AS customerId, event_id AS event, value FROM events)"
+
+
 def _with(*ctes: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
 
@@ -243,7 +253,7 @@ def _sql() -> dict[str, str]:
         + "SELECT * FROM customers c WHERE NOT EXISTS "
         + "(SELECT 1 FROM accounts a WHERE a.customerId = c.customerId)",
         "revenue_by_region": _with(SALES)
-        + "SELECT Region, CAST(sum(CAST(Total_Revenue AS DECIMAL(15,2))) AS DECIMAL(38,2)) AS Total_Revenue "
+        + "SELECT Region, CAST(sum(CAST(Total_Revenue AS DECIMAL(28,2))) AS DECIMAL(38,2)) AS Total_Revenue "
         + "FROM sales GROUP BY Region",
         "top_units": _with(SALES)
         + f"SELECT * FROM sales WHERE Item_Type = '{q.ITEM_TYPE}' "
@@ -289,6 +299,28 @@ def _sql() -> dict[str, str]:
         + "WHEN value <= 100 THEN '4' END AS \"rank\" FROM events",
         "score_filter": _with(PAY)
         + f"SELECT REF_ID, ORIG, BENEF, TOTAL_Score FROM pay WHERE TOTAL_Score >= {q.ALERT_THRESHOLD}",
+        **{
+            f"join_{how}_unmatched": _with(c, VISITS)
+            + f"SELECT {key} AS customerId, c.forename, c.surname, v.event, v.value "
+            + f"FROM customers c {how.upper()} JOIN visits v ON c.customerId = v.customerId"
+            for how, key in (("left", "c.customerId"), ("right", "v.customerId"), ("full", "coalesce(c.customerId, v.customerId)"))
+        },
+        "join_left_semi_unmatched": _with(c, VISITS)
+        + "SELECT * FROM customers WHERE customerId IN (SELECT customerId FROM visits)",
+        "join_left_anti_unmatched": _with(c, VISITS)
+        + "SELECT * FROM customers c WHERE NOT EXISTS (SELECT 1 FROM visits v WHERE v.customerId = c.customerId)",
+        "transfer_components": _with(TRANSFERS, *components_ctes("pay", "grp")) + 'SELECT REF_ID, ORIG, BENEF, "Group" FROM grp',
+        "transfer_alert_keys": _with(TRANSFERS, *components_ctes("pay", "grp"), *alert_ctes("grp", "keyed"))
+        + f"SELECT {', '.join(ALERT_COLS)} FROM keyed",
+        "transfer_alert_keys_filled": _with(
+            TRANSFERS, *components_ctes("pay", "grp"), *alert_ctes("grp", "keyed"),
+            winner_cte("keyed", "win", ["Alert_Key AS win_key"]),
+        )
+        + 'SELECT k.REF_ID, k.ORIG, k.BENEF, k."Group", k.TOTAL_Score, k.PAYMENT_DATE, '
+        + 'w.win_key AS Alert_Key FROM keyed k LEFT JOIN win w USING ("Group")',
+        "transfer_best_orig": _with(TRANSFERS, *components_ctes("pay", "grp"))
+        + 'SELECT REF_ID, ORIG, BENEF, "Group", first_value(ORIG) OVER (PARTITION BY "Group" '
+        + "ORDER BY TOTAL_Score DESC NULLS LAST, ORIG DESC, BENEF DESC NULLS LAST) AS best_orig FROM grp",
         "components": _with(PAY, *components_ctes("pay", "grp"))
         + 'SELECT REF_ID, ORIG, BENEF, "Group" FROM grp',
         "alert_keys": whole_keys + f"SELECT {', '.join(ALERT_COLS)} FROM keyed",

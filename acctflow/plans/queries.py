@@ -68,6 +68,14 @@ def _join(how: str, left: str, right: str) -> Query:
     return run
 
 
+def _visits_join(how: str) -> Query:
+    def run(spark, d):
+        return join_on(tm.customers(spark, d), tm.visits(spark, d), "customerId", how)
+
+    run.__name__ = f"join_{how}_unmatched"
+    return run
+
+
 # --- sales -------------------------------------------------------------------
 
 def revenue_by_region(spark, d):
@@ -83,7 +91,7 @@ def top_units(spark, d):
 
 
 def region_orders_range(spark, d):
-    return sales.region_orders_in_range(tm.sales(spark, d), REGION, SALES_START, SALES_END)
+    return sales.region_orders_in_range(tm.sales(spark, d), REGION, SALES_START, SALES_END, tie_break=("Order_ID",))
 
 
 # --- bank --------------------------------------------------------------------
@@ -124,38 +132,16 @@ def txn_totals(spark, d):
     return bank.totals(_typed(spark, d), TXN_START, TXN_END)
 
 
-def _sql_views(spark, d):
-    raw = tm.bank_raw(spark, d)
-    cleaned = columns.keep_columns(
-        columns.parse_date(columns.rename_columns(raw, columns.BANK_COLUMNS), "DATE"),
-        columns.BANK_KEEP,
-    )
-    return bank.sql_views(spark, cleaned, TXN_START, TXN_END)
-
-
-def txn_totals_sql(spark, d):
-    return _sql_views(spark, d)["bank_totals"]
-
-
-def txn_duplicates_sql(spark, d):
-    return _sql_views(spark, d)["bank_duplicate_count"]
-
-
-def txn_range_sql(spark, d):
-    return _sql_views(spark, d)["bank_date_range"]
-
-
-def txn_cheques_sql(spark, d):
-    return _sql_views(spark, d)["bank_chq_trn"]
-
-
-def txn_single_sql(spark, d):
-    return _sql_views(spark, d)["bank_unique_trn"]
-
+def _sql_step(step: str, name: str, **values) -> Query:
+    def run(spark, d):
+        cleaned = columns.keep_columns(
+            columns.parse_date(columns.rename_columns(tm.bank_raw(spark, d), columns.BANK_COLUMNS), "DATE"),
+            columns.BANK_KEEP,
+        )
+        return bank.sql_step(spark, cleaned, step, **values)
 
-def txn_debits_sql(spark, d):
-    _sql_views(spark, d)
-    return bank.sql_of_type(spark, "DR")
+    run.__name__ = name
+    return run
 
 
 # --- row-wise features and bands ---------------------------------------------
@@ -234,7 +220,7 @@ def alert_keys_filled(spark, d):
 def group_best_orig(spark, d):
     df = _alert_input(spark, d)
     return ranking.arg_max_over(
-        df, ["Group"], "ORIG", ["TOTAL_Score", "ORIG", "BENEF"], "best_orig", row_id=["REF_ID", "ORIG", "BENEF"]
+        df, ["Group"], "ORIG", ["TOTAL_Score", "ORIG", "BENEF"], "best_orig"
     ).select(
         "REF_ID", "ORIG", "BENEF", "Group", "best_orig"
     )
@@ -244,7 +230,36 @@ def alert_report(spark, d):
     return alerts.alert_report(tm.payments(spark, d), "TOTAL_Score", ALERT_THRESHOLD)
 
 
+def _transfer_groups(spark, d):
+    return graph.with_components(tm.transfers(spark, d), "ORIG", "BENEF", order_by="REF_ID", name="Group")
+
+
+def transfer_components(spark, d):
+    return _transfer_groups(spark, d).select("REF_ID", "ORIG", "BENEF", "Group")
+
+
+ALERT_COLUMNS = ("REF_ID", "ORIG", "BENEF", "Group", "TOTAL_Score", "PAYMENT_DATE", "Alert_Key")
+
+
+def transfer_alert_keys(spark, d):
+    return alerts.with_alert_key(_transfer_groups(spark, d)).select(*ALERT_COLUMNS)
+
+
+def transfer_alert_keys_filled(spark, d):
+    return alerts.with_alert_key(_transfer_groups(spark, d), fill=True).select(*ALERT_COLUMNS)
+
+
+def transfer_best_orig(spark, d):
+    df = ranking.arg_max_over(_transfer_groups(spark, d), ["Group"], "ORIG", ["TOTAL_Score", "ORIG", "BENEF"], "best_orig")
+    return df.select("REF_ID", "ORIG", "BENEF", "Group", "best_orig")
+
+
 QUERIES: dict[str, Query] = {
+    "transfer_components": transfer_components,
+    "transfer_alert_keys": transfer_alert_keys,
+    "transfer_alert_keys_filled": transfer_alert_keys_filled,
+    "transfer_best_orig": transfer_best_orig,
+    **{f"join_{how}_unmatched": _visits_join(how) for how in ("left", "right", "full", "left_semi", "left_anti")},
     "accounts_per_customer": accounts_per_customer,
     "customers_multi_accounts": customers_multi_accounts,
     "customers_many_accounts_15": customers_many_accounts_15,
@@ -267,12 +282,12 @@ QUERIES: dict[str, Query] = {
     "txn_duplicates": txn_duplicates,
     "txn_single": txn_single,
     "txn_totals": txn_totals,
-    "txn_totals_sql": txn_totals_sql,
-    "txn_duplicates_sql": txn_duplicates_sql,
-    "txn_debits_sql": txn_debits_sql,
-    "txn_range_sql": txn_range_sql,
-    "txn_cheques_sql": txn_cheques_sql,
-    "txn_single_sql": txn_single_sql,
+    "txn_totals_sql": _sql_step("totals", "txn_totals_sql", first=TXN_START, last=TXN_END),
+    "txn_duplicates_sql": _sql_step("repeated", "txn_duplicates_sql"),
+    "txn_debits_sql": _sql_step("one_type", "txn_debits_sql", kind="DR"),
+    "txn_range_sql": _sql_step("in_range", "txn_range_sql", first=TXN_START, last=TXN_END),
+    "txn_cheques_sql": _sql_step("cheques", "txn_cheques_sql"),
+    "txn_single_sql": _sql_step("single", "txn_single_sql", first=TXN_START, last=TXN_END),
     "row_top3": row_top3,
     "row_top3_int": row_top3_int,
     "row_topk_values": row_topk_values,

@@ -12,14 +12,15 @@ threshold, and sort-merges otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from acctflow.functions.columns import SALES_COLUMNS, parse_dates, rename_columns
+from acctflow.sources.io import read_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet", fmt="parquet")
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +130,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("l_tax").alias("t"),
         F.max("l_linenumber").alias("ln"),
         F.count(F.lit(1)).alias("n"),
-        F.max("l_returnflag").alias("rf"),
+        F.max(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("returned"),
         F.max("l_extendedprice").alias("TOTAL_Score"),
         F.min("l_shipdate").alias("PAYMENT_DATE"),
     )
@@ -141,7 +142,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.ceil(F.col("q") / 10).cast("double").alias("FEATURE1_Score"),
         F.lit("Discount").alias("FEATURE2"),
         F.round(F.col("d") * 100).cast("double").alias("FEATURE2_Score"),
-        F.when(F.col("rf") == "R", F.lit("Discount")).otherwise(F.lit("Tax")).alias("FEATURE3"),
+        F.when(F.col("returned") == 1, F.lit("Discount")).otherwise(F.lit("Tax")).alias("FEATURE3"),
         F.round(F.col("t") * 100).cast("double").alias("FEATURE3_Score"),
         F.lit("Line").alias("FEATURE4"),
         F.col("ln").cast("double").alias("FEATURE4_Score"),
@@ -151,3 +152,28 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("PAYMENT_DATE"),
         F.month("PAYMENT_DATE").alias("MONTH"),
     )
+
+
+def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(customerId, event, value) of every event; many customers have none."""
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("long").alias("customerId"), F.col("event_id").alias("event"), "value"
+    )
+
+
+def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A payment graph with one component per customer with orders: each order
+    is linked to the same customer's order before; the first has no BENEF.
+
+    Scores are order totals in steps of 100,000, so ties occur; customers whose
+    number ends in 7 have none, so their groups have no key.
+    """
+    before = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    score = F.when(F.col("o_custkey") % 10 != 7, F.floor(F.col("o_totalprice") / 100000).cast("double"))
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("REF_ID"),
+        F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("ORIG"),
+        F.concat(F.lit("o"), F.lag("o_orderkey").over(before).cast("string")).alias("BENEF"),
+        score.alias("TOTAL_Score"),
+        F.col("o_orderdate").alias("PAYMENT_DATE"),
+    )

@@ -55,17 +55,15 @@ def test_duplicates_singles_totals(spark):
 
 def test_sql_form_matches_api(spark):
     cleaned = keep_columns(parse_date(rename_columns(_raw(spark), BANK_COLUMNS), "DATE"), BANK_KEEP)
-    views = bank.sql_views(spark, cleaned, *FEB)
     typed = bank.prepare(_raw(spark))
-    assert sorted(map(tuple, views["bank_totals"].collect())) == sorted(
-        map(tuple, bank.totals(typed, *FEB).collect())
-    )
-    assert sorted(map(tuple, views["bank_duplicate_count"].collect())) == sorted(
-        map(tuple, bank.duplicates(typed).collect())
-    )
-    assert bank.sql_of_type(spark, "DR").count() == 3
+    days = dict(zip(("first", "last"), FEB))
+    for step, expected in (("totals", bank.totals(typed, *FEB)), ("repeated", bank.duplicates(typed))):
+        found = bank.sql_step(spark, cleaned, step, **days)
+        assert found.columns == expected.columns
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    assert bank.sql_step(spark, cleaned, "one_type", kind="DR").count() == 3
     # A quote in a bound parameter is data, not SQL.
-    assert bank.sql_of_type(spark, "DR' OR '1'='1").count() == 0
+    assert bank.sql_step(spark, cleaned, "one_type", kind="DR' OR '1'='1").count() == 0
 
 
 def test_typing_runs_on_a_stream(spark, tmp_out):

@@ -8,6 +8,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from acctflow.plans.queries import QUERIES
 from tests.oracle_check import compare, duck
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -20,10 +21,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     problems, _, _ = compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], SF_DIR)
     assert not problems, problems

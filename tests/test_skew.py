@@ -1,54 +1,51 @@
-"""Hot-key splitting: same results with the split forced on."""
+"""Joining summaries back to rows: results with hot and null keys, split plan."""
 
 from __future__ import annotations
 
 import pytest
 from pyspark.sql import functions as F
 
-from acctflow.operators import alerts, graph, skew
-
-
-def test_join_by_key_splits_hot_keys(spark, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_SALT", 4)
-    rows = spark.range(0, 3000).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("k"),
-        F.col("id"),
-    ).union(spark.createDataFrame([(None, 9999)], "k string, id long"))
-    per_key = rows.groupBy("k").agg(F.sum("id").alias("total"), F.count(F.lit(1)).alias("__n"))
-    plain = rows.join(per_key.drop("__n"), "k", "left").select("k", "id", "total")
-    split = skew.join_by_key(rows, per_key, ["k"], "__n", "left", hot_rows=100)
-    assert split.columns == ["k", "id", "total"]
-    assert sorted(map(tuple, split.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
-    listed = skew.hot_keys(per_key, ["k"], "__n", hot_rows=100)
-    assert [k for k, _ in listed] == ["hot"]
-    measured = skew.join_by_key(rows, per_key, ["k"], "__n", "left", hot_rows=100, hot=listed)
-    assert sorted(map(tuple, measured.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
-    none_hot = skew.join_by_key(rows, per_key, ["k"], "__n", "left", hot=[])
-    assert none_hot.count() == 3001
-    inner = skew.join_by_key(rows, per_key, ["k"], "__n", "inner", hot_rows=100)
-    assert inner.count() == 3000
-    with pytest.raises(ValueError):
-        skew.join_by_key(rows, per_key, ["k"], "__n", "full")
+from acctflow.operators.skew import join_by_key
 
 
-def test_graph_and_alerts_same_with_split(spark, monkeypatch):
-    rows = [(i, "hub" if i % 2 == 0 else f"a{i}", f"b{i % 7}") for i in range(200)]
-    rows += [(500 + i, f"c{i}", f"c{i + 1}") for i in range(30)]
-    df = spark.createDataFrame(rows, "REF_ID long, ORIG string, BENEF string").withColumns(
-        {"TOTAL_Score": (F.col("REF_ID") % 13).cast("double"), "PAYMENT_DATE": F.lit("2020-01-01")}
+def _rows(spark):
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.lit(None)).otherwise(
+        F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))
     )
-    plain = {r.REF_ID: (r.Group, r.Alert_Key) for r in alerts.with_alert_key(graph.with_components(df), fill=True).collect()}
-    monkeypatch.setattr(skew, "HOT_ROWS", 3)
-    split = {r.REF_ID: (r.Group, r.Alert_Key) for r in alerts.with_alert_key(graph.with_components(df), fill=True).collect()}
-    assert plain == split
-    assert len({g for g, _ in plain.values()}) == 2
+    return spark.range(0, 3000).select(key.alias("k"), "id")
+
+
+def test_join_by_key_equals_plain_join(spark):
+    rows = _rows(spark)
+    per_key = rows.groupBy("k").agg(F.sum("id").alias("total"))
+    plain = rows.join(per_key, "k", "left").select("k", "id", "total")
+    out = join_by_key(rows, per_key, ["k"])
+    assert out.columns == ["k", "id", "total"]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    assert join_by_key(rows, per_key, ["k"], "inner").count() == 2000
+    with pytest.raises(ValueError):
+        join_by_key(rows, per_key, ["k"], "full")
 
 
-def test_hot_threshold_from_session(spark):
-    assert skew.hot_threshold(spark, 5) == 5
-    spark.conf.set(skew.HOT_ROWS_CONF, "123")
+def test_hot_key_is_split_and_nulls_spread(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
     try:
-        assert skew.hot_threshold(spark) == 123
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = spark.range(0, 60000, 1, 8).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+        out = join_by_key(rows, rows.groupBy("k").agg(F.max("id").alias("m")), ["k"])
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+        nulls = spark.range(0, 8000, 1, 8).select(F.lit(None).cast("long").alias("k"), "id")
+        spread = join_by_key(nulls, rows.groupBy("k").agg(F.max("id").alias("m")), ["k"])
+        sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 8000 and max(sizes) < 2500
     finally:
-        spark.conf.unset(skew.HOT_ROWS_CONF)
-    assert skew.hot_threshold(spark) == skew.HOT_ROWS
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
