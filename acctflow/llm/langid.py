@@ -25,8 +25,9 @@ length.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -83,6 +84,7 @@ class Model:
     hashes: np.ndarray
     values: np.ndarray
     limits: dict[str, tuple[float, float, float]]
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def look_up(self, hashes: np.ndarray, unseen: float) -> np.ndarray:
         if not len(self.hashes):
@@ -111,7 +113,7 @@ class Model:
 class Scorer:
     """Costs of whole texts; costs of chunks are kept in a bounded memo."""
 
-    def __init__(self, model: Model, size: int = 200_000, block: int = 20_000):
+    def __init__(self, model: Model, size: int = 300_000, block: int = 20_000):
         self.model, self.size, self.block = model, size, block
         self.rows: dict[str, int] = {}
         self.costs = np.zeros((0, len(model.langs) + 1))
@@ -152,6 +154,18 @@ class Scorer:
         return sums[:, :-1] / np.maximum(n, 1)[:, None], n
 
 
+_held: dict[str, Scorer] = {}
+
+
+def scorer_of(model: Model) -> Scorer:
+    """The scorer of a model in this Python worker, with its memo from the
+    tasks before; one model's at a time."""
+    if model.key not in _held:
+        _held.clear()
+        _held[model.key] = Scorer(model)
+    return _held[model.key]
+
+
 def gram_counts(labelled: DataFrame, flush_words: int = 50_000) -> DataFrame:
     """(lang, gram, n): counts of 4-grams over ``labelled`` (lang, text). Tasks
     count words in a bounded table first and send sums."""
@@ -270,7 +284,7 @@ def _limits(calibration: DataFrame, model: Model, sigmas: float) -> dict[str, tu
     langs = list(model.langs)
 
     def run(batches):
-        scorer = Scorer(sent.value)
+        scorer = scorer_of(sent.value)
         for batch in pieces(batches, max_bytes=SLICE):
             lang = batch.column(0).to_pylist()
             costs, n = scorer.texts(batch.column(1).to_pylist())
@@ -313,7 +327,7 @@ def identify(
 
     def make():
         m = sent.value
-        scorer = Scorer(m)
+        scorer = scorer_of(m)
         limits = np.array([m.limits.get(x, (np.inf, 0.0, 0.0)) for x in m.langs]).reshape(-1, 3)
 
         def arrays(texts: list[str]) -> list[pa.Array]:
