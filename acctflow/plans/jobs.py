@@ -12,7 +12,6 @@ import datetime as dt
 import os
 from collections.abc import Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from acctflow.operators import accounts as acc
@@ -58,17 +57,13 @@ def sales_job(
 ) -> dict[str, DataFrame]:
     """Revenue per region, top units for one item type, one region's
     orders in a date range."""
-    cached = sales_df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        outputs = {
-            "TotalRevenuePerRegion": sales.revenue_by_region(cached),
-            "HighestUnitsSold": sales.top_units(cached, item_type),
-            "TotalProfitByRegion": sales.region_orders_in_range(cached, region, start, end),
-        }
-        _write_all(outputs, out_dir, fmt)
-    finally:
-        if out_dir is not None:
-            cached.unpersist()
+    ties = tuple(c for c in ("Order_ID",) if c in sales_df.columns)
+    outputs = {
+        "TotalRevenuePerRegion": sales.revenue_by_region(sales_df),
+        "HighestUnitsSold": sales.top_units(sales_df, item_type, tie_break=ties),
+        "TotalProfitByRegion": sales.region_orders_in_range(sales_df, region, start, end, tie_break=ties),
+    }
+    _write_all(outputs, out_dir, fmt)
     return outputs
 
 
@@ -98,25 +93,19 @@ def bank_job(
 ) -> dict[str, DataFrame]:
     """C4: typed statement -> debit, credit and cheque files; date range,
     duplicates, per-account totals. Credits are written under their own name."""
-    typed = bank.prepare(raw).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        outputs = {
-            "Debit_Transaction": bank.of_type(typed, "DR"),
-            "Credit_Transaction": bank.of_type(typed, "CR"),
-            "Cheque_Transaction": bank.cheques(typed),
-        }
-        _write_all(outputs, out_dir, fmt)
-        outputs.update(
-            {
-                "DateRange": bank.in_range(typed, start, end),
-                "Duplicates": bank.duplicates(typed),
-                "Totals": bank.totals(typed, totals_start or start, totals_end or end),
-            }
-        )
-    finally:
-        if out_dir is not None:
-            typed.unpersist()
-    return outputs
+    typed = bank.prepare(raw)
+    outputs = {
+        "Debit_Transaction": bank.of_type(typed, "DR"),
+        "Credit_Transaction": bank.of_type(typed, "CR"),
+        "Cheque_Transaction": bank.cheques(typed),
+    }
+    _write_all(outputs, out_dir, fmt)
+    return {
+        **outputs,
+        "DateRange": bank.in_range(typed, start, end),
+        "Duplicates": bank.duplicates(typed),
+        "Totals": bank.totals(typed, totals_start or start, totals_end or end),
+    }
 
 
 def accounts_and_sales_job(

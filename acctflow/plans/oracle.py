@@ -338,3 +338,10 @@ def _sql() -> dict[str, str]:
 
 
 ORACLE_SQL: dict[str, str] = _sql()
+ORACLE_SQL |= {
+    "job_accounts": ORACLE_SQL["accounts_per_customer"],
+    "job_sales": ORACLE_SQL["region_orders_range"],
+    "job_bank": ORACLE_SQL["txn_debits"],
+    "job_features": ORACLE_SQL["alert_report"],
+    "accounts_semicolon": _with(ACCOUNTS) + "SELECT * FROM accounts",
+}

@@ -9,6 +9,7 @@ matching oracle SQL (``acctflow.plans.oracle``).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,10 @@ from acctflow.operators import accounts as acc
 from acctflow.operators import alerts, bank, graph, ranking, sales
 from acctflow.operators.filters import at_least
 from acctflow.operators.joins import join_on
+from acctflow.plans import jobs
+from acctflow.session import ensure_checkpoint_dir
 from acctflow.sources import testmap as tm
+from acctflow.sources.io import read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -254,7 +258,52 @@ def transfer_best_orig(spark, d):
     return df.select("REF_ID", "ORIG", "BENEF", "Group", "best_orig")
 
 
+# --- jobs: every output written, one read back ---------------------------------
+
+def _folder(spark) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/acctflow/job-{uuid.uuid4().hex}"
+
+
+def _read_back(spark, folder, outputs, name, fmt):
+    return read_table(spark, f"{folder}/{name}", fmt=fmt, schema=outputs[name].schema)
+
+
+def job_accounts(spark, d):
+    folder = _folder(spark)
+    out = jobs.accounts_job(tm.accounts(spark, d), tm.customers(spark, d), folder)
+    return _read_back(spark, folder, out, "AccountsPerCustomer", "csv")
+
+
+def job_sales(spark, d):
+    folder = _folder(spark)
+    out = jobs.sales_job(tm.sales(spark, d), folder, ITEM_TYPE, REGION, SALES_START, SALES_END)
+    return _read_back(spark, folder, out, "TotalProfitByRegion", "csv")
+
+
+def job_bank(spark, d):
+    folder = _folder(spark)
+    out = jobs.bank_job(tm.bank_raw(spark, d), TXN_START, TXN_END, out_dir=folder)
+    return _read_back(spark, folder, out, "Debit_Transaction", "parquet")
+
+
+def job_features(spark, d):
+    folder = _folder(spark)
+    out = jobs.customer_feature_job(tm.payments(spark, d), folder, threshold=ALERT_THRESHOLD)
+    return _read_back(spark, folder, out, "AlertReport", "parquet")
+
+
+def accounts_semicolon(spark, d):
+    folder, rows = _folder(spark), tm.accounts(spark, d)
+    write_table(rows, folder, fmt="csv", sep=";")
+    return read_table(spark, folder, fmt="csv", schema=rows.schema, sep=";")
+
+
 QUERIES: dict[str, Query] = {
+    "job_accounts": job_accounts,
+    "job_sales": job_sales,
+    "job_bank": job_bank,
+    "job_features": job_features,
+    "accounts_semicolon": accounts_semicolon,
     "transfer_components": transfer_components,
     "transfer_alert_keys": transfer_alert_keys,
     "transfer_alert_keys_filled": transfer_alert_keys_filled,
