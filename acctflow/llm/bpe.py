@@ -117,6 +117,7 @@ class BacktrackingBPE:
         for s, r in usable.items():
             self._automaton.add_word(s, r)
         self._automaton.make_automaton()
+        self._longest = max(map(len, usable), default=1)
         self._compatible_memo = _Pairs(self._compatible)
 
     def _compatible(self, left: int, right: int, below: int = 1 << 60) -> bool:
@@ -165,8 +166,12 @@ class BacktrackingBPE:
         closed: set[int] = set()  # positions found to be dead ends
         at = 0
         # The longest token at each position; the scan goes on by itself as
-        # long as each longest token is the one taken.
-        matches = self._automaton.iter_long(word)
+        # long as each longest token is the one taken. A scan covers a window,
+        # so that a new one costs the same in a word of any length; a match
+        # that the window's end might cut short is not taken from it.
+        window = 4 * self._longest
+        sure = window - self._longest
+        matches = self._automaton.iter_long(word[:window])
         token = next(matches)[1]
         while True:
             last = out[-1] if out else -1
@@ -178,8 +183,9 @@ class BacktrackingBPE:
                     at = end
                     if at == n:
                         return [self._ids[r] for r in out]
-                    if token != longest:
-                        matches = self._automaton.iter_long(word, at)
+                    if token != longest or at > sure:
+                        matches = self._automaton.iter_long(word[at : at + window])
+                        sure = at + window - self._longest
                     token = next(matches)[1]
                     break
                 shorter = self._shorter[token]

@@ -155,6 +155,20 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(set(out))
 
 
+def der_chars(head: str) -> int:
+    """Base64 characters of the DER element that ``head``, its first 24, opens;
+    0 unless it is a SEQUENCE that begins with a version number. A quick look,
+    so that a run of many lines isn't decoded whole from each of them."""
+    raw = from_base64(head)
+    if len(raw) < 2 or raw[0] != SEQUENCE:
+        return 0
+    at = 2 + (raw[1] & 0x7F if raw[1] & 0x80 else 0)
+    if raw[at : at + 3] not in (b"\x02\x01\x00", b"\x02\x01\x01"):
+        return 0
+    n = at + (int.from_bytes(raw[2:at], "big") if raw[1] & 0x80 else raw[1])
+    return -(-n * 8 // 6)
+
+
 def encoded_keys(run: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of keys that begin a line of a base64 run. A key says
     how long it is, so what stands behind it doesn't matter."""
@@ -162,8 +176,10 @@ def encoded_keys(run: str) -> list[tuple[int, int, int]]:
     while at >= 0:
         # 0x30 is encoded with this first character, the magic with these.
         kind = 4 if run.startswith("M", at) else 5 if run.startswith("b3BlbnNzaC1rZXktdjE", at) else 0
-        if kind:
-            raw = from_base64(run[at:])
+        need = der_chars(run[at : at + 24]) if kind == 4 else len(run) - at if kind else 0
+        if 0 < need <= len(run) - at:
+            # At most two line-end characters stand behind each of the alphabet.
+            raw = from_base64(run[at : at + 3 * need])
             n = private_key_length(raw) if kind == 4 else openssh_key_length(raw)
             if n:
                 chars = -(-n * 8 // 6)  # of the alphabet, without padding
