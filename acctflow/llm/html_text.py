@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
+from html import unescape
 from html.parser import HTMLParser
 
 import numpy as np
@@ -55,9 +57,30 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int]] = []
         self.containers: list[tuple[int, str]] = [(-1, "")]  # (parent, tag)
-        self._open: list[tuple[str, bool, int]] = [("", False, 0)]  # tag, left out, container
+        # Tag, left out, container, inside an article.
+        self._open: list[tuple[str, bool, int, bool]] = [("", False, 0, False)]
+        self._count: Counter = Counter()  # open elements per tag
         self._parts: list[str] = []
         self._tags = 0
+        self._endless = False
+
+    def read(self, html: str) -> None:
+        """A whole page. What stands behind its last ``>`` holds no whole tag and
+        is text, so the parser needn't look for the end of each ``<`` in it."""
+        cut = html.rfind(">") + 1
+        self.feed(html[:cut])
+        if self.rawdata or self.cdata_elem:
+            self.feed(html[cut:])
+        else:
+            self.handle_data(unescape(html[cut:]))
+        self.close()
+        self.finish()
+
+    def parse_comment(self, i, report=True):
+        # Behind a comment without an end there is none with one.
+        end = -1 if self._endless else super().parse_comment(i, report)
+        self._endless = end < 0
+        return end
 
     def finish(self) -> None:
         """The text so far is a line, if there is any."""
@@ -71,7 +94,7 @@ class Lines(HTMLParser):
     def _left_out(self, tag: str, attrs) -> bool:
         if tag in SKIPPED:
             return True
-        inside = any(t in ("article", "main") for t, _, _ in self._open)
+        inside = self._open[-1][3]
         if tag == "header" and not inside:
             return True
         named = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
@@ -98,12 +121,13 @@ class Lines(HTMLParser):
             self._close("nav", ("article", "main"))
         elif tag in ("li", "option", "tr", "td", "th", "dd", "dt"):
             self._close(tag, ("ul", "ol", "select", "table", "dl", "div", "article"))
-        _, out, container = self._open[-1]
+        _, out, container, inside = self._open[-1]
         out = out or self._left_out(tag, attrs)
         if tag in CONTAINERS:
             self.containers.append((container, tag))
             container = len(self.containers) - 1
-        self._open.append((tag, out, container))
+        self._open.append((tag, out, container, inside or tag in ("article", "main")))
+        self._count[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         if tag in VOID:
@@ -114,9 +138,13 @@ class Lines(HTMLParser):
 
     def _close(self, tag: str, within: tuple[str, ...]) -> None:
         """End the innermost open ``tag``, unless one of ``within`` is nearer."""
+        if not self._count[tag]:
+            return
         for k in range(len(self._open) - 1, 0, -1):
             if self._open[k][0] == tag:
-                self.finish()
+                if any(t in BLOCKS for t, *_ in self._open[k:]):
+                    self.finish()  # the end of an inline element goes on in its line
+                self._count.subtract(t for t, *_ in self._open[k:])
                 del self._open[k:]
                 return
             if self._open[k][0] in within:
@@ -145,9 +173,7 @@ def smoothed(ratios: np.ndarray, radius: int = 2, sigma: float = 1.0) -> np.ndar
 def main_text(html: str) -> str:
     """The article's blocks, joined by an empty line."""
     page = Lines()
-    page.feed(html)
-    page.close()
-    page.finish()
+    page.read(html)
     lines, containers = page.lines, page.containers
     if not lines:
         return ""
@@ -156,10 +182,9 @@ def main_text(html: str) -> str:
     content = ratios >= ratios.std()
     mass = [0.0] * len(containers)
     for (_, _, c), size, chosen in zip(lines, sizes, content):
-        if chosen:
-            while c >= 0:
-                mass[c] += size
-                c = containers[c][0]
+        mass[c] += size * chosen
+    for c in range(len(containers) - 1, 0, -1):  # a container's parent has a smaller number
+        mass[containers[c][0]] += mass[c]
     total = mass[0]
     # The innermost container with most of the content; later ones are deeper.
     region = max(k for k in range(len(mass)) if mass[k] >= 0.6 * total)
@@ -171,12 +196,10 @@ def main_text(html: str) -> str:
     if wide is None:
         held = [k for k, (_, tag) in enumerate(containers) if tag in ("article", "main") and mass[k] >= 0.5 * total]
         wide = held[0] if held else region
-    kept = []
-    for text, _, c in lines:
-        while c > wide:  # a container's parent has a smaller number
-            c = containers[c][0]
-        if c == wide:
-            kept.append(text)
+    within = [k == wide for k in range(len(containers))]
+    for k, (parent, _) in enumerate(containers):
+        within[k] = within[k] or k > 0 and within[parent]
+    kept = [text for text, _, c in lines if within[c]]
     return "\n\n".join(kept)
 
 

@@ -56,6 +56,16 @@ def test_bpe_equals_the_tokenizers_library(spark, odd):
     assert Counter(map(tuple, out)) == expected
 
 
+def test_bpe_of_one_very_long_word():
+    rng = random.Random(9)
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        path = public_tokenizers.path(name)
+        own, ref = bpe.load(path), Tokenizer.from_file(path)
+        # Many scans that start anew, and matches at the ends of their windows.
+        for t in ("AKIA" * 5000, "".join(rng.choices("ab", k=9000)), "".join(rng.choices("aeint", k=9000)), "-" * 9001):
+            assert own.encode(t) == ref.encode(t, add_special_tokens=False).ids
+
+
 def _check_packing(rows, ids_of, context=1024):
     by_doc, by_seq = {}, {}
     for r in rows:
@@ -290,6 +300,16 @@ def test_secret_scan(spark):
     assert [r.redacted for r in out] == ["", "", "[assign]", "[assign]"]
 
 
+def test_secret_scan_of_many_key_lines():
+    number = lambda k: _der(2, bytes([1] * k))
+    key = base64.b64encode(_der(0x30, _der(2, b"\0") + b"".join(number(n) for n in (64, 3, 64, 32, 32, 32, 32, 32)))).decode()
+    lines = "\r\n".join(key[i : i + 64] for i in range(0, len(key), 64))
+    text = ("MIIEowIBAAKCAQEA" * 4 + "\n") * 5000 + lines + "\n" + "MIIEowIBAAKCAQEA"
+    spans = [(secret_scan.KINDS[k], text[s:e]) for s, k, e in secret_scan.confirmed_spans(text)]
+    assert spans == [("der", lines)]
+    assert secret_scan.confirmed_spans("MA" * 12) == secret_scan.confirmed_spans("M" * 30) == []
+
+
 def test_chat_round_trip(spark):
     rows = [(1, 0, "user", "a<|im_end|>"), (1, 1, "assistant", r"<\|x <\\| |"), (1, 2, None, None), (1, 3, "assistant", ""),
             (2, 0, "sys\ntem", "q<"), (2, 0, "sys\ntem", "q<"), (None, None, "assistant", "z"), (3, 0, "user", "only")]
@@ -324,6 +344,16 @@ def test_html_main_text(spark):
     assert out[4].text.endswith("\n\nb")
 
 
+def test_html_of_broken_pages():
+    assert html_text.main_text("a <b> c</b> &lt; 1 <i tail &amp; more") == "a c < 1 <i tail & more"
+    assert html_text.main_text("<p>a<script>x > y") == "a"
+    assert html_text.main_text("<p>one <b>two</b> <a href=x>th<i>r</i>ee</a>, <script>s</script>four<ul><li>a<li>b</ul>") == "one two three, four\n\na\n\nb"
+    assert html_text.main_text('<p>a <a href="u>b</a> c') == 'a <a href="u>b c'
+    # Deep nesting, tags and comments without an end: all in one pass.
+    for part in ("<div>x ", "<b>x ", "<a ", "<!--", "<!-- >x ", "<b></i>", "<section><article>x"):
+        assert html_text.main_text("<article>" + part * 30000)
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
