@@ -1,9 +1,8 @@
 """Composite jobs (C1-C6): the reference's pipelines as functions that take
 DataFrames and an output folder.
 
-Each output is one action. A frame that feeds several outputs is persisted
-(memory and disk) for the job and released after; losing an executor then
-only recomputes the lost blocks.
+Each output is one action that reads only the columns and rows it needs;
+nothing is cached, so filters and column selection reach the files.
 """
 
 from __future__ import annotations

@@ -341,6 +341,7 @@ ORACLE_SQL: dict[str, str] = _sql()
 ORACLE_SQL |= {
     "job_accounts": ORACLE_SQL["accounts_per_customer"],
     "job_sales": ORACLE_SQL["region_orders_range"],
+    "job_accounts_sales": ORACLE_SQL["customers_multi_accounts"],
     "job_bank": ORACLE_SQL["txn_debits"],
     "job_features": ORACLE_SQL["alert_report"],
     "accounts_semicolon": _with(ACCOUNTS) + "SELECT * FROM accounts",

@@ -292,6 +292,12 @@ def job_features(spark, d):
     return _read_back(spark, folder, out, "AlertReport", "parquet")
 
 
+def job_accounts_sales(spark, d):
+    folder = _folder(spark)
+    out = jobs.accounts_and_sales_job(tm.accounts(spark, d), tm.customers(spark, d), tm.sales(spark, d), folder)
+    return _read_back(spark, folder, out, "CustomersWithMultipleAccounts", "csv")
+
+
 def accounts_semicolon(spark, d):
     folder, rows = _folder(spark), tm.accounts(spark, d)
     write_table(rows, folder, fmt="csv", sep=";")
@@ -301,6 +307,7 @@ def accounts_semicolon(spark, d):
 QUERIES: dict[str, Query] = {
     "job_accounts": job_accounts,
     "job_sales": job_sales,
+    "job_accounts_sales": job_accounts_sales,
     "job_bank": job_bank,
     "job_features": job_features,
     "accounts_semicolon": accounts_semicolon,
