@@ -6,11 +6,14 @@ reported.
 
 * ``jwt``: three dot-joined base64url parts whose first decodes to a JSON
   object with a text ``alg``, and whose second to a JSON object.
-* ``der``: base64 or hex (white space of a PEM body allowed) that decodes to a
-  private key in DER: a SEQUENCE whose nested lengths fill it exactly and
-  whose first members are those of PKCS#1, PKCS#8 or SEC 1.
+* ``der``: base64 (with the line ends of a PEM body, escaped ones too) or hex
+  that decodes to a private key in DER: a SEQUENCE whose nested lengths fill it
+  exactly and whose first members are those of PKCS#1, PKCS#8 or SEC 1.
 * ``openssh``: base64 of an OpenSSH private key block, whose length-prefixed
   fields are read to its end.
+
+A candidate is decoded only where a length or a member is read, so each costs a
+bounded number of small steps.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,13 +43,20 @@ _NAMES = "|".join(map(either_case, ("password", "passwd", "secret", "token", "ap
 ASSIGN = re.compile(rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile("AKIA[A-Z0-9]+")
 JWT = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]+)(?![A-Za-z0-9_-])")
-ENCODED = re.compile(r"[A-Za-z0-9+/_-]{24,}(?:\r?\n[A-Za-z0-9+/_-]+)*={0,2}")
+# A line end as such, or written as an escape as in JSON and source code.
+_LINE_END = r"(?:\r?\n|\\r\\n|\\n)"
+LINE_END = re.compile(_LINE_END)
+ENCODED = re.compile(rf"(?<!\\)[A-Za-z0-9+/_-]{{24,}}(?:{_LINE_END}[A-Za-z0-9+/_-]+)*={{0,2}}")
+# The base64 forms of the byte 0x30 and of the OpenSSH magic begin like this.
+DER_START, OPENSSH_START = "M", "b3BlbnNzaC1rZXktdjE"
+KEY_LINE = re.compile(rf"(?:^|{_LINE_END})(?:{DER_START}|{OPENSSH_START})")
 HEX_BYTES = re.compile(r"(?:[0-9a-fA-F]{2}){24,}")
 
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
 HEX = re.compile("[0-9a-f]{%d,}" % MIN_HEX)
 
-INTEGER, BIT_STRING, OCTETS, OID, SEQUENCE = 0x02, 0x03, 0x04, 0x06, 0x30
+INTEGER, OCTETS, OID, SEQUENCE = 0x02, 0x04, 0x06, 0x30
+MOST_MEMBERS = 10  # of PKCS#1; the other key structures have fewer
 
 
 def from_base64(text: str) -> bytes:
@@ -58,12 +70,31 @@ def from_base64(text: str) -> bytes:
         return b""
 
 
-def read_der(raw: bytes, at: int, end: int) -> tuple[int, int, int] | None:
+class Encoded:
+    """The bytes that base64 characters hold from a place on, decoded where they
+    are read: so a key is followed through its stated lengths, and a candidate
+    costs the fields looked at, whatever it says and whatever stands behind it."""
+
+    def __init__(self, chars: str, place: int):
+        self.chars, self.place = chars, place
+        self.size = (len(chars) - place) * 6 // 8
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, part: slice) -> bytes:
+        first = part.start // 3
+        held = self.chars[self.place + 4 * first : self.place - part.stop // -3 * 4]
+        return from_base64(held)[part.start - 3 * first : part.stop - 3 * first]
+
+
+def read_der(raw: bytes | Encoded, at: int, end: int) -> tuple[int, int, int] | None:
     """(tag, content start, content end) of the element at ``at``, or None if
     its length is malformed or leaves ``end``."""
     if at + 2 > end:
         return None
-    tag, n, at = raw[at], raw[at + 1], at + 2
+    tag, n = raw[at : at + 2]
+    at += 2
     if n & 0x80:
         k = n & 0x7F
         if not 1 <= k <= 4 or at + k > end:
@@ -72,26 +103,27 @@ def read_der(raw: bytes, at: int, end: int) -> tuple[int, int, int] | None:
     return (tag, at, at + n) if at + n <= end else None
 
 
-def members(raw: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
-    """The elements that fill raw[at:end] exactly, or None."""
+def members(raw: bytes | Encoded, at: int, end: int) -> list[tuple[int, int, int]] | None:
+    """The elements that fill raw[at:end] exactly; None if they don't, or are
+    more than any key structure has."""
     out = []
     while at < end:
         element = read_der(raw, at, end)
-        if element is None:
+        if element is None or len(out) == MOST_MEMBERS:
             return None
         out.append(element)
         at = element[2]
     return out
 
 
-def private_key_length(raw: bytes) -> int:
+def private_key_length(raw: bytes | Encoded) -> int:
     """Bytes of the DER private key that ``raw`` begins with, or 0: nested
     lengths exact, members as the standards say."""
-    top = read_der(raw, 0, len(raw)) if raw[:1] == b"\x30" else None
-    if top is None:
+    top = read_der(raw, 0, len(raw))
+    if top is None or top[0] != SEQUENCE:
         return 0
     inside = members(raw, top[1], top[2])
-    if not inside or len(inside) < 2 or inside[0][0] != INTEGER:
+    if not inside or len(inside) < 2 or inside[0][0] != INTEGER or inside[0][2] - inside[0][1] != 1:
         return 0
     tags = [t for t, _, _ in inside]
     version = raw[inside[0][1] : inside[0][2]]
@@ -104,11 +136,11 @@ def private_key_length(raw: bytes) -> int:
     return top[2] if sec1 else 0
 
 
-def openssh_key_length(raw: bytes) -> int:
+def openssh_key_length(raw: bytes | Encoded) -> int:
     """Bytes of the OpenSSH private key that ``raw`` begins with, or 0."""
     magic = b"openssh-key-v1\x00"
     at = len(magic)
-    if not raw.startswith(magic):
+    if raw[0:at] != magic:
         return 0
 
     def skip(fields: int) -> bool:
@@ -155,43 +187,31 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(set(out))
 
 
-def der_chars(head: str) -> int:
-    """Base64 characters of the DER element that ``head``, its first 24, opens;
-    0 unless it is a SEQUENCE that begins with a version number. A quick look,
-    so that a run of many lines isn't decoded whole from each of them."""
-    raw = from_base64(head)
-    if len(raw) < 2 or raw[0] != SEQUENCE:
-        return 0
-    at = 2 + (raw[1] & 0x7F if raw[1] & 0x80 else 0)
-    if raw[at : at + 3] not in (b"\x02\x01\x00", b"\x02\x01\x01"):
-        return 0
-    n = at + (int.from_bytes(raw[2:at], "big") if raw[1] & 0x80 else raw[1])
-    return -(-n * 8 // 6)
-
-
 def encoded_keys(run: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of keys that begin a line of a base64 run. A key says
     how long it is, so what stands behind it doesn't matter."""
-    out, at = [], 0
-    while at >= 0:
-        # 0x30 is encoded with this first character, the magic with these.
-        kind = 4 if run.startswith("M", at) else 5 if run.startswith("b3BlbnNzaC1rZXktdjE", at) else 0
-        need = der_chars(run[at : at + 24]) if kind == 4 else len(run) - at if kind else 0
-        if 0 < need <= len(run) - at:
-            # At most two line-end characters stand behind each of the alphabet.
-            raw = from_base64(run[at : at + 3 * need])
-            n = private_key_length(raw) if kind == 4 else openssh_key_length(raw)
-            if n:
-                chars = -(-n * 8 // 6)  # of the alphabet, without padding
-                end = at
-                while chars:
-                    chars -= run[end] not in "\r\n"
-                    end += 1
-                while end < len(run) and run[end] == "=":
-                    end += 1
-                out.append((at, kind, end))
-                at = end
-        at = run.find("\n", at) + 1 or -1
+    if not KEY_LINE.search(run):
+        return []
+    ends = [m.span() for m in LINE_END.finditer(run)]
+    starts = [0, *(e for _, e in ends)]
+    lines = [run[a:b] for a, b in zip(starts, [*(s for s, _ in ends), len(run)])]
+    lines[-1] = lines[-1].rstrip("=")
+    chars = "".join(lines)
+    places = list(accumulate(map(len, lines), initial=0))  # of each line in chars
+    out, until = [], 0
+    for start, place in zip(starts, places):
+        kind = 4 if chars.startswith(DER_START, place) else 5 if chars.startswith(OPENSSH_START, place) else 0
+        if start < until or not kind:
+            continue
+        raw = Encoded(chars, place)
+        n = private_key_length(raw) if kind == 4 else openssh_key_length(raw)
+        if n:
+            behind = place - n * 8 // -6
+            line = bisect_left(places, behind) - 1
+            until = starts[line] + behind - places[line]
+            while until < len(run) and run[until] == "=":
+                until += 1
+            out.append((start, kind, until))
     return out
 
 

@@ -161,8 +161,9 @@ def _simhash_classes(rows, bits=2):
 def test_simhash_equals_brute_force(spark, odd):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    assert Counter(map(tuple, simhash.near_duplicates(docs).collect())) == _simhash_classes(rows)
-    assert Counter(map(tuple, simhash.near_duplicates(odd).collect())) == _simhash_classes(ODD)
+    classes = lambda found: Counter((r.doc_id, r.fp, r.component_id) for r in found.collect())
+    assert classes(simhash.near_duplicates(docs)) == _simhash_classes(rows)
+    assert classes(simhash.near_duplicates(odd)) == _simhash_classes(ODD)
     assert simhash.near_duplicates(odd.limit(0)).count() == 0
     spark_hash = spark.sql("SELECT xxhash64('a b c')").head()[0]
     assert simhash.signed(simhash.fingerprint("A b\x0bC")) == spark_hash
@@ -308,6 +309,39 @@ def test_secret_scan_of_many_key_lines():
     spans = [(secret_scan.KINDS[k], text[s:e]) for s, k, e in secret_scan.confirmed_spans(text)]
     assert spans == [("der", lines)]
     assert secret_scan.confirmed_spans("MA" * 12) == secret_scan.confirmed_spans("M" * 30) == []
+    # Line ends that are escaped, as in a key inside JSON.
+    escaped = lines.replace("\r\n", r"\n")
+    quoted = r'{"private_key": "-----BEGIN RSA PRIVATE KEY-----\n' + escaped + r'\n-----END RSA PRIVATE KEY-----"}'
+    assert [quoted[s:e] for s, _, e in secret_scan.confirmed_spans(quoted)] == [escaped]
+
+
+def _openssh(keys: int = 1) -> bytes:
+    field = lambda x: len(x).to_bytes(4, "big") + x
+    return b"openssh-key-v1\0" + field(b"none") * 2 + field(b"") + keys.to_bytes(4, "big") + field(b"p" * 51) * keys + field(b"s" * 136)
+
+
+def test_secret_scan_of_candidates_that_claim_the_rest():
+    """Every line claims all that stands behind it; none is a key."""
+    key = base64.b64encode(_openssh()).decode()
+    assert [(k, s, e) for s, k, e in secret_scan.encoded_keys(key + "A" * 40)] == [(5, 0, len(key.rstrip("=")))]
+    assert secret_scan.openssh_key_length(secret_scan.Encoded(key.rstrip("="), 0)) == len(_openssh())
+    assert secret_scan.openssh_key_length(_openssh()[:-1]) == 0
+    n = 20000
+    head = b"openssh-key-v1\0" + (4).to_bytes(4, "big") + b"none"
+    text = "\n".join(base64.b64encode(head + ((n - i) * 36).to_bytes(4, "big") + b"x" * 21).decode() for i in range(n))
+    assert secret_scan.confirmed_spans(text) == []
+    claims = [b"\x30\x83" + ((n - i) * 42).to_bytes(3, "big") + b"\2\1\0" + b"\2\1\0" * 13 for i in range(n)]
+    assert secret_scan.confirmed_spans("\n".join(base64.b64encode(c).decode().rstrip("=") for c in claims)) == []
+
+
+def test_encoded_slices_are_those_of_the_decoded_bytes():
+    rng = random.Random(3)
+    for _ in range(300):
+        raw = rng.randbytes(rng.randint(0, 40))
+        place = rng.randint(0, 5)
+        view = secret_scan.Encoded("A" * place + base64.urlsafe_b64encode(raw).decode().rstrip("="), place)
+        a, b = sorted(rng.choices(range(len(raw) + 1), k=2))
+        assert len(view) == len(raw) and view[a:b] == raw[a:b]
 
 
 def test_chat_round_trip(spark):
@@ -383,3 +417,29 @@ def test_pipeline(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     ref = Tokenizer.from_file(queries.BYTE_TOKENIZER)
     _check_packing(rows, {i: [*ref.encode(t or "", add_special_tokens=False).ids, 0] for i, t in texts.items()})
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    """Null ids, copies with and without one, repeated rows, columns whose names
+    the operators use for their own results, and no rows."""
+    import corpus_pipeline
+
+    prose = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en' AND n_chars > 2000").limit(4).collect()}
+    a, b, c, _ = prose.values()
+    rows = [(1, a), (1, a), (2, a), (None, a), (None, b), (None, b), (3, c), (4, None), (None, None), (5, ""), (6, "password=secret12 " * 3)]
+    names = "fp long, root long, component_id long, accepted boolean, kept boolean, ratio double, redacted string, spans string, in_text string"
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), 1, 2, 3, False, False, 0.5, "r", "", "t") for i, t in rows], f"{DOCS}, {names}")
+    # Of each group one stays: that of its smallest id, or one without any.
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["near_duplicates"](spark, docs, SF)
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert found == sorted([(1, a), (None, b), (3, c), (4, None), (6, rows[-1][1])], key=str)
+    for name, stage in corpus_pipeline.STAGES:
+        out, none = stage(spark, docs, SF), stage(spark, docs.limit(0), SF)
+        assert none.count() == 0, name
+        if name != "packing":
+            assert out.columns == docs.columns, name
+            assert {r.accepted for r in out.collect()} <= {False}, name
+    redacted = {r.doc_id: (r.text, r.redacted) for r in stages["secrets"](spark, docs, SF).collect()}
+    assert redacted[6] == ("[assign] " * 3, "r") and redacted[4][0] is None
