@@ -142,8 +142,9 @@ def near_duplicates(
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Per row: ``id_col`` (or the columns in ``keep``, which must hold it),
-    ``fp`` and ``component_id``, the smallest id reachable over links of at
-    most ``bits`` differing bits.
+    ``fp``, ``root``, the fingerprint that stands for its component, and
+    ``component_id``, the smallest id reachable over links of at most ``bits``
+    differing bits.
 
     A text with no word has fingerprint 0 and links like any other. A null text
     counts as empty. Null ids take part in links; a component without an id has
@@ -165,7 +166,7 @@ def near_duplicates(
     # a hot fingerprint are then split by the skew-join.
     by_root = written(firsts, shared_folder(spark, "simhash-firsts"))
     rooted = written(labelled.select("fp", "root"), shared_folder(spark, "simhash-roots"))
-    by_fp = written(rooted.join(by_root, "root").select("fp", "component_id"), shared_folder(spark, "simhash-labels"))
+    by_fp = written(rooted.join(by_root, "root").select("fp", "root", "component_id"), shared_folder(spark, "simhash-labels"))
     release(roots)
     delete_folder(spark, folder)
-    return rows.join(by_fp, "fp").select(*rows.columns, "component_id")
+    return rows.join(by_fp, "fp").select(*rows.columns, "root", "component_id")

@@ -4,7 +4,7 @@ predecessor kept; all but the last return the columns of documents."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctflow.llm import langid, packing, quality, secret_scan, simhash
@@ -12,37 +12,57 @@ from acctflow.llm.common import shared_folder, table, written
 from acctflow.llm.queries import BYTE_TOKENIZER
 
 
+def apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with a prefix on its columns, so that none is named like a result
+    of an operator."""
+    return docs.toDF(*[f"in_{c}" for c in docs.columns])
+
+
+def as_before(rows: DataFrame, docs: DataFrame, **new: Column) -> DataFrame:
+    """The columns of ``docs`` from prefixed rows, those in ``new`` anew."""
+    return rows.select(*[new.get(c, F.col(f"in_{c}")).alias(c) for c in docs.columns])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; rejected ones go."""
     model = langid.train_on_folds(docs)
-    return langid.identify(docs, model, keep=tuple(docs.columns)).where("accepted").select(*docs.columns)
+    held = apart(docs)
+    found = langid.identify(held, model, text_col="in_text", keep=tuple(held.columns))
+    return as_before(found.where("accepted"), docs)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule and the compression bands keep."""
-    return quality.quality(docs, keep=tuple(docs.columns)).where("kept").select(*docs.columns)
+    held = apart(docs)
+    found = quality.quality(held, text_col="in_text", keep=tuple(held.columns))
+    return as_before(found.where("kept"), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that with its smallest id;
-    of repeated rows of that id, one. Rows without an id can't be told apart and
-    go."""
+    """One document of each group of near-duplicates: that with its smallest id
+    (of repeated rows of that id, one), or one without an id where none has one."""
     found = simhash.near_duplicates(docs.select("doc_id", "text"))
     chosen = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    named = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # Rows without an id are found again by their fingerprint.
+    lone = found.where(F.col("component_id").isNull()).groupBy("root").agg(F.min("fp").alias("fp")).select("fp")
+    held = apart(docs.where(F.col("doc_id").isNull()))
+    nameless = simhash.fingerprints(held, text_col="in_text", keep=tuple(held.columns)).join(lone, "fp", "left_semi")
+    return named.select(*docs.columns).unionByName(as_before(nameless.dropDuplicates(["fp"]), docs))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every secret in their texts replaced by its kind in
     brackets; n_chars is that of the new text."""
-    found = secret_scan.scan(docs, keep=tuple(docs.columns))
+    held = apart(docs)
+    found = secret_scan.scan(held, text_col="in_text", keep=tuple(held.columns))
     changed = F.col("spans") != ""
-    return found.withColumns(
-        {
-            "text": F.when(changed, F.col("redacted")).otherwise(F.col("text")),
-            "n_chars": F.when(changed, F.length("redacted").cast("long")).otherwise(F.col("n_chars")),
-        }
-    ).select(*docs.columns)
+    return as_before(
+        found,
+        docs,
+        text=F.when(changed, F.col("redacted")).otherwise(F.col("in_text")),
+        n_chars=F.when(changed, F.length("redacted").cast("long")).otherwise(F.col("in_n_chars")),
+    )
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
