@@ -31,6 +31,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -51,6 +52,10 @@ _ARROW = pa.schema(
 
 # Fixed by the byte-level files: how text is split before the merges.
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# ``tiktoken`` backtracks over a run of white space and gives up at about a
+# million characters, so runs from here on are split by hand.
+LONG_SPACE = 100_000
+_SPACES = regex.compile(r"\p{White_Space}{2,}+")
 
 
 class ByteTokenizer:
@@ -68,7 +73,20 @@ class ByteTokenizer:
         self.chunks = BoundedCache(self._chunk)
 
     def ids(self, text: str) -> bytes:
-        return array("I", self._words.encode_ordinary(text)).tobytes()
+        if len(text) < LONG_SPACE:
+            return array("I", self._words.encode_ordinary(text)).tobytes()
+        out, at = array("I"), 0
+        for m in _SPACES.finditer(text):
+            if m.end() - m.start() < LONG_SPACE:
+                continue
+            # One word of the pattern: the run but for its last character, which
+            # goes on with what follows, or all of it at the text's end.
+            end = m.end() - (m.end() < len(text))
+            out.extend(self._words.encode_ordinary(text[at : m.start()]))
+            out.extend(self._words._core_bpe.encode_single_piece(text[m.start() : end].encode()))
+            at = end
+        out.extend(self._words.encode_ordinary(text[at:]))
+        return out.tobytes()
 
     def _chunk(self, chunk: str) -> bytes | None:
         """Ids of a space and the chunk behind it. None where the chunk is

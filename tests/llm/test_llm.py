@@ -108,6 +108,17 @@ def test_packing_of_odd_rows(spark, odd):
     assert packing.pack_documents(odd, queries.BYTE_TOKENIZER).where("doc_id = 4").agg(F.sum("length")).head()[0] == 2 * len(ids_of[4])
 
 
+def test_packing_of_long_white_space():
+    ref = Tokenizer.from_file(queries.BYTE_TOKENIZER)
+    n = 2_000_000
+    edge = packing.LONG_SPACE
+    texts = [" " * n, "\n" * n, "a" + " " * n + "b", "a" + "\n" * n + "b", "a \n" + "\r\n" * n + " 'll <|endoftext|>" + "\u3000" * edge + "7"]
+    texts += [f"x{' ' * k}{mid}{' ' * k}{end}" for k in (edge - 1, edge, edge + 1) for mid, end in (("", "'s"), ("\n!", "\n"), ("\x1cé", ""))]
+    for t in texts:
+        ids = [*ref.encode(t, add_special_tokens=False).ids, 0]
+        assert packing.document_ids(queries.BYTE_TOKENIZER, t, 0) == np.array(ids, "<u4").tobytes()
+
+
 def test_step_groups_balance():
     windows = [(64, [packing.Piece(i, 0, bytes(4 * n), n)]) for i, n in enumerate([64, 1, 60, 2, 50, 3, 40, 4])]
     groups = packing.step_groups(windows, 128)
