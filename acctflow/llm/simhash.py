@@ -151,10 +151,16 @@ def near_duplicates(
     a null component_id. Repeated rows are rows of their own. The result reads
     written tables in the shared checkpoint folder.
     """
-    spark = docs.sparkSession
     rows = written(
-        fingerprints(docs, words, seed, id_col, text_col, keep), shared_folder(spark, "simhash-fp")
+        fingerprints(docs, words, seed, id_col, text_col, keep), shared_folder(docs.sparkSession, "simhash-fp")
     )
+    return rows.join(components(rows, bits, id_col), "fp").select(*rows.columns, "root", "component_id")
+
+
+def components(rows: DataFrame, bits: int = 2, id_col: str = "doc_id") -> DataFrame:
+    """``fp``, ``root`` and ``component_id`` of each fingerprint of the written
+    table ``rows`` (``id_col``, ``fp``), as a written table."""
+    spark = rows.sparkSession
     folder = shared_folder(spark, "simhash-nodes")
     nodes = written(rows.groupBy("fp").agg(F.min(id_col).alias("first")), folder)
     roots = bigint_components(links(nodes, bits))
@@ -169,4 +175,4 @@ def near_duplicates(
     by_fp = written(rooted.join(by_root, "root").select("fp", "root", "component_id"), shared_folder(spark, "simhash-labels"))
     release(roots)
     delete_folder(spark, folder)
-    return rows.join(by_fp, "fp").select(*rows.columns, "root", "component_id")
+    return by_fp

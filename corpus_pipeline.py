@@ -39,16 +39,22 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with its smallest id
-    (of repeated rows of that id, one), or one without an id where none has one."""
-    found = simhash.near_duplicates(docs.select("doc_id", "text"))
-    chosen = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    # Rows without an id are found again by their fingerprint.
-    lone = found.where(F.col("component_id").isNull()).groupBy("root").agg(F.min("fp").alias("fp")).select("fp")
-    held = apart(docs.where(F.col("doc_id").isNull()))
-    nameless = simhash.fingerprints(held, text_col="in_text", keep=tuple(held.columns)).join(lone, "fp", "left_semi")
-    return named.select(*docs.columns).unionByName(as_before(nameless.dropDuplicates(["fp"]), docs))
+    """One row of each group of near-duplicates: that with its smallest id (any
+    id before none), then its smallest fingerprint, text and other columns."""
+    held = apart(docs)
+    rows = written(
+        simhash.fingerprints(held, text_col="in_text", keep=tuple(held.columns)), shared_folder(spark, "pipeline-fp")
+    )
+    labels = simhash.components(rows, id_col="in_doc_id")
+    narrow = rows.select("in_doc_id", "fp").join(labels.select("fp", "root"), "fp")
+    first = F.min(F.struct(F.col("in_doc_id").isNull().alias("nameless"), F.col("in_doc_id").alias("id"), "fp")).alias("first")
+    chosen = written(narrow.groupBy("root").agg(first).select("first.id", "first.fp"), shared_folder(spark, "pipeline-chosen"))
+    same = (rows["fp"] == chosen["fp"]) & rows["in_doc_id"].eqNullSafe(chosen["id"])
+    found = rows.join(chosen, same).select(rows["fp"], *held.columns)
+    # A chosen fingerprint is one group's; its rows left differ in the text at most by what the fingerprint misses.
+    order = F.struct("in_text", F.to_json(F.struct(*[c for c in held.columns if c != "in_text"])))
+    kept = found.groupBy("fp").agg(F.min_by(F.struct(*held.columns), order).alias("row")).select("row.*")
+    return as_before(kept, docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

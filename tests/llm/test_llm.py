@@ -454,3 +454,18 @@ def test_pipeline_stages_on_odd_rows(spark):
             assert {r.accepted for r in out.collect()} <= {False}, name
     redacted = {r.doc_id: (r.text, r.redacted) for r in stages["secrets"](spark, docs, SF).collect()}
     assert redacted[6] == ("[assign] " * 3, "r") and redacted[4][0] is None
+
+
+def test_near_duplicates_of_one_id_with_unlike_texts(spark):
+    import corpus_pipeline
+
+    texts = spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en' AND n_chars > 2000").orderBy("doc_id").limit(3).collect()
+    a, b, c = (r.text for r in texts)
+    # Id 7 stands on two texts of its own and on a copy of id 3's; "B" and "b" share a fingerprint.
+    rows = [(7, a), (7, b), (3, c), (7, c), (7, b.upper()), (None, a), (7, a)]
+    expected = sorted([(7, a), (7, min(b, b.upper())), (3, c)], key=str)
+    for seed in range(2):
+        random.Random(seed).shuffle(rows)
+        docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS).repartition(3)
+        kept = corpus_pipeline.near_duplicates(spark, docs, SF)
+        assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == expected
