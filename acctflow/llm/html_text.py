@@ -6,9 +6,10 @@ and the containers around it. Elements that never hold article text (menus,
 page headers and footers, sidebars, notices, adverts, forms, reader comments,
 scripts, styles) are left out on the way. The text-to-tag ratios of the other
 lines are smoothed by a Gaussian and clustered by a threshold, their standard
-deviation. The content region is the innermost container that holds most of the
-text of the lines above it, widened to the article around it; every line of the
-region is kept, short ones too.
+deviation. The content region is all the outermost articles with lines above it (or
+``main`` elements) if they hold nearly all text of these lines, and otherwise the
+innermost container that holds all of it; every line of the region is kept, short
+ones too.
 """
 
 from __future__ import annotations
@@ -34,6 +35,9 @@ BLOCKS = frozenset(
     "tbody td tfoot th thead title tr ul".split()
 )
 CONTAINERS = frozenset("article aside body div html main section table tbody td tr blockquote".split())
+# Containers that are parts of an article, never all of it.
+PARTS = frozenset("table tbody td tr blockquote".split())
+NEARLY_ALL = 0.9
 SKIPPED = frozenset(
     "aside audio button canvas datalist dialog footer form head iframe input math menu nav noscript object option script "
     "select style svg template textarea title video".split()
@@ -186,17 +190,19 @@ def main_text(html: str) -> str:
     for c in range(len(containers) - 1, 0, -1):  # a container's parent has a smaller number
         mass[containers[c][0]] += mass[c]
     total = mass[0]
-    # The innermost container with most of the content; later ones are deeper.
-    region = max(k for k in range(len(mass)) if mass[k] >= 0.6 * total)
-    around, wide = region, None
-    while around >= 0:
-        if containers[around][1] == "article":
-            wide = around
-        around = containers[around][0]
-    if wide is None:
-        held = [k for k, (_, tag) in enumerate(containers) if tag in ("article", "main") and mass[k] >= 0.5 * total]
-        wide = held[0] if held else region
-    within = [k == wide for k in range(len(containers))]
+    wide: set[int] = set()
+    for tag in ("article", "main"):
+        inner = [False] * len(containers)
+        for k, (parent, _) in enumerate(containers):
+            inner[k] = k > 0 and (inner[parent] or containers[parent][1] == tag)
+        found = [k for k, (_, t) in enumerate(containers) if t == tag and not inner[k] and mass[k]]
+        if sum(mass[k] for k in found) >= NEARLY_ALL * total:
+            wide.update(found)
+            break
+    else:
+        # The innermost container with all of the content; later ones are deeper.
+        wide.add(max(k for k in range(len(mass)) if mass[k] == total and containers[k][1] not in PARTS))
+    within = [k in wide for k in range(len(containers))]
     for k, (parent, _) in enumerate(containers):
         within[k] = within[k] or k > 0 and within[parent]
     kept = [text for text, _, c in lines if within[c]]

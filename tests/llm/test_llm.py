@@ -399,6 +399,21 @@ def test_html_of_broken_pages():
         assert html_text.main_text("<article>" + part * 30000)
 
 
+def test_html_article_over_several_containers():
+    para = lambda c, n: f"<p>{(c * 9 + ' ') * n}</p>"
+    text = lambda c, n: " ".join([c * 9] * n)
+    a, b, c = para("a", 20), para("b", 60), para("c", 12)
+    whole = "\n\n".join([text("a", 20), text("b", 60), text("c", 12)])
+    for tag in ("blockquote", "section", "div", "article"):
+        assert html_text.main_text(f"<body><div>{a}<{tag}>{b}</{tag}>{c}</div></body>") == whole, tag
+    assert html_text.main_text(f"<body>{a}<table><tr><td>{b}</td></tr></table>{c}</body>") == whole
+    assert html_text.main_text(f"<body><div>{a}</div><div><section>{b}</section></div><div>{c}</div></body>") == whole
+    parts = f"<article>{b}</article><article>{a}{c}</article>"
+    both = "\n\n".join([text("b", 60), text("a", 20), text("c", 12)])
+    assert html_text.main_text(f"<body><p>x</p>{parts}</body>") == html_text.main_text(f"<main><p>x</p>{parts}</main>") == both
+    assert html_text.main_text(f"<body><blockquote>{b}</blockquote><p>short</p></body>").endswith("short")
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
