@@ -50,21 +50,36 @@ NAMED = re.compile(
     r"related|recommend\w*|pagination|pager|login|signup|search|form|copyright|hidden)(?=$|[\s_-])",
     re.I,
 )
-NEVER_NAMED = frozenset("html body article main".split())
+# Inside an article a heading or a section may be about most of these.
+NAMED_INSIDE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|comments?|cookies?|promo\w*)(?=$|[\s_-])", re.I)
+# Reader comments are articles at times, or hold some.
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|respond)(?=$|[\s_-])", re.I)
+COMMENT = re.compile(r"(?<!\S)(?:div-)?(?:comments?|reply|replies)(?:-(?:body|item|content|\d+))?(?!\S)", re.I)
+# Names that say what a page has or lacks, not what an element is.
+STATE = re.compile(r"(?<!\S)(?:(?:has|no|with|without)[_-]\S+|\S+[_-](?:open|closed))(?!\S)", re.I)
+NEVER_NAMED = frozenset("html body main".split())
 SPACE = re.compile(r"\s+")
 
 
 class Lines(HTMLParser):
-    """Lines of a page: (text, tags before it, innermost container)."""
+    """Lines of a page: (text, tags before it, innermost container).
+
+    An element left out for its name may turn out to be a wrapper of the article,
+    so its text is held back until the page's end: ``finish`` notes blocks, ``close``
+    makes lines of those that stay."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int]] = []
         self.containers: list[tuple[int, str]] = [(-1, "")]  # (parent, tag)
-        # Tag, left out, container, inside an article.
-        self._open: list[tuple[str, bool, int, bool]] = [("", False, 0, False)]
+        # (parent, holds comments) of each element left out for its name; 0 is none.
+        self._named: list[tuple[int, bool]] = [(0, False)]
+        self._wraps: list[int] = [0]  # of each: 1 if an article is in it, 2 if a page's body or main is
+        self._blocks: list[tuple[list[tuple[str, int]], int, int]] = []
+        # Tag, named element it is left out with (-1: left out for its tag), container, inside main (1) or an article (2).
+        self._open: list[tuple[str, int, int, int]] = [("", 0, 0, 0)]
         self._count: Counter = Counter()  # open elements per tag
-        self._parts: list[str] = []
+        self._parts: list[tuple[str, int]] = []
         self._tags = 0
         self._endless = False
 
@@ -79,6 +94,19 @@ class Lines(HTMLParser):
             self.handle_data(unescape(html[cut:]))
         self.close()
         self.finish()
+        self._make_lines()
+
+    def _make_lines(self) -> None:
+        stays = [True]
+        for (parent, comments), wraps in zip(self._named[1:], self._wraps[1:]):
+            stays.append(stays[parent] and wraps > comments)
+        tags = 0
+        for parts, n, container in self._blocks:
+            tags += n
+            text = SPACE.sub(" ", "".join([data for data, named in parts if stays[named]])).strip()
+            if text:
+                self.lines.append((text, tags, container))
+                tags = 0
 
     def parse_comment(self, i, report=True):
         # Behind a comment without an end there is none with one.
@@ -87,31 +115,38 @@ class Lines(HTMLParser):
         return end
 
     def finish(self) -> None:
-        """The text so far is a line, if there is any."""
+        """The text so far is a block, if there is any."""
         if self._parts:
-            text = SPACE.sub(" ", "".join(self._parts)).strip()
-            self._parts = []
-            if text:
-                self.lines.append((text, self._tags, self._open[-1][2]))
-                self._tags = 0
-
-    def _left_out(self, tag: str, attrs) -> bool:
-        if tag in SKIPPED:
-            return True
-        inside = self._open[-1][3]
-        if tag == "header" and not inside:
-            return True
-        named = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
-        if not named or tag in NEVER_NAMED and not re.search(r"comment|repl(?:y|ies)", named, re.I):
-            return False
-        if inside and tag in ("header", "h1", "h2", "h3", "h4", "h5", "h6", "p", "span"):
-            return bool(re.search(r"(?:^|[\s_-])(?:ads?|advert\w*|comments?|cookies?|promo\w*)(?=$|[\s_-])", named, re.I))
-        return NAMED.search(named) is not None
+            self._blocks.append((self._parts, self._tags, self._open[-1][2]))
+            self._parts, self._tags = [], 0
+
+    def _left_out(self, tag: str, attrs, out: int, inside: int) -> int:
+        """The named element that an element is left out with, 0 if it stays,
+        -1 if its tag or an outer one's says so."""
+        if out < 0 or tag in SKIPPED or tag == "header" and not inside:
+            return -1
+        if tag in NEVER_NAMED:
+            return out
+        named = STATE.sub("", " ".join(v for k, v in attrs if v and k in ("class", "id", "role")))
+        if tag == "article":
+            return -1 if COMMENT.search(named) else out
+        short = inside == 2 or inside and tag in ("header", "h1", "h2", "h3", "h4", "h5", "h6", "p", "span")
+        if not (NAMED_INSIDE if short else NAMED).search(named):
+            return out
+        self._named.append((out, COMMENTS.search(named) is not None))
+        self._wraps.append(0)
+        return len(self._named) - 1
+
+    def _wrapped(self, named: int, by: int) -> None:
+        """The named elements around an article (or a body or main) stay."""
+        while named > 0 and self._wraps[named] < by:
+            self._wraps[named] = by
+            named = self._named[named][0]
 
     def handle_starttag(self, tag, attrs):
         self._tags += 1
         if tag == "br":
-            self._parts.append("\n")
+            self._parts.append(("\n", 0))
             return
         if tag in BLOCKS:
             self.finish()
@@ -126,11 +161,13 @@ class Lines(HTMLParser):
         elif tag in ("li", "option", "tr", "td", "th", "dd", "dt"):
             self._close(tag, ("ul", "ol", "select", "table", "dl", "div", "article"))
         _, out, container, inside = self._open[-1]
-        out = out or self._left_out(tag, attrs)
+        out = self._left_out(tag, attrs, out, inside)
+        if tag == "article" or tag in NEVER_NAMED:
+            self._wrapped(out, 1 if tag == "article" else 2)
         if tag in CONTAINERS:
             self.containers.append((container, tag))
             container = len(self.containers) - 1
-        self._open.append((tag, out, container, inside or tag in ("article", "main")))
+        self._open.append((tag, out, container, max(inside, 2 if tag == "article" else tag == "main")))
         self._count[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
@@ -163,8 +200,8 @@ class Lines(HTMLParser):
             self._close(tag, tuple(BLOCKS) if inline else ())
 
     def handle_data(self, data):
-        if not self._open[-1][1]:
-            self._parts.append(data)
+        if self._open[-1][1] >= 0:
+            self._parts.append((data, self._open[-1][1]))
 
 
 def smoothed(ratios: np.ndarray, radius: int = 2, sigma: float = 1.0) -> np.ndarray:

@@ -414,6 +414,25 @@ def test_html_article_over_several_containers():
     assert html_text.main_text(f"<body><blockquote>{b}</blockquote><p>short</p></body>").endswith("short")
 
 
+def test_html_names_of_wrappers_and_sections():
+    text = "long enough words " * 20
+    kept = text.strip()
+    article = f"<article><p>{text}</p></article>"
+    for name in ("page has-sidebar", "no-sidebar", "header-fixed", "with-search", "search"):
+        assert html_text.main_text(f"<body><div class='{name}'><div>{article}</div><nav>x</nav></div></body>") == kept, name
+        assert html_text.main_text(f"<body><div class='{name}'><main><p>{text}</p></main></div></body>") == kept, name
+    assert html_text.main_text(f"<body class='page has-sidebar'><div class='has-sidebar'><p>{text}</p></div></body>") == kept
+    assert html_text.main_text(f"<body class='no-comments'>{article}</body>") == kept
+    assert html_text.main_text(f"<article class='post comments-open'><p>{text}</p></article>") == kept
+    for name in ("discussion", "related-work", "search"):
+        page = f"<article><p>{text}</p><section id='{name}'><p>{text}</p></section><ul class='{name}'><li>one</ul></article>"
+        assert html_text.main_text(page) == f"{kept}\n\n{kept}\n\none", name
+    # What is left out still is.
+    page = f"<body><div class='sidebar'><p>{text}</p></div>{article}<div id='comments'><article><p>{text}</p></article></div>"
+    assert html_text.main_text(page + f"<article class='comment'>{text}</article><div class='search'>{text}</div></body>") == kept
+    assert html_text.main_text("<article>" + "<div class='menu'><article>x " * 20000)
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
