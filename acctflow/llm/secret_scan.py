@@ -6,7 +6,7 @@ reported.
 
 * ``jwt``: three dot-joined base64url parts whose first decodes to a JSON
   object with a text ``alg``, and whose second to a JSON object.
-* ``der``: base64 (with the line ends of a PEM body, escaped ones too) or hex
+* ``der``: base64 (with the line ends and blanks of a PEM body, escaped line ends too) or hex
   that decodes to a private key in DER: a SEQUENCE whose nested lengths fill it
   exactly and whose first members are those of PKCS#1, PKCS#8 or SEC 1.
 * ``openssh``: base64 of an OpenSSH private key block, whose length-prefixed
@@ -22,7 +22,7 @@ import base64
 import binascii
 import json
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from itertools import accumulate
 
 import pyarrow as pa
@@ -45,11 +45,13 @@ ACCESS = re.compile("AKIA[A-Z0-9]+")
 JWT = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]+)(?![A-Za-z0-9_-])")
 # A line end as such, or written as an escape as in JSON and source code.
 _LINE_END = r"(?:\r?\n|\\r\\n|\\n)"
-LINE_END = re.compile(_LINE_END)
-ENCODED = re.compile(rf"(?<!\\)[A-Za-z0-9+/_-]{{24,}}(?:{_LINE_END}[A-Za-z0-9+/_-]+)*={{0,2}}")
+# Lines may be indented, end in blanks, or be joined by blanks.
+_BREAK = rf"(?:[ \t]|{_LINE_END})++"
+BREAK = re.compile(_BREAK)
+ENCODED = re.compile(rf"(?<!\\)[A-Za-z0-9+/_-]{{24,}}+(?:{_BREAK}[A-Za-z0-9+/_-]++)*+={{0,2}}")
 # The base64 forms of the byte 0x30 and of the OpenSSH magic begin like this.
-DER_START, OPENSSH_START = "M", "b3BlbnNzaC1rZXktdjE"
-KEY_LINE = re.compile(rf"(?:^|{_LINE_END})(?:{DER_START}|{OPENSSH_START})")
+DER_START = "M"
+KEY_START = re.compile("M(?=[A-P])|b(?=3BlbnNzaC1rZXktdjE)")
 HEX_BYTES = re.compile(r"(?:[0-9a-fA-F]{2}){24,}")
 
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
@@ -188,30 +190,32 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def encoded_keys(run: str) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of keys that begin a line of a base64 run. A key says
-    how long it is, so what stands behind it doesn't matter."""
-    if not KEY_LINE.search(run):
+    """(start, kind, end) of keys anywhere in a base64 run, as a run may begin
+    with what stands before a key. A key says how long it is, so what stands
+    behind it doesn't matter."""
+    if not KEY_START.search(run):
         return []
-    ends = [m.span() for m in LINE_END.finditer(run)]
+    ends = [m.span() for m in BREAK.finditer(run)]
     starts = [0, *(e for _, e in ends)]
     lines = [run[a:b] for a, b in zip(starts, [*(s for s, _ in ends), len(run)])]
     lines[-1] = lines[-1].rstrip("=")
     chars = "".join(lines)
     places = list(accumulate(map(len, lines), initial=0))  # of each line in chars
     out, until = [], 0
-    for start, place in zip(starts, places):
-        kind = 4 if chars.startswith(DER_START, place) else 5 if chars.startswith(OPENSSH_START, place) else 0
-        if start < until or not kind:
+    for m in KEY_START.finditer(chars):
+        place = m.start()
+        if place < until:
             continue
+        kind = 4 if m[0] == DER_START else 5
         raw = Encoded(chars, place)
         n = private_key_length(raw) if kind == 4 else openssh_key_length(raw)
         if n:
-            behind = place - n * 8 // -6
-            line = bisect_left(places, behind) - 1
-            until = starts[line] + behind - places[line]
-            while until < len(run) and run[until] == "=":
-                until += 1
-            out.append((start, kind, until))
+            until = place - n * 8 // -6
+            line, last = bisect_right(places, place) - 1, bisect_left(places, until) - 1
+            end = starts[last] + until - places[last]
+            while end < len(run) and run[end] == "=":
+                end += 1
+            out.append((starts[line] + place - places[line], kind, end))
     return out
 
 

@@ -326,6 +326,22 @@ def test_secret_scan_of_many_key_lines():
     assert [quoted[s:e] for s, _, e in secret_scan.confirmed_spans(quoted)] == [escaped]
 
 
+def test_secret_scan_of_indented_and_joined_keys():
+    number = lambda k: _der(2, bytes([1] * k))
+    der = base64.b64encode(_der(0x30, _der(2, b"\0") + b"".join(number(n) for n in (64, 3, 64, 32, 32, 32, 32, 32)))).decode()
+    for kind, body in (("der", der), ("openssh", base64.b64encode(_openssh()).decode())):
+        lines = [body[i : i + 64] for i in range(0, len(body), 64)]
+        # Indented as in YAML, with blanks at line ends, both, on one line.
+        for between in ("\n    ", "  \n", "\t\r\n\t ", r"\n  ", " ", ""):
+            key = between.join(lines)
+            for head in (f"key: |\n    -----BEGIN PRIVATE KEY-----{between}", "-----BEGIN PRIVATE KEY-----", "x" * 30 + "-----"):
+                text = f"{head}{key}{between}-----END PRIVATE KEY-----"
+                found = [(secret_scan.KINDS[k], text[s:e]) for s, k, e in secret_scan.confirmed_spans(text)]
+                assert found == [(kind, key)], (kind, between, head)
+    # Words joined by blanks, and starts at every offset, stay cheap.
+    assert secret_scan.confirmed_spans("M" * 300000 + " MA" * 300000 + " " * 300000 + "\n") == []
+
+
 def _openssh(keys: int = 1) -> bytes:
     field = lambda x: len(x).to_bytes(4, "big") + x
     return b"openssh-key-v1\0" + field(b"none") * 2 + field(b"") + keys.to_bytes(4, "big") + field(b"p" * 51) * keys + field(b"s" * 136)
