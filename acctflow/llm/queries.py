@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctflow.llm import bpe, chat, hnsw, html_text, langid, packing, quality, secret_scan, simhash, warc
+from acctflow.llm import bpe, chat, hard_negatives, hnsw, html_text, langid, lexical_search, packing, quality, secret_scan, simhash, sketches, warc
 from acctflow.llm.common import shared_folder, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -75,10 +75,25 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.version_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_bpe, op2_packing, op3_warc, op4_simhash, op5_langid, op6_hnsw, op7_quality, op8_secrets, op9_chat, op10_html,
+        op11_sketches, op12_negatives, op13_lexical,
     )
 }
 
@@ -115,4 +130,95 @@ SELECT conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_char
 FROM g
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_warc": OP3_SQL, "op9_chat": OP9_SQL}
+OP11_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id DESC), first_value(coalesce(text, '')) OVER (ORDER BY doc_id DESC)) AS nxt
+  FROM documents
+), e AS (
+  SELECT doc_id, length(text) AS n_chars, text, nxt,
+         substr(text, 1, length(text) - length(text) // 2) || substr(nxt, 1, length(text) // 2) AS edited
+  FROM t
+), s AS (
+  SELECT doc_id, n_chars, edited, unnest(['own', 'edited', 'next']) AS side, unnest([text, edited, nxt]) AS body FROM e
+), d AS (
+  SELECT doc_id, side, CAST('0x' || substr(md5(p), 1, 15) AS BIGINT) AS k
+  FROM (SELECT DISTINCT doc_id, side, unnest(regexp_extract_all(body, '[^\n]{1,160}')) AS p FROM s) q
+), cells AS (
+  SELECT doc_id, side, r * 8 + ((k >> (20 * r)) & 7) AS cell, count(*) AS n, bit_xor(k) AS x,
+         bit_xor(CAST(((k >> 30) * (k & 1073741823) + (k >> 30) + (k & 1073741823)) % 2147483647 AS BIGINT)) AS c
+  FROM d, range(3) v(r) GROUP BY ALL
+), prints AS (
+  SELECT s.doc_id, s.side, string_agg(printf('%x.%x.%x', coalesce(n, 0), coalesce(x, 0), coalesce(c, 0)), ' ' ORDER BY i) AS cells
+  FROM s CROSS JOIN range(24) w(i) LEFT JOIN cells ON cells.doc_id = s.doc_id AND cells.side = s.side AND cells.cell = i
+  WHERE s.side <> 'next' GROUP BY ALL
+), counts AS (
+  SELECT doc_id, count(*) FILTER (side = 'own') AS own, count(*) FILTER (side = 'edited') AS edited, count(*) FILTER (side = 'next') AS next
+  FROM d GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id, count(*) FILTER (b.side = 'edited') AS edited, count(*) FILTER (b.side = 'next') AS next
+  FROM d a JOIN d b ON a.doc_id = b.doc_id AND a.k = b.k AND a.side = 'own' AND b.side <> 'own' GROUP BY a.doc_id
+)
+SELECT e.doc_id, CAST(e.n_chars AS BIGINT) AS n_chars, sha256(e.edited) AS edited_sha256,
+       coalesce(c.own, 0) || ':' || p.cells AS fingerprint, coalesce(c.edited, 0) || ':' || q.cells AS edited_fingerprint,
+       CASE WHEN coalesce(c.own + c.edited, 0) = 0 THEN 1.0 ELSE 2 * coalesce(h.edited, 0)::DOUBLE / (c.own + c.edited) END AS near_edited,
+       CASE WHEN coalesce(c.own + c.next, 0) = 0 THEN 1.0 ELSE 2 * coalesce(h.next, 0)::DOUBLE / (c.own + c.next) END AS near_next
+FROM e LEFT JOIN counts c USING (doc_id) LEFT JOIN shared h USING (doc_id)
+JOIN prints p ON p.doc_id = e.doc_id AND p.side = 'own' JOIN prints q ON q.doc_id = e.doc_id AND q.side = 'edited'
+"""
+
+OP12_SQL = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10
+"""
+
+OP13_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), lengths AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+size AS (SELECT count(*) AS docs, sum(n) AS total FROM lengths),
+m AS (SELECT doc_id, 75 + (25 * CAST(n AS HUGEINT) * docs) // total AS m FROM lengths, size),
+wanted AS (
+  SELECT item_id, term, count(*) AS repeats FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) t
+  GROUP BY ALL
+), tf AS (
+  SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM wanted) GROUP BY ALL
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1))) AS HUGEINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term) d, size
+), scores AS (
+  SELECT item_id, doc_id, CAST(sum(repeats * w * ((1000000000 * CAST(tf AS HUGEINT)) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM wanted JOIN w USING (term) JOIN tf USING (term) JOIN m USING (doc_id)
+  GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scores WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_warc": OP3_SQL, "op9_chat": OP9_SQL, "op11_sketches": OP11_SQL, "op12_negatives": OP12_SQL, "op13_lexical": OP13_SQL,
+}
