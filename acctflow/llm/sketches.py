@@ -30,7 +30,7 @@ from acctflow.llm.common import shared_folder, text_or_empty, written
 
 ROWS, BASE = 3, 8
 #: Least cells a row in the second try; passes over the rows of cells in one try.
-ROOMY, PASSES = 32, 4
+ROOMY, PASSES = 32, 2
 BITS, SHIFT = 60, 20
 MASK, HALF, PRIME = (1 << BITS) - 1, (1 << BITS // 2) - 1, (1 << 31) - 1
 #: Stands for no digest, so that a pair without a difference keeps a row.
