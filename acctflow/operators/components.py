@@ -1,15 +1,22 @@
 """Connected components over bigint nodes.
 
-Every node carries a label, at first the smallest node beside it. A round lets
-each node see the smallest label among its neighbours, moves the node *and* the
-node its label names down to it, and then replaces each label by the label of
-the node it names, so that chains shorten by half. Labels only fall and always
-name a node of the same component; when a whole round changes none, neighbours
-agree and each label is the smallest node of its component. There is no limit
-on rounds.
-
-All aggregates are ``min`` over bigint (hash aggregates, combined before the
-shuffle). The two joins that can meet a hot key (the edges of a hub; the nodes
+First every task contracts the edges it holds (union by hooking and pointer
+jumping over arrays, at most ``CHUNK`` edges at a time) to stars: one edge from
+each node to the smallest node it can reach there. The stars connect what the
+edges connected, with at most one edge a node and task, so chains and dense parts
+are gone before anything is shuffled. If the stars are few enough for one chunk,
+contracting them once more is the result.
+
+Otherwise rounds run over the stars. Every node carries a label, at first the
+smallest node beside it. A round lets each node see the smallest label among its
+neighbours, moves the node *and* the node its label names down to it, and then
+replaces each label by the label of the node it names, so that chains shorten by
+half. Labels only fall and always name a node of the same component; when a whole
+round changes none, neighbours agree and each label is the smallest node of its
+component. There is no limit on rounds.
+
+All aggregates of a round are ``min`` over bigint (hash aggregates, combined before
+the shuffle). The two joins that can meet a hot key (the edges of a hub; the nodes
 that name one label) read two written tables, which is the form that AQE's
 skew-join splits; the other joins have one row per key on both sides. Each
 round is written to the shared checkpoint folder and the one before deleted.
@@ -17,22 +24,85 @@ round is written to the shared checkpoint folder and the one before deleted.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acctflow.session import materialize, release
 
+#: Edges that a task contracts at a time (about 100 MB).
+CHUNK = 1 << 20
+
+
+def smallest_reached(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node it is connected with) for all nodes on the edges."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    label = np.arange(len(nodes))
+    while len(a):
+        low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
+        apart = low != high
+        a, b = a[apart], b[apart]
+        # Labels are roots here, so a root hangs itself on a smaller one only.
+        np.minimum.at(label, high[apart], low[apart])
+        while (label[label] != label).any():
+            label = label[label]
+    return nodes, nodes[label]
+
+
+def stars(chunk: int, whole: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For ``mapInArrow``: edges (u, v) to star edges (node, smallest node); with
+    ``whole`` the smallest nodes have a row too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
 
-def bigint_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
+        def contracted() -> tuple[np.ndarray, np.ndarray]:
+            node, low = smallest_reached(*[np.concatenate(side) for side in zip(*held)])
+            leaf = slice(None) if whole else node != low
+            return node[leaf], low[leaf]
+
+        for batch in batches:
+            held.append(tuple(c.to_numpy() for c in batch.columns))
+            size += batch.num_rows
+            if size > chunk and not whole:
+                forest = contracted()
+                held, size = [forest], len(forest[0])
+                if size > chunk // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in forest], names=["u", "v"])
+                    held, size = [], 0
+        if size:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in contracted()], names=["u", "v"])
+
+    return run
+
+
+def bigint_components(edges: DataFrame, u: str = "u", v: str = "v", chunk: int = CHUNK) -> DataFrame:
     """(node, root) for every node on an edge with two different ends; root is
     the smallest node of its component. Edges with a null end or equal ends are
     left out. The result is a written table; ``release`` deletes it."""
     a, b = F.col(u).cast("long"), F.col(v).cast("long")
-    once = edges.where(a != b).select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).distinct()
+    forest = materialize(edges.where(a != b).select(a.alias("u"), b.alias("v")).mapInArrow(stars(chunk), "u long, v long"), "cc-forest")
+    try:
+        if forest.count() <= chunk:
+            # Bounded by the count just taken: one task's chunk.
+            whole = forest.coalesce(1).mapInArrow(stars(chunk, whole=True), "node long, root long")
+            return materialize(whole, "cc-labels")
+        return label_rounds(forest)
+    finally:
+        release(forest)
+
+
+def label_rounds(forest: DataFrame) -> DataFrame:
+    """The rounds over star edges (u, v), u above v, as a written table (node, root)."""
     both = labels = moved = None
     try:
         both = materialize(
-            once.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e"))
+            forest.distinct().select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e"))
             .select("e.u", "e.v"),
             "cc-edges",
         )

@@ -46,11 +46,15 @@ def with_components(
     try:
         narrow = kept(rows.select(node(src).alias("s"), node(dst).alias("d"), F.col(order_by).alias("o")), "cc-narrow")
         sources = narrow.where(F.col("s").isNotNull())
-        per_node = sources.groupBy("s").agg(F.min("o").alias("first"))
-        ends = per_node.select(F.col("s").alias("n")).unionByName(
-            sources.where(F.col("d").isNotNull()).select(F.col("d").alias("n"))
+        no_order = F.lit(None).cast(narrow.schema["o"].dataType)
+        ends = sources.select(F.col("s").alias("n"), F.col("o"), F.lit(True).alias("is_src")).unionByName(
+            sources.where(F.col("d").isNotNull()).select(F.col("d").alias("n"), no_order.alias("o"), F.lit(False).alias("is_src"))
         )
-        ids = kept(ends.distinct().withColumn("id", F.monotonically_increasing_id()), "cc-nodes")
+        ids = kept(
+            ends.groupBy("n").agg(F.min("o").alias("first"), F.max("is_src").alias("is_src"))
+            .withColumn("id", F.monotonically_increasing_id()),
+            "cc-nodes",
+        )
         edges = (
             sources.where(F.col("d").isNotNull() & (F.col("s") != F.col("d")))
             .join(ids.select(F.col("n").alias("s"), F.col("id").alias("u")), "s")
@@ -58,19 +62,15 @@ def with_components(
         )
         roots = bigint_components(edges)
         scratch.append(roots)
-        named = (
-            per_node.join(ids.withColumnRenamed("n", "s"), "s")
-            .join(roots.withColumnRenamed("node", "id"), "id", "left")
-            .select("s", "first", F.coalesce("root", "id").alias("root"))
+        named = ids.where("is_src").join(roots.withColumnRenamed("node", "id"), "id", "left").select(
+            F.col("n").alias("s"), "first", F.coalesce("root", "id").alias("root")
         )
         named = kept(named, "cc-named")
         comps = named.groupBy("root").agg(F.min("first").alias("first"), F.min("s").alias("first_node"))
         numbered = ordinal(comps, ["first", "first_node"], "k")
         scratch.append(numbered)
-        labels = named.join(
-            kept(numbered.select("root", F.concat(F.lit(prefix), F.col("k").cast("string")).alias(name)), "cc-numbered"), "root"
-        ).select(F.col("s").alias("__node"), name)
-        labelled = join_by_key(rows.withColumn("__node", node(src)), labels, ["__node"])
+        labels = named.join(numbered.select("root", F.concat(F.lit(prefix), F.col("k").cast("string")).alias(name)), "root")
+        labelled = join_by_key(rows.withColumn("__node", node(src)), labels.select(F.col("s").alias("__node"), name), ["__node"])
         return labelled.drop("__node")
     finally:
         for frame in scratch:

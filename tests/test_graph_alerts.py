@@ -197,3 +197,38 @@ def test_customer_feature_job_writes_sorted_report(spark, tmp_out):
     written = spark.read.parquet(os.path.join(tmp_out, "AlertReport"))
     assert written.columns == alerts.REPORT_COLUMNS
     assert written.count() == 2
+
+
+def test_contraction_and_rounds_match_union_find(spark):
+    """The same roots from one chunk, from many small chunks and from rounds."""
+    from acctflow.operators.components import bigint_components
+
+    rng = random.Random(3)
+    pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)]
+    pairs += [(1000 + i, 1001 + i) for i in range(300)] + [(5000, 5001 + i) for i in range(300)]  # a chain, a hub
+    pairs += [(None, 3), (4, None), (7, 7), pairs[0], pairs[0][::-1]]
+    parent: dict[int, int] = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        if a is not None and b is not None and a != b:
+            ra, rb = sorted((find(a), find(b)))
+            parent[rb] = ra
+    want = {n: find(n) for n in parent}
+    edges = spark.createDataFrame(pairs, "u long, v long").repartition(6)
+    for chunk in (1 << 20, 2000, 20):
+        assert {r.node: r.root for r in bigint_components(edges, chunk=chunk).collect()} == want
+    assert bigint_components(edges.limit(0)).count() == 0
+
+
+def test_components_take_few_jobs(spark):
+    """A chain of 3000 nodes is contracted, not walked."""
+    rows = spark.range(3000).selectExpr("id AS REF_ID", "concat('n', id) AS ORIG", "concat('n', id + 1) AS BENEF").repartition(8)
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    assert graph.with_components(rows).select("Group").distinct().count() == 1
+    assert len(set(tracker.getJobIdsForGroup(None)) - before) <= 40
