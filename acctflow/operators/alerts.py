@@ -19,6 +19,7 @@ from acctflow.functions.rowwise import top_columns, with_top_features
 from acctflow.operators.filters import at_least
 from acctflow.operators.graph import with_components
 from acctflow.operators.skew import join_by_key
+from acctflow.session import materialize
 
 
 def _winner_struct(score: str, date: str, order: Sequence[str], carry: Sequence[str]) -> Column:
@@ -118,7 +119,8 @@ def alert_report(
     one join back (see ``with_alert_key``).
     """
     kept = at_least(features, score_column, threshold)
-    grouped = with_components(kept, "ORIG", "BENEF", order_by="REF_ID", name="Group")
+    # Written once: the key aggregate and the report rows both read it.
+    grouped = materialize(with_components(kept, "ORIG", "BENEF", order_by="REF_ID", name="Group"), "alert-groups")
     topped = with_top_features(grouped, 3)
     assert top_columns(3) == REPORT_COLUMNS[3:9]
     keyed = with_alert_key(topped, score=score_column, fill=fill_key, carry=ALERT_COPIES)

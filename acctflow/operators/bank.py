@@ -1,6 +1,6 @@
 """Bank statement job: clean-up, debit/credit typing, filters, duplicates and
-per-account totals (P2, P3, P6-P8, F1-F3, A4-A6), as DataFrame operators and
-as parameterised Spark SQL over temp views.
+per-account totals (P2, P3, P6-P8, F1-F3, A4-A6), as DataFrame operators; their
+results can be listed by a parameterised SQL statement over temp views (S7, S8).
 """
 
 from __future__ import annotations
@@ -84,47 +84,11 @@ def totals(typed: DataFrame, start, end) -> DataFrame:
     )
 
 
-# --- The same steps as SQL statements, values bound as parameters. ----------
-# {view}: the view a step reads; each step's result is a view of its own name.
-
-SQL_STEPS = {
-    "typed": (
-        "cleaned",
-        """SELECT v.*, nvl(v.WITHDRAWAL_AMT, v.DEPOSIT_AMT) AS TransactionAmount,
-                  if(isnull(v.WITHDRAWAL_AMT), 'CR', 'DR') AS TransactionType
-           FROM {view} v""",
-    ),
-    "one_type": ("typed", "SELECT v.* FROM {view} v WHERE v.TransactionType = :kind"),
-    "cheques": ("typed", "SELECT v.* FROM {view} v WHERE NOT isnull(v.CHQ_NO)"),
-    "in_range": ("typed", "SELECT v.* FROM {view} v WHERE v.DATE >= :first AND v.DATE <= :last"),
-    "repeated": (
-        "typed",
-        """FROM {view} v
-           SELECT Account_No, DATE, TransactionType, TransactionAmount, count(1) AS CNT
-           GROUP BY ALL HAVING count(1) >= 2""",
-    ),
-    "single": (
-        "in_range",
-        """FROM {view} v
-           SELECT Account_No, DATE, WITHDRAWAL_AMT, DEPOSIT_AMT, count(1) AS CNT
-           GROUP BY ALL HAVING count(1) < 2""",
-    ),
-    "totals": (
-        "single",
-        """FROM {view} v
-           SELECT Account_No, sum(try_cast(WITHDRAWAL_AMT AS double)) AS Total_Withdraw,
-                  sum(try_cast(DEPOSIT_AMT AS double)) AS Total_Deposit
-           GROUP BY ALL""",
-    ),
-}
-
-
-def sql_step(spark: SparkSession, cleaned: DataFrame, step: str, **values) -> DataFrame:
-    """One step of ``SQL_STEPS`` over ``cleaned`` (renamed, dated and trimmed to
-    the eight columns), with the steps it reads registered as views before it.
-    ``values`` are bound as parameters, so there is no quoting to get wrong."""
-    source, text = SQL_STEPS[step]
-    below = cleaned if source == "cleaned" else sql_step(spark, cleaned, source, **values)
-    register_views({f"bank_{source}": below})
-    bound = {k: v for k, v in values.items() if f":{k}" in text}
-    return run_sql(spark, text.format(view=f"bank_{source}"), bound or None)
+def listing(spark: SparkSession, view: str, rows: DataFrame, account: str | None = None) -> DataFrame:
+    """``rows`` registered as the view ``view`` and listed by SQL, for one account
+    or for all; the view's name and the account are bound as parameters."""
+    register_views({view: rows})
+    return run_sql(
+        spark, "SELECT * FROM IDENTIFIER(:view) AS t WHERE :account IS NULL OR t.Account_No = :account",
+        {"view": view, "account": account},
+    )

@@ -69,6 +69,22 @@ TRANSFERS = """pay AS (
          o_orderdate AS PAYMENT_DATE
   FROM orders)"""
 
+TRANSFER_FEATURES = """pay AS (
+  SELECT o_orderkey AS REF_ID, 'o' || CAST(o_orderkey AS VARCHAR) AS ORIG,
+         'o' || CAST(lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS VARCHAR) AS BENEF,
+         'Price' AS FEATURE1, CAST(floor(o_totalprice / 50000) % 6 AS DOUBLE) AS FEATURE1_Score,
+         'Day' AS FEATURE2, CAST(day(o_orderdate) % 6 AS DOUBLE) AS FEATURE2_Score,
+         CASE WHEN o_orderkey % 3 = 0 THEN 'Price' ELSE 'Priority' END AS FEATURE3,
+         CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS FEATURE3_Score,
+         'Month' AS FEATURE4, CAST(month(o_orderdate) % 5 AS DOUBLE) AS FEATURE4_Score,
+         'Key' AS FEATURE5, CAST(o_orderkey % 7 AS DOUBLE) AS FEATURE5_Score,
+         CAST(floor(o_totalprice / 100000) AS DOUBLE) AS TOTAL_Score,
+         CASE WHEN o_custkey % 10 <> 7 THEN o_orderdate END AS PAYMENT_DATE,
+         CAST(CASE WHEN o_custkey % 10 <> 7 THEN month(o_orderdate) END AS INTEGER) AS MONTH
+  FROM orders)"""
+
+GRADED = "graded AS (SELECT doc_id AS customerId, quality AS grade FROM labels)"
+
 VISITS = "visits AS (SELECT CAST(user_id AS BIGINT) AS customerId, event_id AS event, value FROM events)"
 
 
@@ -113,8 +129,10 @@ def _pairs_union(src: str) -> str:
     return "\n  UNION ALL ".join(parts)
 
 
-def top3_ctes(src: str, out: str) -> list[str]:
-    """``out`` = ``src`` plus Top{i}_Feature / top{i}_val, i = 1..3."""
+def top3_ctes(src: str, out: str, keys: tuple[str, ...] = ("ORIG", "BENEF")) -> list[str]:
+    """``out`` = ``src`` plus Top{i}_Feature / top{i}_val, i = 1..3; ``keys``
+    tell the rows of ``src`` apart."""
+    key = ", ".join(keys)
     picks = ",\n         ".join(
         f"max(CASE WHEN rn = {i} THEN name END) AS Top{i}_Feature, "
         f"max(CASE WHEN rn = {i} THEN score END) AS top{i}_val"
@@ -124,15 +142,15 @@ def top3_ctes(src: str, out: str) -> list[str]:
         f"""{out}_pairs AS (
   {_pairs_union(src)})""",
         f"""{out}_ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY ORIG, BENEF ORDER BY score DESC NULLS LAST, pos) AS rn
-  FROM (SELECT ORIG, BENEF, name, min(pos) AS pos, arg_max(score, pos) AS score
-        FROM {out}_pairs GROUP BY ORIG, BENEF, name) c)""",
+  SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY score DESC NULLS LAST, pos) AS rn
+  FROM (SELECT {key}, name, min(pos) AS pos, arg_max(score, pos) AS score
+        FROM {out}_pairs GROUP BY {key}, name) c)""",
         f"""{out}_top AS (
-  SELECT ORIG, BENEF,
+  SELECT {key},
          {picks}
-  FROM {out}_ranked GROUP BY ORIG, BENEF)""",
+  FROM {out}_ranked GROUP BY {key})""",
         f"""{out} AS (
-  SELECT s.*, t.* EXCLUDE (ORIG, BENEF) FROM {src} s JOIN {out}_top t USING (ORIG, BENEF))""",
+  SELECT s.*, t.* EXCLUDE ({key}) FROM {src} s JOIN {out}_top t USING ({key}))""",
     ]
 
 
@@ -203,21 +221,25 @@ def _sql() -> dict[str, str]:
             "Alert_Key",
         ]
     )
-    alert_src = "kept"
-    report = (
-        _with(
-            PAY,
-            f"kept AS (SELECT * FROM pay WHERE TOTAL_Score >= {q.ALERT_THRESHOLD})",
-            *components_ctes(alert_src, "grp"),
-            *top3_ctes("grp", "top"),
-            *alert_ctes("top", "keyed"),
-            winner_cte("keyed", "win", [f"{x} AS alert_{x}" for x in top3_cols.split(", ")]),
+
+    def report_of(pay: str, threshold: float, keys: tuple[str, ...]) -> str:
+        return (
+            _with(
+                pay,
+                f"kept AS (SELECT * FROM pay WHERE TOTAL_Score >= {threshold})",
+                *components_ctes("kept", "grp"),
+                *top3_ctes("grp", "top", keys),
+                *alert_ctes("top", "keyed"),
+                winner_cte("keyed", "win", [f"{x} AS alert_{x}" for x in top3_cols.split(", ")]),
+            )
+            + f"SELECT {', '.join('k.' + x for x in report_cols.split(', '))}, "
+            + "w.alert_Top1_Feature, w.alert_top1_val, w.alert_Top2_Feature, w.alert_top2_val, "
+            + "w.alert_Top3_Feature, w.alert_top3_val "
+            + 'FROM keyed k LEFT JOIN win w USING ("Group")'
         )
-        + f"SELECT {', '.join('k.' + x for x in report_cols.split(', '))}, "
-        + "w.alert_Top1_Feature, w.alert_top1_val, w.alert_Top2_Feature, w.alert_top2_val, "
-        + "w.alert_Top3_Feature, w.alert_top3_val "
-        + 'FROM keyed k LEFT JOIN win w USING ("Group")'
-    )
+
+    report = report_of(PAY, q.ALERT_THRESHOLD, ("ORIG", "BENEF"))
+    transfer_report = report_of(TRANSFER_FEATURES, q.REPORT_THRESHOLD, ("ORIG",))
     whole_keys = _with(PAY, *components_ctes("pay", "grp"), *alert_ctes("grp", "keyed"))
     return {
         "accounts_per_customer": _with(a)
@@ -334,15 +356,46 @@ def _sql() -> dict[str, str]:
         + 'SELECT REF_ID, ORIG, BENEF, "Group", first_value(ORIG) OVER (PARTITION BY "Group" '
         + "ORDER BY TOTAL_Score DESC NULLS LAST, ORIG DESC, BENEF DESC) AS best_orig FROM grp",
         "alert_report": report,
+        "transfer_report": transfer_report,
+        "transfer_report_ranked": 'SELECT REF_ID, "Group", Alert_Key, row_number() OVER (ORDER BY REF_ID) AS position '
+        + f"FROM ({transfer_report}) r",
+        "region_orders_ranked": _with(SALES)
+        + "SELECT *, row_number() OVER (ORDER BY Order_Date, Order_ID, Country, Total_Revenue, Unit_Price, Total_Profit) AS position "
+        + f"FROM sales WHERE Region = '{q.REGION}' AND Order_Date BETWEEN DATE '{q.SALES_START}' AND DATE '{q.SALES_END}'",
+        "join_right_filled": _with(c, VISITS)
+        + "SELECT c.customerId, v.event, v.value, c.forename, c.surname "
+        + "FROM visits v RIGHT JOIN customers c ON v.customerId = c.customerId",
+        "join_full_filled": _with(c, GRADED)
+        + "SELECT coalesce(c.customerId, g.customerId) AS customerId, c.forename, c.surname, g.grade "
+        + "FROM customers c FULL JOIN graded g ON c.customerId = g.customerId",
+        "accounts_with_rejects": _with(a) + """, lines AS (
+  SELECT *, CAST(CAST(balance AS DECIMAL(20,2)) AS VARCHAR) AS txt,
+         CASE WHEN accountId % 97 = 0 THEN 1 WHEN accountId % 89 = 0 THEN 2 WHEN accountId % 83 = 0 THEN 3 ELSE 0 END AS bad
+  FROM accounts)
+SELECT CASE WHEN bad = 0 THEN customerId END AS customerId, CASE WHEN bad = 0 THEN accountId END AS accountId,
+       CASE WHEN bad = 0 THEN CAST(txt AS DOUBLE) END AS balance,
+       CASE bad WHEN 1 THEN concat_ws(',', customerId, accountId, 'none') WHEN 2 THEN concat_ws(',', customerId, accountId)
+                WHEN 3 THEN concat_ws(',', customerId, accountId, txt, 'more') END AS line
+FROM lines""",
     }
 
 
 ORACLE_SQL: dict[str, str] = _sql()
 ORACLE_SQL |= {
     "job_accounts": ORACLE_SQL["accounts_per_customer"],
+    "job_accounts_many": ORACLE_SQL["customers_multi_accounts"],
+    "job_accounts_top": ORACLE_SQL["top_balances"],
     "job_sales": ORACLE_SQL["region_orders_range"],
+    "job_sales_revenue": ORACLE_SQL["revenue_by_region"],
+    "job_sales_units": ORACLE_SQL["top_units"],
     "job_accounts_sales": ORACLE_SQL["customers_multi_accounts"],
     "job_bank": ORACLE_SQL["txn_debits"],
+    "job_bank_credits": ORACLE_SQL["txn_credits"],
+    "job_bank_cheques": ORACLE_SQL["txn_cheques"],
+    "job_bank_range": ORACLE_SQL["txn_range"],
+    "job_bank_duplicates": ORACLE_SQL["txn_duplicates"],
+    "job_bank_totals": ORACLE_SQL["txn_totals"],
+    "accounts_inferred": _with(ACCOUNTS) + "SELECT * FROM accounts",
     "job_features": ORACLE_SQL["alert_report"],
     "accounts_semicolon": _with(ACCOUNTS) + "SELECT * FROM accounts",
 }

@@ -15,15 +15,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctflow.functions import bands, columns, rowwise
+from acctflow.functions import bands, rowwise
 from acctflow.operators import accounts as acc
 from acctflow.operators import alerts, bank, graph, ranking, sales
 from acctflow.operators.filters import at_least
 from acctflow.operators.joins import join_on
 from acctflow.plans import jobs
-from acctflow.session import ensure_checkpoint_dir
+from acctflow.session import ensure_checkpoint_dir, materialize
 from acctflow.sources import testmap as tm
-from acctflow.sources.io import read_table, write_table
+from acctflow.sources.io import read_table, read_with_rejects, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +80,14 @@ def _visits_join(how: str) -> Query:
     return run
 
 
+def join_right_filled(spark, d):
+    return join_on(tm.visits(spark, d), tm.customers(spark, d), "customerId", "right")
+
+
+def join_full_filled(spark, d):
+    return join_on(tm.customers(spark, d), tm.graded(spark, d), "customerId", "full")
+
+
 # --- sales -------------------------------------------------------------------
 
 def revenue_by_region(spark, d):
@@ -98,6 +106,12 @@ def region_orders_range(spark, d):
     return sales.region_orders_in_range(tm.sales(spark, d), REGION, SALES_START, SALES_END, tie_break=("Order_ID",))
 
 
+def region_orders_ranked(spark, d):
+    """The listing with the position that its order gives (O3)."""
+    listed = sales.region_orders_in_range(tm.sales(spark, d), REGION, SALES_START, SALES_END)
+    return ranking.ordinal(listed, ["Order_Date", "Order_ID", *SALES_TIE_BREAK[1:5]], "position")
+
+
 # --- bank --------------------------------------------------------------------
 
 def _typed(spark, d):
@@ -136,15 +150,13 @@ def txn_totals(spark, d):
     return bank.totals(_typed(spark, d), TXN_START, TXN_END)
 
 
-def _sql_step(step: str, name: str, **values) -> Query:
+def _by_sql(step: Query) -> Query:
+    """A bank step as a view, read by the library's own statement."""
+
     def run(spark, d):
-        cleaned = columns.keep_columns(
-            columns.parse_date(columns.rename_columns(tm.bank_raw(spark, d), columns.BANK_COLUMNS), "DATE"),
-            columns.BANK_KEEP,
-        )
-        return bank.sql_step(spark, cleaned, step, **values)
+        return bank.listing(spark, step.__name__, step(spark, d))
 
-    run.__name__ = name
+    run.__name__ = f"{step.__name__}_sql"
     return run
 
 
@@ -208,7 +220,7 @@ def _alert_input(spark, d, threshold=None):
     pay = tm.payments(spark, d).select(*ALERT_INPUT)
     if threshold is not None:
         pay = at_least(pay, "TOTAL_Score", threshold)
-    return graph.with_components(pay, "ORIG", "BENEF", order_by="REF_ID", name="Group")
+    return materialize(graph.with_components(pay, "ORIG", "BENEF", order_by="REF_ID", name="Group"), "alert-groups")
 
 
 def alert_keys(spark, d):
@@ -235,7 +247,19 @@ def alert_report(spark, d):
 
 
 def _transfer_groups(spark, d):
-    return graph.with_components(tm.transfers(spark, d), "ORIG", "BENEF", order_by="REF_ID", name="Group")
+    return materialize(graph.with_components(tm.transfers(spark, d), "ORIG", "BENEF", order_by="REF_ID", name="Group"), "alert-groups")
+
+
+REPORT_THRESHOLD = 1.0
+
+
+def transfer_report(spark, d):
+    return alerts.alert_report(tm.transfer_features(spark, d), "TOTAL_Score", REPORT_THRESHOLD)
+
+
+def transfer_report_ranked(spark, d):
+    """The report with the position that sorting by REF_ID gives a row."""
+    return ranking.ordinal(transfer_report(spark, d).select("REF_ID", "Group", "Alert_Key"), ["REF_ID"], "position")
 
 
 def transfer_components(spark, d):
@@ -268,22 +292,32 @@ def _read_back(spark, folder, outputs, name, fmt):
     return read_table(spark, f"{folder}/{name}", fmt=fmt, schema=outputs[name].schema)
 
 
-def job_accounts(spark, d):
-    folder = _folder(spark)
-    out = jobs.accounts_job(tm.accounts(spark, d), tm.customers(spark, d), folder)
-    return _read_back(spark, folder, out, "AccountsPerCustomer", "csv")
+def _accounts_job(name: str) -> Query:
+    def run(spark, d):
+        folder = _folder(spark)
+        out = jobs.accounts_job(tm.accounts(spark, d), tm.customers(spark, d), folder)
+        return _read_back(spark, folder, out, name, "csv")
 
+    run.__name__ = f"job_accounts_{name}"
+    return run
 
-def job_sales(spark, d):
-    folder = _folder(spark)
-    out = jobs.sales_job(tm.sales(spark, d), folder, ITEM_TYPE, REGION, SALES_START, SALES_END)
-    return _read_back(spark, folder, out, "TotalProfitByRegion", "csv")
 
+def _sales_job(name: str) -> Query:
+    def run(spark, d):
+        folder = _folder(spark)
+        out = jobs.sales_job(tm.sales(spark, d), folder, ITEM_TYPE, REGION, SALES_START, SALES_END, SALES_TIE_BREAK, decimals=2)
+        return _read_back(spark, folder, out, name, "csv")
 
-def job_bank(spark, d):
-    folder = _folder(spark)
-    out = jobs.bank_job(tm.bank_raw(spark, d), TXN_START, TXN_END, out_dir=folder)
-    return _read_back(spark, folder, out, "Debit_Transaction", "parquet")
+    run.__name__ = f"job_sales_{name}"
+    return run
+
+
+def _bank_job(name: str) -> Query:
+    def run(spark, d):
+        return jobs.bank_job(tm.bank_raw(spark, d), TXN_START, TXN_END, out_dir=_folder(spark))[name]
+
+    run.__name__ = f"job_bank_{name}"
+    return run
 
 
 def job_features(spark, d):
@@ -304,11 +338,52 @@ def accounts_semicolon(spark, d):
     return read_table(spark, folder, fmt="csv", schema=rows.schema, sep=";")
 
 
+def accounts_inferred(spark, d):
+    """Accounts written as CSV and read with inferred types."""
+    folder = _folder(spark)
+    write_table(tm.accounts(spark, d), folder, fmt="csv")
+    return read_table(spark, folder).select(
+        F.col("customerId").cast("long").alias("customerId"), F.col("accountId").cast("long").alias("accountId"), "balance"
+    )
+
+
+def accounts_with_rejects(spark, d):
+    """Accounts written as CSV lines, some of which are no account (a balance
+    that is no number, a value too few or too many), read as good rows and rejects."""
+    folder, rows = _folder(spark), tm.accounts(spark, d)
+    account, balance = F.col("accountId"), F.col("balance").cast("decimal(20,2)").cast("string")
+    line = F.when(account % 97 == 0, F.concat_ws(",", "customerId", "accountId", F.lit("none"))).when(
+        account % 89 == 0, F.concat_ws(",", "customerId", "accountId")
+    ).when(account % 83 == 0, F.concat_ws(",", "customerId", "accountId", balance, F.lit("more"))).otherwise(
+        F.concat_ws(",", "customerId", "accountId", balance)
+    )
+    write_table(rows.select(line.alias("value")), folder, fmt="text")
+    good, rejects = read_with_rejects(spark, folder, rows.schema, header=False)
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields]
+    return good.withColumn("line", F.lit(None).cast("string")).unionByName(rejects.select(*none, "line"))
+
+
 QUERIES: dict[str, Query] = {
-    "job_accounts": job_accounts,
-    "job_sales": job_sales,
+    "job_accounts": _accounts_job("AccountsPerCustomer"),
+    "job_accounts_many": _accounts_job("CustomersWithMultipleAccounts"),
+    "job_accounts_top": _accounts_job("HighestBalances"),
+    "job_sales": _sales_job("TotalProfitByRegion"),
+    "job_sales_revenue": _sales_job("TotalRevenuePerRegion"),
+    "job_sales_units": _sales_job("HighestUnitsSold"),
     "job_accounts_sales": job_accounts_sales,
-    "job_bank": job_bank,
+    "job_bank": _bank_job("Debit_Transaction"),
+    "job_bank_credits": _bank_job("Credit_Transaction"),
+    "job_bank_cheques": _bank_job("Cheque_Transaction"),
+    "job_bank_range": _bank_job("DateRange"),
+    "job_bank_duplicates": _bank_job("Duplicates"),
+    "job_bank_totals": _bank_job("Totals"),
+    "accounts_with_rejects": accounts_with_rejects,
+    "accounts_inferred": accounts_inferred,
+    "region_orders_ranked": region_orders_ranked,
+    "transfer_report": transfer_report,
+    "transfer_report_ranked": transfer_report_ranked,
+    "join_right_filled": join_right_filled,
+    "join_full_filled": join_full_filled,
     "job_features": job_features,
     "accounts_semicolon": accounts_semicolon,
     "transfer_components": transfer_components,
@@ -338,12 +413,7 @@ QUERIES: dict[str, Query] = {
     "txn_duplicates": txn_duplicates,
     "txn_single": txn_single,
     "txn_totals": txn_totals,
-    "txn_totals_sql": _sql_step("totals", "txn_totals_sql", first=TXN_START, last=TXN_END),
-    "txn_duplicates_sql": _sql_step("repeated", "txn_duplicates_sql"),
-    "txn_debits_sql": _sql_step("one_type", "txn_debits_sql", kind="DR"),
-    "txn_range_sql": _sql_step("in_range", "txn_range_sql", first=TXN_START, last=TXN_END),
-    "txn_cheques_sql": _sql_step("cheques", "txn_cheques_sql"),
-    "txn_single_sql": _sql_step("single", "txn_single_sql", first=TXN_START, last=TXN_END),
+    **{f"{q.__name__}_sql": _by_sql(q) for q in (txn_totals, txn_duplicates, txn_debits, txn_range, txn_cheques, txn_single)},
     "row_top3": row_top3,
     "row_top3_int": row_top3_int,
     "row_topk_values": row_topk_values,

@@ -10,7 +10,8 @@ from collections.abc import Iterable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_table(
@@ -41,6 +42,24 @@ def read_table(
     return reader.load(path)
 
 
+def read_with_rejects(
+    spark: SparkSession, path: str | list[str], schema: StructType, sep: str = ",", header: bool = True, line: str = "line", **options: Any
+) -> tuple[DataFrame, DataFrame]:
+    """A CSV file as its good rows (the schema's columns) and its rejects: lines
+    with a value that does not fit its type, or with too few or too many values, as
+    the column ``line`` beside the values that could be read.
+
+    Both parts come from one read that parses every column, so which lines are
+    rejects does not depend on the columns used later.
+    """
+    whole = StructType([*schema.fields, StructField(line, StringType())])
+    rows = read_table(spark, path, "csv", whole, sep, header, mode="PERMISSIVE", columnNameOfCorruptRecord=line, columnPruning=False, **options)
+    # Spark refuses to read the raw line alone, so it carries no part of every other column.
+    nothing = F.substring(F.concat_ws("", *[F.col(f.name).cast("string") for f in schema.fields]), 1, 0)
+    raw = F.concat(F.col(line), nothing)
+    return rows.where(raw.isNull()).drop(line), rows.where(raw.isNotNull()).withColumn(line, raw)
+
+
 def write_table(
     df: DataFrame,
     path: str,

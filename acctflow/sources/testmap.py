@@ -177,3 +177,37 @@ def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
         score.alias("TOTAL_Score"),
         F.col("o_orderdate").alias("PAYMENT_DATE"),
     )
+
+
+def transfer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``transfers`` in the layout of the features file: one component per run of
+    a customer's orders above a threshold, tied scores, names that repeat within
+    a row, and groups without a key (customers whose number ends in 7 have no dates).
+    """
+    before = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    price, day = F.col("o_totalprice"), F.dayofmonth("o_orderdate")
+    scores = {
+        "Price": F.floor(price / 50000) % 6,
+        "Day": day % 6,
+        "Priority": F.substring("o_orderpriority", 1, 1).cast("int"),
+        "Month": F.month("o_orderdate") % 5,
+        "Key": F.col("o_orderkey") % 7,
+    }
+    third = F.when(F.col("o_orderkey") % 3 == 0, "Price").otherwise("Priority")
+    named = [(third if n == "Priority" else F.lit(n), s) for n, s in scores.items()]
+    dated = F.when(F.col("o_custkey") % 10 != 7, F.col("o_orderdate"))
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("REF_ID"),
+        F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("ORIG"),
+        F.concat(F.lit("o"), F.lag("o_orderkey").over(before).cast("string")).alias("BENEF"),
+        *[c for i, (n, s) in enumerate(named, 1) for c in (n.alias(f"FEATURE{i}"), s.cast("double").alias(f"FEATURE{i}_Score"))],
+        F.floor(price / 100000).cast("double").alias("TOTAL_Score"),
+        dated.alias("PAYMENT_DATE"),
+        F.month(dated).alias("MONTH"),
+    )
+
+
+def graded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(customerId, grade) of the labelled documents, their number taken for a
+    customer's: many have no customer, and many customers no row."""
+    return table(spark, sf_dir, "labels").select(F.col("doc_id").alias("customerId"), F.col("quality").alias("grade"))

@@ -39,13 +39,10 @@ def test_customers_with_many_accounts(spark):
 
 
 def test_top_balances_order_and_ties(spark):
-    rows = [(f"C{i}", f"ACC{i:04d}", b) for i, b in enumerate([687.0, 589.0, 194.0, 809.0, 445.0, 995.0])]
-    df = spark.createDataFrame(rows, ACC_SCHEMA)
-    assert [r.balance for r in acc.top_balances(df).collect()] == [995, 809, 687, 589, 445]
-    tied = spark.createDataFrame(
-        [("a", "ACC0416", 989.0), ("b", "ACC0097", 989.0), ("c", "ACC0001", None)], ACC_SCHEMA
-    )
-    assert [r.accountId for r in acc.top_balances(tied, 2).collect()] == ["ACC0097", "ACC0416"]
+    df = spark.createDataFrame([(f"c{i}", f"acc{i}", float(i * 7 % 11)) for i in range(11)], ACC_SCHEMA)
+    assert [r.balance for r in acc.top_balances(df).collect()] == [10, 9, 8, 7, 6]
+    tied = spark.createDataFrame([("a", "acc9", 2.5), ("b", "acc3", 2.5), ("c", "acc1", None)], ACC_SCHEMA)
+    assert [r.accountId for r in acc.top_balances(tied, 2).collect()] == ["acc3", "acc9"]
 
 
 def test_join_types(spark):
@@ -65,7 +62,56 @@ def test_join_types(spark):
     nulls = spark.createDataFrame([(None, "n", 1.0)], ACC_SCHEMA)
     assert rows("left", nulls) == [(None, "n", 1.0, None, None)] and rows("full", nulls, known.limit(0)) == rows("left", nulls)
     clash = known.withColumnRenamed("forename", "accountId")
-    assert join_on(held, clash, "customerId", "left").count() == 3
+    assert join_on(held, clash, "customerId", "full").columns == ["customerId", "accountId", "balance", "accountId", "surname"]
+    assert rows("full", held, clash) == rows("full")
+
+
+def test_outer_joins_equal_sparks_own(spark):
+    from itertools import product
+
+    keys = [*product((1, 2, None), ("x", "y", None)), (3, "x"), (3, "x")]
+    left = spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(keys[::2] * 2)], "a int, b string, l int")
+    right = spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(keys[::3] * 3)], "a long, b string, r int")
+    for how in ("left", "right", "full", "left_semi", "left_anti"):
+        got = join_on(left, right, ["a", "b"], how)
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, left.join(right, ["a", "b"], how).collect())))
+
+
+def test_hot_and_null_keys_are_split_in_every_join(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id"))  # a third hot, a third null
+        rows = spark.range(0, 30000, 1, 8).select(key.alias("k"), "id")
+        few = spark.createDataFrame([(7, "a"), (7, "b"), (10, "c"), (-1, "d")], "k long, v string")
+        sizes = {"left_semi": 10002, "left_anti": 19998, "left": 40001, "full": 40002}
+        for how, n in sizes.items():
+            out = join_on(rows, few, "k", how)
+            tasks = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(tasks) == n and max(tasks) <= 0.65 * n, (how, tasks)
+            out.collect()
+            assert "skew=true" in out._jdf.queryExecution().executedPlan().toString(), how
+        assert join_on(few, rows, "k", "right").count() == 40001
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_outer_joins_read_each_wide_side_once(spark, tmp_out):
+    for name in ("a", "b"):
+        spark.range(100).selectExpr("id AS k", f"repeat('{name}', 50) AS wide_{name}").write.parquet(f"{tmp_out}/{name}")
+    left, right = (spark.read.parquet(f"{tmp_out}/{n}") for n in ("a", "b"))
+    for how in ("left", "right", "full"):
+        plan = join_on(left, right, "k", how)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("wide_a") and sum("wide_a" in line for line in plan.splitlines() if "Relation" in line) == 1
+        assert sum("wide_b" in line for line in plan.splitlines() if "Relation" in line) == 1
 
 
 def test_listings_need_no_order_id(spark):
@@ -118,10 +164,10 @@ def _raw_sales(spark, rows):
 
 
 def test_rename_and_mixed_dates(spark):
-    df = spark.createDataFrame([("1", "5/28/2010"), ("2", "2-4-2015"), ("3", "junk")], "`Sl No` string, Date string")
-    out = parse_dates(df, "Date")
-    assert [r.Date for r in out.orderBy("`Sl No`").collect()] == [dt.date(2010, 5, 28), dt.date(2015, 4, 2), None]
-    raw = _raw_sales(spark, [("Asia", "India", "Household", "Online", "H", "2/5/2011", 1, 10.0, 1.0, 10.0, 2.0)])
+    texts = {"12/31/1999": dt.date(1999, 12, 31), "31-12-1999": dt.date(1999, 12, 31), "1-2-2003": dt.date(2003, 2, 1), "13/1/2003": None, "?": None}
+    out = parse_dates(spark.createDataFrame([(t, t) for t in texts], "t string, Date string"), "Date")
+    assert {r.t: r.Date for r in out.collect()} == texts
+    raw = _raw_sales(spark, [("North", "N1", "Toys", "shop", "x", "3/4/2005", 1, 10.0, 1.0, 10.0, 2.0)])
     renamed = rename_columns(raw, SALES_COLUMNS)
     assert renamed.columns == ["Region", "Country", "Item_Type", "Sales_Channel", "Order_Priority",
                                "Order_Date", "Order_ID", "Units_Sold", "Unit_Price", "Total_Revenue",
@@ -129,32 +175,51 @@ def test_rename_and_mixed_dates(spark):
 
 
 def _sales(spark):
+    """Six days of one month, sold alternately in two regions, dates in both layouts."""
     rows = [
-        ("Asia", "A", "Household", "On", "H", "2/5/2011", 1, 5210.0, 1.0, 100.0, 1.0),
-        ("Asia", "B", "Household", "On", "H", "5-9-2011", 2, 4187.0, 1.0, 50.5, 1.0),
-        ("Asia", "C", "Household", "On", "H", "1/1/2016", 3, 6210.0, 1.0, 20.25, 1.0),
-        ("Europe", "D", "Household", "On", "H", "3-3-2012", 4, 3830.0, 1.0, 7.0, 1.0),
-        ("Europe", "E", "Household", "On", "H", "3/3/2012", 5, 2370.0, 1.0, 1.0, 1.0),
-        ("Europe", "F", "Household", "On", "H", "3/3/2013", 6, 100.0, 1.0, 3.0, 1.0),
-        ("Asia", "G", "Cosmetics", "On", "H", "12/31/2010", 7, 9999.0, 1.0, 2.0, 1.0),
-    ]
+        (("North", "South")[i % 2], f"N{i}", "Toys" if i < 5 else "Food", "shop", "x", f"6/{i + 1}/2020" if i % 3 else f"{i + 1}-6-2020",
+         i, 10.0 * (i * 5 % 6), 1.0, 0.25 + i, 1.0)
+        for i in range(6)
+    ]
     return parse_dates(rename_columns(_raw_sales(spark, rows), SALES_COLUMNS), "Order_Date")
 
 
 def test_revenue_by_region(spark):
     out = sales.revenue_by_region(_sales(spark))
-    assert sorted(map(tuple, out.collect())) == [("Asia", 172.75), ("Europe", 11.0)]
+    assert sorted(map(tuple, out.collect())) == [("North", 6.75), ("South", 9.75)]
     exact = sales.revenue_by_region(_sales(spark), decimals=2)
     assert dict(exact.dtypes)["Total_Revenue"] == "decimal(38,2)"
 
 
 def test_top_units_and_region_range(spark):
     df = _sales(spark)
-    assert [r.Units_Sold for r in sales.top_units(df, "Household").collect()] == [
-        6210.0, 5210.0, 4187.0, 3830.0, 2370.0]
-    got = sales.region_orders_in_range(df, "Asia", dt.date(2011, 1, 1), dt.date(2015, 12, 31)).collect()
-    assert [(r.Order_Date, r.Units_Sold) for r in got] == [
-        (dt.date(2011, 2, 5), 5210.0), (dt.date(2011, 9, 5), 4187.0)]
+    assert [r.Units_Sold for r in sales.top_units(df, "Toys", 4).collect()] == [50.0, 40.0, 30.0, 20.0]
+    got = sales.region_orders_in_range(df, "North", dt.date(2020, 6, 2), dt.date(2020, 6, 5)).collect()
+    assert [(r.Order_Date, r.Order_ID) for r in got] == [(dt.date(2020, 6, 3), 2), (dt.date(2020, 6, 5), 4)]
+
+
+def test_sales_job_stores_once_and_prunes(spark, tmp_out):
+    from acctflow.plans import jobs
+
+    out = jobs.sales_job(_sales(spark), tmp_out, "Toys", "North", dt.date(2020, 6, 2), dt.date(2020, 6, 5))
+    listed = out["TotalProfitByRegion"]
+    plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(listed._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [isnotnull(Region" in plan
+    assert [r.Order_ID for r in listed.collect()] == [2, 4] and listed.columns == _sales(spark).columns
+    written = spark.read.option("header", True).csv(f"{tmp_out}/TotalProfitByRegion")
+    assert [r["Order_ID"] for r in written.collect()] == ["2", "4"]
+
+
+def test_bank_job_reads_types_by_folder(spark, tmp_out):
+    from acctflow.plans import jobs
+    from tests.test_bank import FEB, _raw
+
+    stored, plain = jobs.bank_job(_raw(spark), *FEB, out_dir=tmp_out), jobs.bank_job(_raw(spark), *FEB)
+    for name, df in plain.items():
+        assert sorted(map(str, stored[name].collect())) == sorted(map(str, df.collect())), name
+        assert spark.read.parquet(f"{tmp_out}/{name}").count() == df.count()
+    plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(stored["Debit_Transaction"]._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [isnotnull(TransactionType" in plan
 
 
 def test_value_and_range_on_text_dates(spark):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from acctflow.functions.columns import BANK_COLUMNS, BANK_KEEP, keep_columns, parse_date, rename_columns
+from acctflow.functions.columns import BANK_KEEP
 from acctflow.operators import bank
 from acctflow.sources.schemas import BANK
 
@@ -53,17 +53,15 @@ def test_duplicates_singles_totals(spark):
     assert totals == {"A": (40.0, None), "B": (None, 25.0), "C": (None, None)}
 
 
-def test_sql_form_matches_api(spark):
-    cleaned = keep_columns(parse_date(rename_columns(_raw(spark), BANK_COLUMNS), "DATE"), BANK_KEEP)
+def test_listing_by_sql(spark):
     typed = bank.prepare(_raw(spark))
-    days = dict(zip(("first", "last"), FEB))
-    for step, expected in (("totals", bank.totals(typed, *FEB)), ("repeated", bank.duplicates(typed))):
-        found = bank.sql_step(spark, cleaned, step, **days)
-        assert found.columns == expected.columns
-        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
-    assert bank.sql_step(spark, cleaned, "one_type", kind="DR").count() == 3
+    for step in (bank.totals(typed, *FEB), bank.duplicates(typed)):
+        found = bank.listing(spark, "bank_step", step)
+        assert found.columns == step.columns
+        assert sorted(map(str, found.collect())) == sorted(map(str, step.collect()))
+    assert bank.listing(spark, "bank_step", typed, account="B").count() == 2
     # A quote in a bound parameter is data, not SQL.
-    assert bank.sql_step(spark, cleaned, "one_type", kind="DR' OR '1'='1").count() == 0
+    assert bank.listing(spark, "bank_step", typed, account="B' OR '1'='1").count() == 0
 
 
 def test_typing_runs_on_a_stream(spark, tmp_out):

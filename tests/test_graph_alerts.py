@@ -232,3 +232,50 @@ def test_components_take_few_jobs(spark):
     before = set(tracker.getJobIdsForGroup(None))
     assert graph.with_components(rows).select("Group").distinct().count() == 1
     assert len(set(tracker.getJobIdsForGroup(None)) - before) <= 40
+
+
+# The report of a 17-row file at threshold 15, spaces as in the
+# file. REF_ID, ORIG, BENEF, score, day (ours, consistent with the keys), group, key,
+# the three top features, and the REF_ID whose top features the group carries.
+# C, D, H, L, T: Credit, Deposit, HighRisk, Lease, Transfer.
+GOLDEN = [
+    (1, " Meruem", "Eric", 17, 5, "G1", None, "C5 T4 H3", 3),
+    (2, " Reiner", " Meruem", 15, 1, "G1", None, "H5 C4 D3", 3),
+    (3, " Eric", " Elric", 21, 9, "G1", " Eric", "L5 C5 H5", 3),
+    (4, " Elric", " Meruem", 15, 2, "G1", None, "C4 T4 L3", 3),
+    (6, " Sanjay", "Prakash", 18, 3, "G2", " Sanjay", "C5 T5 H4", 6),
+    (8, " Suman", " Sanjay", 18, 4, "G2", None, "T5 C4 H4", 6),
+    (9, " Robert", " Edward", 19, 1, "G3", " Robert", "T5 D4 L4", 9),
+    (10, " Daniel", "Robert", 16, 1, "G4", " Daniel", "L5 H5 T3", 10),
+    (11, " Alphonse", "Daniel", 19, 1, "G5", " Alphonse", "T5 C4 H4", 11),
+    (13, " Anshuman", "Prateek", 20, 1, "G6", " Anshuman", "H5 C5 L5", 13),
+    (16, "Prateek", "Raksha", 16, 1, "G6", None, "D5 H4 C3", 13),
+    (17, "Eren", "Nagato", 15, 1, "G7", None, "H4 C4 L4", 20),
+    (18, "Genos", "Eren", 17, 1, "G7", None, "D5 L4 H3", 20),
+    (20, "Stephen", "Genos", 19, 8, "G7", "Stephen", "C4 D4 T4", 20),
+    (21, "Tachibana", "Krishna", 17, 7, "G8", None, "D5 T4 H3", 23),
+    (23, "Krishna", "Tim", 17, 6, "G8", "Krishna", "D5 H5 C4", 23),
+    (24, "Chang", "Tachibana", 16, 1, "G8", None, "H5 D4 L3", 23),
+]
+NAMES = {"C": " Credit", "D": " Deposit", "H": "HighRisk", "L": "Lease", "T": " Transfer"}
+
+
+def _top(code):
+    return [x for c in code.split() for x in (NAMES[c[0]], float(c[1]))]
+
+
+def test_report_of_the_golden_rows(spark):
+    rows = []
+    for ref, orig, benef, total, day, _, _, top, _ in GOLDEN:
+        rest = [x for n in NAMES if n not in top for x in (NAMES[n], 1.0)]
+        rows.append((ref, orig, benef, *_top(top), *rest, float(total), dt.datetime(2021, 3, day), 3))
+    rows.append((5, "low", "Eric", *rows[0][3:13], 14.0, dt.datetime(2021, 3, 1), 3))
+    report = alerts.alert_report(spark.createDataFrame(rows, FEATURE_SCHEMA), "TOTAL_Score", 15)
+    got = {r.REF_ID: r for r in report.collect()}
+    tops = {g[0]: _top(g[7]) for g in GOLDEN}
+    assert sorted(got) == [g[0] for g in GOLDEN]
+    for ref, _, _, _, _, group, key, _, carried in GOLDEN:
+        r = got[ref]
+        assert (r.Group, r.Alert_Key) == (group, key), ref
+        assert [r[f"{p}{i}{s}"] for i in (1, 2, 3) for p, s in (("Top", "_Feature"), ("top", "_val"))] == tops[ref]
+        assert [r[f"alert_{p}{i}{s}"] for i in (1, 2, 3) for p, s in (("Top", "_Feature"), ("top", "_val"))] == tops[carried]

@@ -114,3 +114,18 @@ def test_command_line_jobs(spark, tmp_out):
     rep = cli.main(["customer-features", "--features", feats, "--out", os.path.join(tmp_out, "c")], spark=spark)
     row = rep["AlertReport"].collect()[0]
     assert (row.Group, row.Alert_Key, row.Top1_Feature) == ("G1", "A", "Credit")
+
+
+def test_rejects_are_told_from_good_rows(spark, tmp_out):
+    from pyspark.sql.types import StructType
+
+    from acctflow.sources.io import read_with_rejects
+
+    path = f"{tmp_out}/lines.csv"
+    with open(path, "w") as fh:
+        fh.write("who;n\nann;1\nbo;x\ncy\ndee;2;3\n;4\n")
+    schema = StructType.fromDDL("who string, n int")
+    good, rejects = read_with_rejects(spark, path, schema, sep=";")
+    assert sorted(map(str, map(tuple, good.collect()))) == ["('ann', 1)", "(None, 4)"]
+    assert good.select("who").count() == 2  # also when the bad column is not read
+    assert sorted(r.line for r in rejects.select("line").collect()) == ["bo;x", "cy", "dee;2;3"]
