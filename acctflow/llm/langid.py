@@ -2,7 +2,7 @@
 
 One character model per language, of order 4 over the letters of words (a word
 is a run of letters, lower-cased, with a boundary sign at its ends). The counts
-of 4-grams over all labelled texts are summed by Spark; the lower orders use
+of 4-grams over the labelled texts are summed by Spark; the lower orders use
 continuation counts (how many different characters stand before an n-gram),
 and each order is interpolated with the next lower one by the discount
 n1 / (n1 + 2 n2) of its own counts, down to a uniform distribution.
@@ -16,10 +16,12 @@ continuation counts come from all n-grams in any case.
 
 The language with the lowest cross-entropy per character wins. A text is
 rejected when even that lies above what texts of the language reach. The limit
-is calibrated on labelled texts kept out of the counts: halfway from their mean
-cost to their mean cost under the best other language, or, if that is more, the
-mean plus ``sigmas`` standard deviations, of which one part falls with the
-length.
+is calibrated on labelled texts that the model used for it has not counted: from
+the median cost of a language's texts two fifths of the way to their median cost
+under the best other language, and for short texts, whose costs scatter more, up
+to half the way, as far as ``sigmas`` robust deviations for their length need it.
+All of it rests on medians, so no long or odd text weighs more than another. The
+final counts hold the calibration texts too.
 """
 
 from __future__ import annotations
@@ -236,24 +238,35 @@ def order_rows(counts: DataFrame, size: int, max_grams: int) -> DataFrame:
     return grams.unionByName(contexts).select("lang", F.lit(size).alias("size"), "kind", "gram", "value")
 
 
-def train(labelled: DataFrame, calibration: DataFrame, max_grams: int = 1_000_000, sigmas: float = 6.0) -> Model:
-    """A model from ``labelled`` (lang, text), its limits from ``calibration``
-    (lang, text). At most ``max_grams`` n-grams an order reach the driver."""
+def train(labelled: DataFrame, calibration: DataFrame, max_grams: int = 1_000_000, sigmas: float = 4.0) -> Model:
+    """A model that counts ``labelled`` and ``calibration`` (lang, text each); its
+    limits come from ``calibration`` under a model that counts ``labelled`` alone.
+    A language that only ``calibration`` holds has no limit. At most ``max_grams``
+    n-grams an order reach the driver."""
     spark = labelled.sparkSession
     folder = shared_folder(spark, "langid")
-    counts = written(gram_counts(labelled), f"{folder}/{ORDER}")
+    # The parts are told apart by a sign before the language, so that one pass counts both.
+    marked = [df.select(F.concat(F.lit(sign), "lang").alias("lang"), "text") for sign, df in (("0", labelled), ("1", calibration))]
+    both = written(gram_counts(marked[0].unionByName(marked[1])), f"{folder}/both")
+    lang = F.expr("substring(lang, 2)").alias("lang")
+    first = model_of(both.where("lang LIKE '0%'").select(lang, "gram", "n"), f"{folder}/first", max_grams)
+    limits = _limits(calibration, first, f"{folder}/scored", sigmas) if first.langs else {}
+    model = model_of(both.groupBy(lang, "gram").agg(F.sum("n").alias("n")), f"{folder}/all", max_grams)
+    delete_folder(spark, folder)
+    model.limits = limits
+    return model
+
+
+def model_of(grams: DataFrame, folder: str, max_grams: int) -> Model:
+    """The arrays of the model of counted 4-grams (lang, gram, n)."""
+    counts = written(grams, f"{folder}/{ORDER}")
     rows = order_rows(counts, ORDER, max_grams)
     for size in range(ORDER - 1, 0, -1):
         # Continuation counts: one n-gram of the next order per character before.
         shorter = counts.groupBy("lang", F.substring("gram", 2, size).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
         counts = written(shorter, f"{folder}/{size}")
         rows = rows.unionByName(order_rows(counts, size, max_grams))
-    table = rows.toArrow()
-    delete_folder(spark, folder)
-    model = _arrays(table)
-    if model.langs:
-        model.limits = _limits(calibration, model, sigmas)
-    return model
+    return _arrays(rows.toArrow())
 
 
 def _arrays(table: pa.Table) -> Model:
@@ -275,11 +288,21 @@ def _arrays(table: pa.Table) -> Model:
     return Model(langs, order, values, {})
 
 
-def _limits(calibration: DataFrame, model: Model, sigmas: float) -> dict[str, tuple[float, float, float]]:
-    """Per language (mean, spread of long texts, spread per character), spreads
-    times ``sigmas``: the limit of a text of n characters is
-    mean + sqrt(long^2 + char^2 / n), and long is at least half the way to the
-    best other language."""
+#: Texts below this length show the scatter per character; a language with fewer
+#: than ``OWN_SCATTER`` of them takes that of all languages.
+SHORT, OWN_SCATTER = 400, 30
+NEAR, FAR = 0.4, 0.5
+
+
+def limit(n: np.ndarray, center: np.ndarray, gap: np.ndarray, noise: np.ndarray) -> np.ndarray:
+    """The highest accepted cost of texts of ``n`` characters."""
+    return center + np.clip(noise / np.sqrt(np.maximum(n, 1)), NEAR * gap, FAR * gap)
+
+
+def _limits(calibration: DataFrame, model: Model, folder: str, sigmas: float) -> dict[str, tuple[float, float, float]]:
+    """Per language: the median cost of its texts, how far above it their median
+    cost under the best other language lies (as high again without another), and
+    ``sigmas`` times the robust deviation of one character's cost."""
     sent = calibration.sparkSession.sparkContext.broadcast(model)
     langs = list(model.langs)
 
@@ -291,23 +314,22 @@ def _limits(calibration: DataFrame, model: Model, sigmas: float) -> dict[str, tu
             ok = [i for i, x in enumerate(lang) if x in langs and n[i] > 0]
             place = [langs.index(lang[i]) for i in ok]
             own = np.array([costs[i, k] for i, k in zip(ok, place)])
-            other = np.array([np.delete(costs[i], k).min() if len(langs) > 1 else costs[i, k] for i, k in zip(ok, place)])
+            other = np.array([np.delete(costs[i], k).min() if len(langs) > 1 else 2 * costs[i, k] for i, k in zip(ok, place)])
             made = [pa.array([lang[i] for i in ok], pa.string()), *(pa.array(x, pa.float64()) for x in (own, other, n[ok]))]
             yield pa.RecordBatch.from_arrays(made, names=["lang", "cost", "other", "n"])
 
-    scored = calibration.select("lang", "text").mapInArrow(run, "lang string, cost double, other double, n double")
-    long = F.when(F.col("n") >= 400, F.col("cost"))
-    found = scored.groupBy("lang").agg(
-        F.avg("cost").alias("mean"), F.avg("other").alias("other"), F.avg(long).alias("long_mean"), F.stddev_pop(long).alias("long_sd"),
-        F.sum("cost").alias("s"), F.sum(F.col("cost") * F.col("cost") * F.col("n")).alias("a"),
-        F.sum(F.col("cost") * F.col("n")).alias("b"), F.sum("n").alias("c"), F.count(F.lit(1)).alias("k"),
-    )
-    out = {}
-    for r in found.collect():  # one row per language
-        mean = r.long_mean if r.long_mean is not None else r.mean
-        per_char = max(r.a - 2 * mean * r.b + mean * mean * r.c, 0.0) / r.k
-        out[r.lang] = (mean, max(sigmas * (r.long_sd or 0.0), (r.other - mean) / 2), sigmas * per_char**0.5)
-    return out
+    scored = written(calibration.select("lang", "text").mapInArrow(run, "lang string, cost double, other double, n double"), folder)
+    medians = scored.groupBy("lang").agg(*[F.percentile_approx(c, 0.5).alias(c) for c in ("cost", "other")]).collect()
+    if not medians:
+        return {}
+    center = F.create_map(*[F.lit(x) for r in medians for x in (r["lang"], r["cost"])])
+    off = F.abs(F.col("cost") - center[F.col("lang")]) * F.sqrt("n")
+    short = scored.where(F.col("n") < SHORT).select("lang", off.alias("off"))
+    middle = [F.percentile_approx("off", 0.5).alias("off"), F.count(F.lit(1)).alias("k")]
+    all_langs = short.agg(*middle).head()["off"] or 0.0
+    own = {r["lang"]: r["off"] for r in short.groupBy("lang").agg(*middle).collect() if r["k"] >= OWN_SCATTER}
+    # 1.4826 times the median deviation is the standard deviation of a normal law.
+    return {r["lang"]: (r["cost"], max(r["other"] - r["cost"], 0.0), sigmas * 1.4826 * own.get(r["lang"], all_langs)) for r in medians}
 
 
 def identify(
@@ -328,7 +350,7 @@ def identify(
     def make():
         m = sent.value
         scorer = scorer_of(m)
-        limits = np.array([m.limits.get(x, (np.inf, 0.0, 0.0)) for x in m.langs]).reshape(-1, 3)
+        limits = np.array([m.limits.get(x, (0.0, np.inf, 0.0)) for x in m.langs]).reshape(-1, 3)
 
         def arrays(texts: list[str]) -> list[pa.Array]:
             costs, n = scorer.texts(texts) if m.langs else (np.zeros((len(texts), 1)), np.zeros(len(texts)))
@@ -338,8 +360,7 @@ def identify(
             known = n > 0
             accepted = known.copy()
             if m.langs:
-                lim = limits[best]
-                accepted &= low <= lim[:, 0] + np.sqrt(lim[:, 1] ** 2 + lim[:, 2] ** 2 / np.maximum(n, 1))
+                accepted &= low <= limit(n, *limits[best].T)
             return [
                 pa.array([m.langs[b] if k else "und" for b, k in zip(best, known)], pa.string()),
                 pa.array(np.where(known, 1 / odds, 0.0)),
@@ -359,8 +380,8 @@ def fold(id_col: str = "doc_id", folds: int = 5) -> F.Column:
 
 
 def train_on_folds(docs: DataFrame, max_grams: int = 1_000_000) -> Model:
-    """Counts from the labelled texts of folds 2 to 4, limits from fold 1;
-    fold 0 is held out. Rows without lang, text or id teach nothing."""
+    """Counts from the labelled texts of folds 1 to 4, limits from fold 1 under the
+    counts of folds 2 to 4; fold 0 is held out. Rows without lang, text or id teach nothing."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     number = fold()
     return train(
