@@ -16,12 +16,11 @@ continuation counts come from all n-grams in any case.
 
 The language with the lowest cross-entropy per character wins. A text is
 rejected when even that lies above what texts of the language reach. The limit
-is calibrated on labelled texts that the model used for it has not counted: from
+is calibrated on labelled texts kept out of the counts: from
 the median cost of a language's texts two fifths of the way to their median cost
 under the best other language, and for short texts, whose costs scatter more, up
 to half the way, as far as ``sigmas`` robust deviations for their length need it.
-All of it rests on medians, so no long or odd text weighs more than another. The
-final counts hold the calibration texts too.
+All of it rests on medians, so no long or odd text weighs more than another.
 """
 
 from __future__ import annotations
@@ -115,7 +114,7 @@ class Model:
 class Scorer:
     """Costs of whole texts; costs of chunks are kept in a bounded memo."""
 
-    def __init__(self, model: Model, size: int = 300_000, block: int = 20_000):
+    def __init__(self, model: Model, size: int = 300_000, block: int = 8_000):
         self.model, self.size, self.block = model, size, block
         self.rows: dict[str, int] = {}
         self.costs = np.zeros((0, len(model.langs) + 1))
@@ -239,21 +238,14 @@ def order_rows(counts: DataFrame, size: int, max_grams: int) -> DataFrame:
 
 
 def train(labelled: DataFrame, calibration: DataFrame, max_grams: int = 1_000_000, sigmas: float = 4.0) -> Model:
-    """A model that counts ``labelled`` and ``calibration`` (lang, text each); its
-    limits come from ``calibration`` under a model that counts ``labelled`` alone.
-    A language that only ``calibration`` holds has no limit. At most ``max_grams``
-    n-grams an order reach the driver."""
-    spark = labelled.sparkSession
-    folder = shared_folder(spark, "langid")
-    # The parts are told apart by a sign before the language, so that one pass counts both.
-    marked = [df.select(F.concat(F.lit(sign), "lang").alias("lang"), "text") for sign, df in (("0", labelled), ("1", calibration))]
-    both = written(gram_counts(marked[0].unionByName(marked[1])), f"{folder}/both")
-    lang = F.expr("substring(lang, 2)").alias("lang")
-    first = model_of(both.where("lang LIKE '0%'").select(lang, "gram", "n"), f"{folder}/first", max_grams)
-    limits = _limits(calibration, first, f"{folder}/scored", sigmas) if first.langs else {}
-    model = model_of(both.groupBy(lang, "gram").agg(F.sum("n").alias("n")), f"{folder}/all", max_grams)
-    delete_folder(spark, folder)
-    model.limits = limits
+    """A model that counts ``labelled`` (lang, text), its limits from
+    ``calibration`` (lang, text). At most ``max_grams`` n-grams an order reach the
+    driver."""
+    folder = shared_folder(labelled.sparkSession, "langid")
+    model = model_of(gram_counts(labelled), f"{folder}/counts", max_grams)
+    if model.langs:
+        model.limits = _limits(calibration, model, f"{folder}/scored", sigmas)
+    delete_folder(labelled.sparkSession, folder)
     return model
 
 
@@ -380,8 +372,9 @@ def fold(id_col: str = "doc_id", folds: int = 5) -> F.Column:
 
 
 def train_on_folds(docs: DataFrame, max_grams: int = 1_000_000) -> Model:
-    """Counts from the labelled texts of folds 1 to 4, limits from fold 1 under the
-    counts of folds 2 to 4; fold 0 is held out. Rows without lang, text or id teach nothing."""
+    """Counts from the labelled texts of folds 2 to 4, limits from fold 1;
+    fold 0 is held out. Rows without lang, text or id teach nothing; nor does a
+    language that only fold 1 holds."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     number = fold()
     return train(
