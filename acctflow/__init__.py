@@ -1,9 +1,8 @@
 """acctflow: account, sales and payment analytics as Spark DataFrame operators.
 
 Every public function takes DataFrames (and plain parameters) and returns a
-DataFrame. Nothing is collected to the driver except a few scalars per
-connected-components round and hot-key lists of at most 1000 keys, whose size
-is bounded by a constant, never by the data.
+DataFrame. Outside ``acctflow.llm`` only counts reach the driver: the size of
+contracted edges and one number per connected-components round.
 """
 
 from acctflow.session import build_session, ensure_checkpoint_dir

@@ -12,6 +12,18 @@ from acctflow.llm.common import shared_folder, table, written
 from acctflow.llm.queries import BYTE_TOKENIZER
 
 
+#: Rows a task holds in one Arrow batch at most; texts can be long.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
+
+def bounded(spark: SparkSession) -> None:
+    """Keeps the session's Arrow batches at ``BATCH_ROWS`` or less."""
+    name, rows = BATCH_ROWS
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > rows:
+        spark.conf.set(name, str(rows))
+
+
 def apart(docs: DataFrame) -> DataFrame:
     """``docs`` with a prefix on its columns, so that none is named like a result
     of an operator."""
@@ -25,6 +37,7 @@ def as_before(rows: DataFrame, docs: DataFrame, **new: Column) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; rejected ones go."""
+    bounded(spark)
     model = langid.train_on_folds(docs)
     held = apart(docs)
     found = langid.identify(held, model, text_col="in_text", keep=tuple(held.columns))
@@ -33,6 +46,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule and the compression bands keep."""
+    bounded(spark)
     held = apart(docs)
     found = quality.quality(held, text_col="in_text", keep=tuple(held.columns))
     return as_before(found.where("kept"), docs)
@@ -41,6 +55,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates: that with its smallest id (any
     id before none), then its smallest fingerprint, text and other columns."""
+    bounded(spark)
     held = apart(docs)
     rows = written(
         simhash.fingerprints(held, text_col="in_text", keep=tuple(held.columns)), shared_folder(spark, "pipeline-fp")
@@ -60,6 +75,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every secret in their texts replaced by its kind in
     brackets; n_chars is that of the new text."""
+    bounded(spark)
     held = apart(docs)
     found = secret_scan.scan(held, text_col="in_text", keep=tuple(held.columns))
     changed = F.col("spans") != ""
@@ -73,6 +89,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents packed into training sequences, one row per piece."""
+    bounded(spark)
     return packing.pack_documents(docs, BYTE_TOKENIZER)
 
 
