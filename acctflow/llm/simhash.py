@@ -163,7 +163,10 @@ def components(rows: DataFrame, bits: int = 2, id_col: str = "doc_id") -> DataFr
     spark = rows.sparkSession
     folder = shared_folder(spark, "simhash-nodes")
     nodes = written(rows.groupBy("fp").agg(F.min(id_col).alias("first")), folder)
-    roots = bigint_components(links(nodes, bits))
+    # Written first: a task then runs one Python worker at a time, for links or for components.
+    linked = shared_folder(spark, "simhash-links")
+    roots = bigint_components(written(links(nodes, bits), linked))
+    delete_folder(spark, linked)
     labelled = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
