@@ -56,7 +56,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    found = secret_scan.scan(table(spark, sf_dir, "documents"), redacted=False)
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 

@@ -5,10 +5,13 @@ characters are candidates: a candidate is decoded, and only what parses is
 reported.
 
 * ``jwt``: three dot-joined base64url parts whose first decodes to a JSON
-  object with a text ``alg``, and whose second to a JSON object.
-* ``der``: base64 (with the line ends and blanks of a PEM body, escaped line ends too) or hex
-  that decodes to a private key in DER: a SEQUENCE whose nested lengths fill it
-  exactly and whose first members are those of PKCS#1, PKCS#8 or SEC 1.
+  object with a text ``alg``, and whose second to a JSON object. The header may
+  begin behind punctuation: at the part's first letter, or behind its last ``-`` or
+  ``_`` (which base64 of such objects has only for ``>``, ``?`` and ``~``).
+* ``der``: base64 or hex (with the line ends and blanks of a PEM body, escaped line
+  ends too) that decodes to a private key in DER: a SEQUENCE whose nested lengths fill
+  it exactly and whose first members are those of PKCS#1, PKCS#8 (encrypted too),
+  SEC 1 or a traditional DSA key. It may begin anywhere in a run.
 * ``openssh``: base64 of an OpenSSH private key block, whose length-prefixed
   fields are read to its end.
 
@@ -42,7 +45,7 @@ def either_case(word: str) -> str:
 _NAMES = "|".join(map(either_case, ("password", "passwd", "secret", "token", "api_?key")))
 ASSIGN = re.compile(rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile("AKIA[A-Z0-9]+")
-JWT = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]+)(?![A-Za-z0-9_-])")
+DOTTED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]++){2,}+")
 # A line end as such, or written as an escape as in JSON and source code.
 _LINE_END = r"(?:\r?\n|\\r\\n|\\n)"
 # Lines may be indented, end in blanks, or be joined by blanks.
@@ -52,13 +55,18 @@ ENCODED = re.compile(rf"(?<!\\)[A-Za-z0-9+/_-]{{24,}}+(?:{_BREAK}[A-Za-z0-9+/_-]
 # The base64 forms of the byte 0x30 and of the OpenSSH magic begin like this.
 DER_START = "M"
 KEY_START = re.compile("M(?=[A-P])|b(?=3BlbnNzaC1rZXktdjE)")
-HEX_BYTES = re.compile(r"(?:[0-9a-fA-F]{2}){24,}")
+HEX_RUN = re.compile(rf"[0-9a-fA-F]{{24,}}+(?:{_BREAK}[0-9a-fA-F]{{2,}}+)*+")
+# The two bytes that a SEQUENCE with members begins with, in hex.
+HEX_START = re.compile("30(?=8[1-4]|[1-7])")
 
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
 HEX = re.compile("[0-9a-f]{%d,}" % MIN_HEX)
 
 INTEGER, OCTETS, OID, SEQUENCE = 0x02, 0x04, 0x06, 0x30
 MOST_MEMBERS = 10  # of PKCS#1; the other key structures have fewer
+MIN_DSA_PRIME = 64  # bytes of the shortest prime in use
+# Fixed by the standards: object identifiers of password-based encryption begin so.
+PASSWORD_BASED = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
 
 
 def from_base64(text: str) -> bytes:
@@ -90,6 +98,18 @@ class Encoded:
         return from_base64(held)[part.start - 3 * first : part.stop - 3 * first]
 
 
+class EncodedHex(Encoded):
+    """The same for hex digits."""
+
+    def __init__(self, chars: str, place: int):
+        super().__init__(chars, place)
+        self.size = (len(chars) - place) // 2
+
+    def __getitem__(self, part: slice) -> bytes:
+        stop = min(part.stop, self.size)
+        return bytes.fromhex(self.chars[self.place + 2 * part.start : self.place + 2 * stop])
+
+
 def read_der(raw: bytes | Encoded, at: int, end: int) -> tuple[int, int, int] | None:
     """(tag, content start, content end) of the element at ``at``, or None if
     its length is malformed or leaves ``end``."""
@@ -125,12 +145,20 @@ def private_key_length(raw: bytes | Encoded) -> int:
     if top is None or top[0] != SEQUENCE:
         return 0
     inside = members(raw, top[1], top[2])
-    if not inside or len(inside) < 2 or inside[0][0] != INTEGER or inside[0][2] - inside[0][1] != 1:
+    if not inside or len(inside) < 2:
         return 0
     tags = [t for t, _, _ in inside]
+    if tags == [SEQUENCE, OCTETS]:  # PKCS#8, encrypted
+        scheme = members(raw, inside[0][1], inside[0][2])
+        named = scheme and scheme[0][0] == OID and raw[scheme[0][1] : min(scheme[0][2], scheme[0][1] + 9)]
+        return top[2] if named and named.startswith(PASSWORD_BASED) else 0
+    if inside[0][0] != INTEGER or inside[0][2] - inside[0][1] != 1:
+        return 0
     version = raw[inside[0][1] : inside[0][2]]
     if len(tags) >= 9 and set(tags[:9]) == {INTEGER} and version in (b"\x00", b"\x01"):
         return top[2]  # PKCS#1: version, modulus, exponents, primes
+    if tags == [INTEGER] * 6 and version == b"\x00":  # DSA: version, p, q, g, y, x
+        return top[2] if inside[1][2] - inside[1][1] >= MIN_DSA_PRIME else 0
     if tags[1] == SEQUENCE and len(tags) > 2 and tags[2] == OCTETS and version in (b"\x00", b"\x01"):
         algorithm = members(raw, inside[1][1], inside[1][2])  # PKCS#8
         return top[2] if algorithm and algorithm[0][0] == OID else 0
@@ -180,21 +208,39 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """Spans whose decoded bytes parse as a key or a signed token."""
     out = []
     if "ey" in text:
-        out += [(m.start(), 3, m.end()) for m in JWT.finditer(text) if is_signed_token(m[1], m[2])]
+        for m in DOTTED.finditer(text):
+            out += [(m.start() + s, 3, m.start() + e) for s, e in signed_tokens(m[0])]
     for m in ENCODED.finditer(text):
-        out += [(m.start() + s, k, m.start() + e) for s, k, e in encoded_keys(m[0])]
-    for m in HEX_BYTES.finditer(text):
-        if m[0][:2] == "30" and (n := private_key_length(bytes.fromhex(m[0]))):
-            out.append((m.start(), 4, m.start() + 2 * n))
+        if KEY_START.search(m[0]):
+            out += [(m.start() + s, k, m.start() + e) for s, k, e in encoded_keys(m[0])]
+    for m in HEX_RUN.finditer(text):
+        if HEX_START.search(m[0]):
+            out += [(m.start() + s, k, m.start() + e) for s, k, e in encoded_keys(m[0], True)]
     return sorted(set(out))
 
 
-def encoded_keys(run: str) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of keys anywhere in a base64 run, as a run may begin
-    with what stands before a key. A key says how long it is, so what stands
+def signed_tokens(run: str) -> list[tuple[int, int]]:
+    """(start, end) of the signed tokens in dot-joined parts, which share none."""
+    parts = run.split(".")
+    places = list(accumulate((len(p) + 1 for p in parts), initial=0))
+    out, free = [], 0
+    for k in range(len(parts) - 2):
+        header = parts[k]
+        if k < free or "ey" not in header or not parts[k + 1].startswith("e"):
+            continue
+        starts = {len(header) - len(header.lstrip("-_")), max(header.rfind("-"), header.rfind("_")) + 1}
+        for start in sorted(starts):
+            if header.startswith("ey", start) and is_signed_token(header[start:], parts[k + 1]):
+                out.append((places[k] + start, places[k + 3] - 1))
+                free = k + 3
+                break
+    return out
+
+
+def encoded_keys(run: str, in_hex: bool = False) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of keys anywhere in a base64 (or hex) run, as a run may
+    begin with what stands before a key. A key says how long it is, so what stands
     behind it doesn't matter."""
-    if not KEY_START.search(run):
-        return []
     ends = [m.span() for m in BREAK.finditer(run)]
     starts = [0, *(e for _, e in ends)]
     lines = [run[a:b] for a, b in zip(starts, [*(s for s, _ in ends), len(run)])]
@@ -202,18 +248,18 @@ def encoded_keys(run: str) -> list[tuple[int, int, int]]:
     chars = "".join(lines)
     places = list(accumulate(map(len, lines), initial=0))  # of each line in chars
     out, until = [], 0
-    for m in KEY_START.finditer(chars):
+    for m in (HEX_START if in_hex else KEY_START).finditer(chars):
         place = m.start()
         if place < until:
             continue
-        kind = 4 if m[0] == DER_START else 5
-        raw = Encoded(chars, place)
+        kind = 4 if in_hex or m[0] == DER_START else 5
+        raw = EncodedHex(chars, place) if in_hex else Encoded(chars, place)
         n = private_key_length(raw) if kind == 4 else openssh_key_length(raw)
         if n:
-            until = place - n * 8 // -6
+            until = place + (2 * n if in_hex else -(n * 8 // -6))
             line, last = bisect_right(places, place) - 1, bisect_left(places, until) - 1
             end = starts[last] + until - places[last]
-            while end < len(run) and run[end] == "=":
+            while not in_hex and end < len(run) and run[end] == "=":
                 end += 1
             out.append((starts[line] + place - places[line], kind, end))
     return out
@@ -223,32 +269,33 @@ def digest_form(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{start}:{end}" for start, k, end in spans)
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), redacted: bool = True) -> DataFrame:
     """Per row: the id (or the columns in ``keep``), ``n_assign``,
     ``n_access``, ``n_hex``, ``n_confirmed``, ``base_spans`` and ``spans``
     (kind:start:end by start, then kind; code points, end exclusive; joined by
-    commas), and ``redacted``, the text with every span replaced by its kind
-    in square brackets (overlapping spans are replaced as one).
+    commas), and, if ``redacted``, a column of that name, the text with every span
+    replaced by its kind in square brackets (overlapping spans are replaced as one).
 
     No shuffle; a null text counts as empty, an empty one has no spans,
     repeated rows give repeated results, null ids stay null.
     """
 
-    kinds = [pa.int64()] * 4 + [pa.string()] * 3
+    kinds = [pa.int64()] * 4 + [pa.string()] * (3 if redacted else 2)
 
     def one(text: str) -> tuple:
         base = base_spans(text)
         spans = sorted(base + confirmed_spans(text))
         found = [k for _, k, _ in base]
         counts = [found.count(k) for k in range(3)]
-        return *counts, len(spans) - len(base), digest_form(base), digest_form(spans), redact(text, spans)
+        texts = (redact(text, spans),) if redacted else ()
+        return *counts, len(spans) - len(base), digest_form(base), digest_form(spans), *texts
 
     def arrays(texts: list[str]) -> list[pa.Array]:
         rows = list(map(one, texts))
         return [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
 
-    added = "n_assign long, n_access long, n_hex long, n_confirmed long, base_spans string, spans string, redacted string"
-    return with_columns_of_text(docs, text_col, keep or (id_col,), added, lambda: arrays)
+    added = "n_assign long, n_access long, n_hex long, n_confirmed long, base_spans string, spans string"
+    return with_columns_of_text(docs, text_col, keep or (id_col,), added + ", redacted string" * redacted, lambda: arrays)
 
 
 def redact(text: str, spans: list[tuple[int, int, int]]) -> str:

@@ -347,6 +347,93 @@ def _openssh(keys: int = 1) -> bytes:
     return b"openssh-key-v1\0" + field(b"none") * 2 + field(b"") + keys.to_bytes(4, "big") + field(b"p" * 51) * keys + field(b"s" * 136)
 
 
+def test_secret_scan_of_hex_keys_anywhere():
+    number = lambda k: _der(2, bytes([1] * k))
+    key = _der(0x30, _der(2, b"\0") + b"".join(number(n) for n in (64, 3, 64, 32, 32, 32, 32, 32))).hex()
+    wrapped = "\n".join(key[i : i + 64] for i in range(0, len(key), 64))
+    for text, found in ((f"x {wrapped} y", wrapped), (f"abcd{key}00", key), (f"q a{key}", key), (f"k={key.upper()}", key.upper())):
+        assert [(secret_scan.KINDS[k], text[s:e]) for s, k, e in secret_scan.confirmed_spans(text)] == [("der", found)], text[:40]
+    assert secret_scan.confirmed_spans("3082" * 200000) == secret_scan.confirmed_spans("30 " * 200000 + "30" * 100000) == []
+
+
+def test_secret_scan_of_encrypted_and_dsa_keys():
+    number = lambda k: _der(2, bytes([1] * k))
+    scheme = lambda oid: _der(0x30, _der(6, bytes.fromhex(oid)) + _der(0x30, b""))
+    encrypted = _der(0x30, scheme("2a864886f70d01050d") + _der(4, b"\7" * 90))
+    dsa = _der(0x30, _der(2, b"\0") + b"".join(number(n) for n in (128, 20, 128, 128, 20)))
+    for raw in (encrypted, dsa):
+        assert secret_scan.private_key_length(raw) == len(raw)
+        text = f"a {base64.b64encode(raw).decode().rstrip('=')} b"
+        assert [text[s:e] for s, _, e in secret_scan.confirmed_spans(text)] == [text[2:-2]]
+    digest = _der(0x30, scheme("608648016503040201") + _der(4, b"\7" * 32))  # a signature's digest, no key
+    small = _der(0x30, _der(2, b"\0") + b"".join(number(n) for n in (8, 2, 8, 8, 2)))
+    assert secret_scan.private_key_length(digest) == secret_scan.private_key_length(small) == 0
+
+
+def test_secret_scan_of_tokens_behind_punctuation():
+    part = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
+    token = f"{part({'alg': 'HS256', 'typ': 'JWT'})}.{part({'sub': 'x'})}.{'s' * 43}"
+    for before in ("", ".", "-", "a.", "x.y-", "id_", "..-", "v1.", "jwt=--"):
+        for behind in ("", ".", ". next", "\n"):
+            text = f"see {before}{token}{behind}"
+            assert [(k, text[s:e]) for s, k, e in secret_scan.confirmed_spans(text)] == [(3, token)], (before, behind)
+    for text in ("ey." * 300000, "-ey" * 300000, "eyJ-" * 100000 + ".e.e", "a.ey" * 200000):
+        assert secret_scan.confirmed_spans(text) == []
+
+
+def _plain_base(text):
+    """The contract's base spans by another route: at each place of a kind the longest match, then on."""
+    value, upper = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"), set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+    def run(at, chars):
+        while at < len(text) and text[at] in chars:
+            at += 1
+        return at
+
+    def assign(at):
+        for name in ("password", "passwd", "secret", "token", "apikey", "api_key"):
+            if not low.startswith(name, at):
+                continue
+            p = at + len(name)
+            p += text[p : p + 1] in ("'", '"') and p < len(text)
+            p = run(p, " ")
+            if text[p : p + 1] not in (":", "="):
+                continue
+            p = run(p + 1, " ")
+            p += text[p : p + 1] in ("'", '"') and p < len(text)
+            end = run(p, value)
+            # Behind an equals sign nothing but another one can start the value, so no shorter form matches.
+            return (end, end - p >= 6) if end > p else None
+        return None
+
+    def access(at):
+        end = run(at + 4, upper) if text.startswith("AKIA", at) else at
+        return (end, end - at >= 20) if end > at + 4 else None
+
+    def digits(at):
+        end = run(at, set("0123456789abcdef"))
+        return (end, end - at >= 24) if end > at else None
+
+    out = []
+    for kind, match in enumerate((assign, access, digits)):
+        at = 0
+        while at < len(text):
+            found = match(at)
+            if found and found[1]:
+                out.append((at, kind, found[0]))
+            at = found[0] if found else at + 1
+    return sorted(out)
+
+
+def test_base_spans_are_those_of_a_plain_scan():
+    rng = random.Random(8)
+    parts = ["password", "PassWd", "secret", "toKen", "api_key", "APIKEY", "apikey", "'", '"', " ", ":", "=", "abc", "x1/", "AKIA", "Z9" * 8, "0a" * 12, "f" * 9, "é", "ſ", "\n", "K", "-."]
+    for _ in range(20000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(12)))
+        assert secret_scan.base_spans(text) == _plain_base(text), text
+
+
 def test_secret_scan_of_candidates_that_claim_the_rest():
     """Every line claims all that stands behind it; none is a key."""
     key = base64.b64encode(_openssh()).decode()
