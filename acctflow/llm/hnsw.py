@@ -88,9 +88,11 @@ def near_links(vectors: np.ndarray, most: int, candidates: int, block: int = 256
 def build(vectors: np.ndarray, ids: np.ndarray, most: int, candidates: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """(members, links) of each layer from 0; links are positions in the
     layer's members."""
-    norms = (vectors.astype(np.float64) ** 2).sum(axis=1)
-    longer = np.sqrt(np.maximum(norms.max() - norms, 0))[:, None].astype(np.float32)
-    level_vectors = np.concatenate([vectors, longer], axis=1)
+    # In double precision: beside one long vector the added component is large,
+    # and single products would lose what tells the others apart.
+    exact = vectors.astype(np.float64)
+    norms = (exact**2).sum(axis=1)
+    level_vectors = np.concatenate([exact, np.sqrt(np.maximum(norms.max() - norms, 0))[:, None]], axis=1)
     # A fixed scramble of the id instead of a random number: repeatable.
     h = (ids.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(31)
