@@ -9,7 +9,10 @@ lines are smoothed by a Gaussian and clustered by a threshold, their standard
 deviation. The content region is all the outermost articles with lines above it (or
 ``main`` elements) if they hold nearly all text of these lines, and otherwise the
 innermost container that holds all of it; every line of the region is kept, short
-ones too.
+ones too, but for lists of links before and behind the text whose ratios are below the
+threshold, where no ``article`` or ``main`` bounds it. A form, dialog or an element with
+the name of a menu or notice may also be a wrapper of the page: on a page without an
+article beside it, it stays if it holds most of the text of the lines above the threshold.
 """
 
 from __future__ import annotations
@@ -39,9 +42,12 @@ CONTAINERS = frozenset("article aside body div html main section table tbody td
 PARTS = frozenset("table tbody td tr blockquote".split())
 NEARLY_ALL = 0.9
 SKIPPED = frozenset(
-    "aside audio button canvas datalist dialog footer form head iframe input math menu nav noscript object option script "
+    "annotation annotation-xml aside audio button canvas datalist footer head iframe input menu nav object option script "
     "select style svg template textarea title video".split()
 )
+# Left out too, unless they hold the page's text; a form may also be around its article.
+HELD = frozenset("dialog form noscript".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Words of class, id and role values that name the parts left out.
 NAMED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|"
@@ -51,18 +57,23 @@ NAMED = re.compile(
     re.I,
 )
 # Inside an article a heading or a section may be about most of these.
-NAMED_INSIDE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|comments?|cookies?|promo\w*)(?=$|[\s_-])", re.I)
+NAMED_INSIDE = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|comments?|cookies?[_-]\w+|promo\w*)(?=$|[\s_-])", re.I
+)
 # Reader comments are articles at times, or hold some.
 COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|respond)(?=$|[\s_-])", re.I)
 COMMENT = re.compile(r"(?<!\S)(?:div-)?(?:comments?|reply|replies)(?:-(?:body|item|content|\d+))?(?!\S)", re.I)
 # Names that say what a page has or lacks, not what an element is.
 STATE = re.compile(r"(?<!\S)(?:(?:has|no|with|without)[_-]\S+|\S+[_-](?:open|closed))(?!\S)", re.I)
+# Heads of an article, not of a page.
+ARTICLE_HEAD = re.compile(r"(?<!\S)(?:article|entry|post|story)[_-]+(?:head|header)(?!\S)", re.I)
+RIGHTS = re.compile(r"(?:©|\(c\)|copyright\b).*\d{4}", re.I)
 NEVER_NAMED = frozenset("html body main".split())
 SPACE = re.compile(r"\s+")
 
 
 class Lines(HTMLParser):
-    """Lines of a page: (text, tags before it, innermost container).
+    """Lines of a page: (text, tags before it, innermost container, all of it a link's and no heading).
 
     An element left out for its name may turn out to be a wrapper of the article,
     so its text is held back until the page's end: ``finish`` notes blocks, ``close``
@@ -70,16 +81,18 @@ class Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int]] = []
+        self.lines: list[tuple[str, int, int, bool]] = []
         self.containers: list[tuple[int, str]] = [(-1, "")]  # (parent, tag)
-        # (parent, holds comments) of each element left out for its name; 0 is none.
-        self._named: list[tuple[int, bool]] = [(0, False)]
+        # (parent, holds comments, may hold the page's text) of each element left out for its name; 0 is none.
+        self._named: list[tuple[int, bool, bool]] = [(0, False, True)]
+        self._dialogs: set[int] = set()  # of these, the dialogs and noscripts
         self._wraps: list[int] = [0]  # of each: 1 if an article is in it, 2 if a page's body or main is
-        self._blocks: list[tuple[list[tuple[str, int]], int, int]] = []
+        # Parts (text, named element, in a link), tags before, container, inside an article or main, in a heading.
+        self._blocks: list[tuple[list[tuple[str, int, bool]], int, int, bool, bool]] = []
         # Tag, named element it is left out with (-1: left out for its tag), container, inside main (1) or an article (2).
         self._open: list[tuple[str, int, int, int]] = [("", 0, 0, 0)]
         self._count: Counter = Counter()  # open elements per tag
-        self._parts: list[tuple[str, int]] = []
+        self._parts: list[tuple[str, int, bool]] = []
         self._tags = 0
         self._endless = False
 
@@ -97,17 +110,36 @@ class Lines(HTMLParser):
         self._make_lines()
 
     def _make_lines(self) -> None:
-        stays = [True]
-        for (parent, comments), wraps in zip(self._named[1:], self._wraps[1:]):
+        stays = [True]  # of each named element
+        for (parent, comments, _), wraps in zip(self._named[1:], self._wraps[1:]):
             stays.append(stays[parent] and wraps > comments)
+        beside = (parts for parts, _, _, inside, _ in self._blocks if inside)
+        if not all(stays) and not any(stays[k] and not data.isspace() for parts in beside for data, k, _ in parts):
+            mass = self._held_content()
+            for k, (parent, _, page) in enumerate(self._named[1:], 1):
+                stays[k] = stays[parent] and (self._wraps[k] > self._named[k][1] or page and 2 * mass[k] > mass[0])
         tags = 0
-        for parts, n, container in self._blocks:
+        for parts, n, container, _, heading in self._blocks:
             tags += n
-            text = SPACE.sub(" ", "".join([data for data, named in parts if stays[named]])).strip()
+            kept = [(data, linked) for data, named, linked in parts if stays[named]]
+            text = SPACE.sub(" ", "".join([data for data, _ in kept])).strip()
             if text:
-                self.lines.append((text, tags, container))
+                link = not heading and all(linked or data.isspace() for data, linked in kept)
+                self.lines.append((text, tags, container, link))
                 tags = 0
 
+    def _held_content(self) -> list[int]:
+        """Characters of content lines in each element left out for its name; 0 is the page."""
+        sizes = [[len(SPACE.sub(" ", data).strip()) for data, _, _ in block[0]] for block in self._blocks]
+        content, _ = clustered([sum(n) for n in sizes], [block[1] for block in self._blocks])
+        mass = [0] * len(self._named)
+        for (parts, *_), lengths, chosen in zip(self._blocks, sizes, content):
+            for (_, named, _), n in zip(parts, lengths):
+                mass[named] += n * bool(chosen)
+        for k in range(len(mass) - 1, 0, -1):
+            mass[self._named[k][0]] += mass[k]
+        return mass
+
     def parse_comment(self, i, report=True):
         # Behind a comment without an end there is none with one.
         end = -1 if self._endless else super().parse_comment(i, report)
@@ -117,7 +149,9 @@ class Lines(HTMLParser):
     def finish(self) -> None:
         """The text so far is a block, if there is any."""
         if self._parts:
-            self._blocks.append((self._parts, self._tags, self._open[-1][2]))
+            top = self._open[-1]
+            heading = any(self._count[h] for h in HEADINGS)
+            self._blocks.append((self._parts, self._tags, top[2], top[3] > 0, heading))
             self._parts, self._tags = [], 0
 
     def _left_out(self, tag: str, attrs, out: int, inside: int) -> int:
@@ -127,26 +161,37 @@ class Lines(HTMLParser):
             return -1
         if tag in NEVER_NAMED:
             return out
-        named = STATE.sub("", " ".join(v for k, v in attrs if v and k in ("class", "id", "role")))
+        if tag in HELD:
+            k = self._held(out, False, True)
+            if tag != "form":
+                self._dialogs.add(k)
+            return k
+        named = " ".join(v for k, v in attrs if v and k in ("class", "id", "role"))
+        named = ARTICLE_HEAD.sub("", STATE.sub("", named))
         if tag == "article":
             return -1 if COMMENT.search(named) else out
-        short = inside == 2 or inside and tag in ("header", "h1", "h2", "h3", "h4", "h5", "h6", "p", "span")
+        short = inside == 2 or tag in HEADINGS or inside and tag in ("header", "p", "span")
         if not (NAMED_INSIDE if short else NAMED).search(named):
             return out
-        self._named.append((out, COMMENTS.search(named) is not None))
+        comments = COMMENTS.search(named) is not None
+        return self._held(out, comments, not comments and not NAMED_INSIDE.search(named))
+
+    def _held(self, out: int, comments: bool, page: bool) -> int:
+        self._named.append((out, comments, page))
         self._wraps.append(0)
         return len(self._named) - 1
 
     def _wrapped(self, named: int, by: int) -> None:
-        """The named elements around an article (or a body or main) stay."""
-        while named > 0 and self._wraps[named] < by:
+        """The named elements around an article (or a body or main) stay, but not
+        dialogs and what stands around them."""
+        while named > 0 and self._wraps[named] < by and named not in self._dialogs:
             self._wraps[named] = by
             named = self._named[named][0]
 
     def handle_starttag(self, tag, attrs):
         self._tags += 1
         if tag == "br":
-            self._parts.append(("\n", 0))
+            self._parts.append(("\n", 0, False))
             return
         if tag in BLOCKS:
             self.finish()
@@ -201,7 +246,7 @@ class Lines(HTMLParser):
 
     def handle_data(self, data):
         if self._open[-1][1] >= 0:
-            self._parts.append((data, self._open[-1][1]))
+            self._parts.append((data, self._open[-1][1], self._count["a"] > 0))
 
 
 def smoothed(ratios: np.ndarray, radius: int = 2, sigma: float = 1.0) -> np.ndarray:
@@ -211,6 +256,29 @@ def smoothed(ratios: np.ndarray, radius: int = 2, sigma: float = 1.0) -> np.ndar
     return np.convolve(ratios, kernel, "full")[radius : radius + len(ratios)] / weight
 
 
+def clustered(sizes: list[int], tags: list[int]) -> tuple[np.ndarray, float]:
+    """Which lines are content by their smoothed text-to-tag ratios, and the threshold."""
+    ratios = smoothed(np.array(sizes, dtype=float) / np.maximum(1, np.array(tags)))
+    limit = float(ratios.std())
+    return ratios >= limit, limit
+
+
+def without_link_lists(lines: list[tuple[str, int, int, bool]], content: np.ndarray, limit: float) -> list[bool]:
+    """False for the lines of link lists (two links or more in a row) and rights notes,
+    of a ratio below ``limit``, that stand before or behind the other content lines."""
+    low = [len(text) < limit * max(1, n) for text, n, *_ in lines]
+    links = [line[3] and thin for line, thin in zip(lines, low)]
+    rights = [thin and RIGHTS.match(line[0]) is not None for line, thin in zip(lines, low)]
+    text = [k for k in range(len(lines)) if content[k] and not links[k] and not rights[k]]
+    if not text:
+        return [True] * len(lines)
+    out = []
+    for k in range(len(lines)):
+        listed = links[k] and (k > 0 and links[k - 1] or k + 1 < len(lines) and links[k + 1])
+        out.append(text[0] < k < text[-1] or not (listed or rights[k]))
+    return out
+
+
 def main_text(html: str) -> str:
     """The article's blocks, joined by an empty line."""
     page = Lines()
@@ -218,16 +286,15 @@ def main_text(html: str) -> str:
     lines, containers = page.lines, page.containers
     if not lines:
         return ""
-    sizes = np.array([len(t) for t, _, _ in lines], dtype=float)
-    ratios = smoothed(sizes / np.array([max(1, n) for _, n, _ in lines]))
-    content = ratios >= ratios.std()
-    mass = [0.0] * len(containers)
-    for (_, _, c), size, chosen in zip(lines, sizes, content):
-        mass[c] += size * chosen
+    content, limit = clustered([len(t) for t, *_ in lines], [n for _, n, *_ in lines])
+    mass = [0] * len(containers)
+    for (text, _, c, _), chosen in zip(lines, content):
+        mass[c] += len(text) * bool(chosen)
     for c in range(len(containers) - 1, 0, -1):  # a container's parent has a smaller number
         mass[containers[c][0]] += mass[c]
     total = mass[0]
     wide: set[int] = set()
+    stays = [True] * len(lines)
     for tag in ("article", "main"):
         inner = [False] * len(containers)
         for k, (parent, _) in enumerate(containers):
@@ -237,12 +304,13 @@ def main_text(html: str) -> str:
             wide.update(found)
             break
     else:
+        stays = without_link_lists(lines, content, limit)
         # The innermost container with all of the content; later ones are deeper.
         wide.add(max(k for k in range(len(mass)) if mass[k] == total and containers[k][1] not in PARTS))
     within = [k in wide for k in range(len(containers))]
     for k, (parent, _) in enumerate(containers):
         within[k] = within[k] or k > 0 and within[parent]
-    kept = [text for text, _, c in lines if within[c]]
+    kept = [line[0] for line, stay in zip(lines, stays) if stay and within[line[2]]]
     return "\n\n".join(kept)
 
 

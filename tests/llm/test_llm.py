@@ -517,6 +517,48 @@ def test_html_article_over_several_containers():
     assert html_text.main_text(f"<body><blockquote>{b}</blockquote><p>short</p></body>").endswith("short")
 
 
+def test_html_wrappers_without_an_article():
+    """Elements that are mostly no article, around the text of a page that has no ``article``."""
+    text = "Words of a long paragraph that goes on and on until it has a good length. " * 4
+    kept = text.strip()
+    body = f"<h1>Title</h1><p>{text}</p><p>{text}</p>"
+    whole = f"Title\n\n{kept}\n\n{kept}"
+    side = "<div class='sidebar'>Short words of a side</div>"
+    for start in ("form", "dialog open", "noscript", "div class='side-by-side'", "div class='header-fixed'", "section class='search-result'", "div id='form'"):
+        end = start.split()[0]
+        assert html_text.main_text(f"<body><{start}><div>{body}</div></{end}>{side}</body>") == whole, start
+        assert html_text.main_text(f"<body><{start}><div><div class='menu'>{body}</div>{side}</div></{end}></body>") == whole, start
+        if "class" not in start:
+            assert html_text.main_text(f"<body><{start}><article>{body}</article></{end}>{side}</body>") == whole, start
+    # Beside an article they go, a dialog with an article of its own and reader comments too.
+    for more in (f"<form>{text}</form>", f"<dialog><article>{text * 2}</article></dialog>", f"<noscript>{text * 9}</noscript>", f"<div class='search'>{text * 9}</div>"):
+        assert html_text.main_text(f"<body><article>{body}</article>{more}</body>") == whole, more[:9]
+    for name in ("comments", "ad", "promo"):
+        assert html_text.main_text(f"<body><div>{body}</div><div class='{name}'>{text * 9}</div></body>") == whole, name
+    # Heads of an article; names of its sections and paragraphs; formulas.
+    for head in ("<h1 class='header'>Title</h1>", "<div class='post-header'><h1>Title</h1></div>"):
+        assert html_text.main_text(f"<body><div>{head}<p>{text}</p><p>{text}</p></div></body>") == whole, head
+    page = f"<article>{body}<section id='cookies'><p>{text}</p></section><p class='cookie'>a <math><mi>x</mi></math></p><div class='cookie-notice'>n</div></article>"
+    assert html_text.main_text(page) == f"{whole}\n\n{kept}\n\na x"
+
+
+def test_html_link_lists_without_a_name():
+    text = "Words of a long paragraph that goes on and on until it has a good length. " * 4
+    kept = text.strip()
+    menu = "<ul><li><a href='/'>Home</a></li><li><a href='/a'>About</a></li><li><a href='/c'>Contact us</a></li></ul>"
+    body = f"<h1><a href='/t'>Title</a></h1><p>{text}</p>{menu}<p>{text}</p><p>The end.</p>"
+    lists = "Home\n\nAbout\n\nContact us"
+    whole = f"Title\n\n{kept}\n\n{lists}\n\n{kept}\n\nThe end."
+    assert html_text.main_text(f"<body>{menu}{body}{menu}<p>Copyright 2020 by us</p></body>") == whole
+    assert html_text.main_text(f"<body><div>{menu}</div><div>{body}</div><div>{menu}</div></body>") == whole
+    # An article says itself what it holds; a page of links alone stays.
+    assert html_text.main_text(f"<body><article>{body}{menu}</article></body>") == f"{whole}\n\n{lists}"
+    assert html_text.main_text(f"<body>{menu}</body>") == lists
+    # Long titles of links are text by their ratio.
+    refs = "".join(f"<li><a href='{k}'>{text}</a></li>" for k in range(2))
+    assert html_text.main_text(f"<body>{body}<ul>{refs}</ul></body>") == f"{whole}\n\n{kept}\n\n{kept}"
+
+
 def test_html_names_of_wrappers_and_sections():
     text = "long enough words " * 20
     kept = text.strip()
