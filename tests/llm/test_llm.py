@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import io
 import json
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -142,6 +145,47 @@ def test_warc_round_trip(spark):
     assert found == expected
 
 
+def test_hnsw_graph_beside_a_long_vector():
+    """One vector of a large norm does not spoil the links of the others."""
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(1500, 32)).astype(np.float32)
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    plain = hnsw.build(vectors, np.arange(1500), 12, 48)[1][0]
+    for norm in (300, 5000, 100000):
+        vectors[7] *= norm / np.linalg.norm(vectors[7])
+        links = hnsw.build(vectors, np.arange(1500), 12, 48)[1][0]
+        shared = [len(set(a[a >= 0]) & set(b[b >= 0])) / max(1, (a >= 0).sum()) for k, (a, b) in enumerate(zip(plain, links)) if k != 7]
+        assert np.mean(shared) > 0.9, (norm, np.mean(shared))
+
+
+def test_warc_fields_and_addresses(spark):
+    same = "the same page " * 20
+    rows = [(4, "https://a.example/x y\r\nz?q=é", same), (6, None, same), (8, " ", "x" * 5000), (None, "https://b.example/", same)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    uris = {4: "https://a.example/x%20y%0D%0Az?q=%C3%A9", 6: "urn:page:6", 8: "urn:page:8", None: "https://b.example/"}
+    ids = set()
+    for _ in range(2):
+        folder = shared_folder(spark, "warc-test")
+        warc.write_archives(pages, folder, segment_bytes=1000)
+        assert {r.page_id: r.uri for r in warc.read_archives(spark, folder).collect()} == uris
+        for row in spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).collect():
+            for fields, _ in warc.parse(io.BytesIO(gzip.decompress(row.content))):
+                assert {"warc-type", "warc-record-id", "warc-date", "content-length"} <= set(fields)
+                assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", fields["warc-date"])
+                assert re.fullmatch(r"<urn:uuid:[0-9a-f-]{36}>", fields["warc-record-id"]) and fields["warc-record-id"] not in ids
+                ids.add(fields["warc-record-id"])
+                if fields["warc-type"] == "revisit":
+                    assert fields["warc-refers-to-target-uri"] == uris[4] and fields["refers-to-page-id"] == "4"
+    assert len(ids) == 2 * (3 + 6)
+    # An empty table, and one without addresses.
+    folder = shared_folder(spark, "warc-test")
+    warc.write_archives(pages.limit(0), folder)
+    assert warc.read_archives(spark, folder).count() == 0
+    folder = shared_folder(spark, "warc-test")
+    warc.write_archives(pages.drop("url"), folder)
+    assert {r.uri for r in warc.read_archives(spark, folder).collect()} == {"urn:page:4", "urn:page:6", "urn:page:8", "urn:page:"}
+
+
 def test_warc_broken_input():
     assert warc.unchunked(warc.chunked(b"abc" * 100, 7)) == b"abc" * 100
     assert warc.unchunked(b"3;x=1\r\nabc\r\n0\r\nT: 1\r\n\r\n") == b"abc"
