@@ -1,15 +1,18 @@
 """Connected components of payment edges (G1), distributed.
 
-Node names become bigint ids once (written, so they stay fixed), the rounds run
-on ids (``operators.components``), and names come back at the end. Only the two
-node columns and the order column feed the graph; the rows themselves, however
-wide, meet one join with the finished (node, label) table, a written table, so
-that the skew-join can split a busy node.
+A node's bigint id is a hash of its name, so edges need no join to get ids. That no
+two names share an id is checked; if two do, the next of the hashes is taken. The
+components are found on ids (``operators.components``), and names come back at the
+end. Only the two node columns and the order column feed the graph; the rows
+themselves, however wide, meet one join with the finished (node, label) table, a
+written table, so that the skew-join can split a busy node.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from itertools import count
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acctflow.operators.components import bigint_components
@@ -18,6 +21,16 @@ from acctflow.operators.skew import join_by_key
 from acctflow.session import materialize, release
 
 
+def node_id(name: Column, salt: int) -> Column:
+    """A bigint for a node's name, by the hash numbered ``salt``."""
+    return F.xxhash64(F.lit(salt), name)
+
+
+def ids_differ(names: DataFrame, salt: int) -> bool:
+    """Whether all ``n`` (different names) have different ids."""
+    return names.groupBy(node_id(F.col("n"), salt).alias("id")).count().where("count > 1").isEmpty()
+
+
 def with_components(
     rows: DataFrame,
     src: str = "ORIG",
@@ -50,19 +63,15 @@ def with_components(
         ends = sources.select(F.col("s").alias("n"), F.col("o"), F.lit(True).alias("is_src")).unionByName(
             sources.where(F.col("d").isNotNull()).select(F.col("d").alias("n"), no_order.alias("o"), F.lit(False).alias("is_src"))
         )
-        ids = kept(
-            ends.groupBy("n").agg(F.min("o").alias("first"), F.max("is_src").alias("is_src"))
-            .withColumn("id", F.monotonically_increasing_id()),
-            "cc-nodes",
-        )
-        edges = (
-            sources.where(F.col("d").isNotNull() & (F.col("s") != F.col("d")))
-            .join(ids.select(F.col("n").alias("s"), F.col("id").alias("u")), "s")
-            .join(ids.select(F.col("n").alias("d"), F.col("id").alias("v")), "d")
-        )
+        names = kept(ends.groupBy("n").agg(F.min("o").alias("first"), F.max("is_src").alias("is_src")), "cc-nodes")
+        salt = next(k for k in count() if ids_differ(names, k))
+        kind = names.schema["n"].dataType
+        u, v = (node_id(F.col(c).cast(kind), salt).alias(to) for c, to in (("s", "u"), ("d", "v")))
+        edges = sources.where(F.col("d").isNotNull() & (F.col("s") != F.col("d"))).select(u, v)
         roots = bigint_components(edges)
         scratch.append(roots)
-        named = ids.where("is_src").join(roots.withColumnRenamed("node", "id"), "id", "left").select(
+        ids = names.where("is_src").withColumn("id", node_id(F.col("n"), salt))
+        named = ids.join(roots.withColumnRenamed("node", "id").hint("merge"), "id", "left").select(
             F.col("n").alias("s"), "first", F.coalesce("root", "id").alias("root")
         )
         named = kept(named, "cc-named")
