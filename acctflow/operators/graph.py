@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from acctflow.operators.components import bigint_components
 from acctflow.operators.ranking import ordinal
-from acctflow.operators.skew import join_by_key
+from acctflow.operators.skew import join_by_key, unless_small
 from acctflow.session import materialize, release
 
 
@@ -78,7 +78,7 @@ def with_components(
         comps = named.groupBy("root").agg(F.min("first").alias("first"), F.min("s").alias("first_node"))
         numbered = ordinal(comps, ["first", "first_node"], "k")
         scratch.append(numbered)
-        labels = named.join(numbered.select("root", F.concat(F.lit(prefix), F.col("k").cast("string")).alias(name)), "root")
+        labels = named.join(unless_small(numbered).select("root", F.concat(F.lit(prefix), F.col("k").cast("string")).alias(name)), "root")
         labelled = join_by_key(rows.withColumn("__node", node(src)), labels.select(F.col("s").alias("__node"), name), ["__node"])
         return labelled.drop("__node")
     finally:

@@ -1,4 +1,4 @@
-"""Components in levels and ids by hash."""
+"""Components in levels, ids by hash, and what the driver holds."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from acctflow.operators import components, graph
+from acctflow.operators import components, graph, skew
 
 
 def _roots(pairs):
@@ -58,3 +58,12 @@ def test_names_that_share_a_hash_stay_apart(spark, monkeypatch):
     out = graph.with_components(spark.createDataFrame(rows, "REF_ID long, ORIG string, BENEF string"))
     got = {r.REF_ID: r.Group for r in out.collect()}
     assert max(asked) == 2 and len(set(got.values())) == 20 and got[3] == got[4] == got[50]
+
+
+def test_a_long_summary_is_not_collected_for_a_broadcast(spark):
+    rows = spark.range(40_000).withColumn("k", F.col("id") % 30_000)
+    for n, joined_by in ((30_000, "SortMergeJoin"), (50, "BroadcastHashJoin")):
+        per_key = spark.range(n).select(F.col("id").alias("k"), F.lit("x").alias("label"))
+        out = skew.join_by_key(rows, per_key, ["k"])
+        assert joined_by in out._jdf.queryExecution().executedPlan().toString()
+        assert out.where("label IS NOT NULL").count() == sum(1 for i in range(40_000) if i % 30_000 < n)
