@@ -44,8 +44,8 @@ from pyspark.sql import functions as F
 
 from acctflow.session import materialize, release
 
-#: Edges that a task contracts at a time (about 100 MB).
-CHUNK = 1 << 20
+#: Edges that a task contracts at a time (about 20 MB).
+CHUNK = 1 << 18
 
 #: A level that keeps a larger share of its nodes is the last one.
 SLOW = 0.8

@@ -1,9 +1,11 @@
-"""Components in levels, ids by hash, and what the driver holds."""
+"""Components in levels, ids by hash, and what the tasks and the driver hold."""
 
 from __future__ import annotations
 
 import random
+import tracemalloc
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,6 +62,17 @@ def test_names_that_share_a_hash_stay_apart(spark, monkeypatch):
     assert max(asked) == 2 and len(set(got.values())) == 20 and got[3] == got[4] == got[50]
 
 
+def test_a_task_contracts_in_little_memory():
+    rng = np.random.default_rng(1)
+    sides = [rng.integers(0, 1 << 62, components.CHUNK) for _ in range(2)]
+    tracemalloc.start()
+    try:
+        components.smallest_reached(*sides)
+        assert tracemalloc.get_traced_memory()[1] < 40e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_a_long_summary_is_not_collected_for_a_broadcast(spark):
     rows = spark.range(40_000).withColumn("k", F.col("id") % 30_000)
     for n, joined_by in ((30_000, "SortMergeJoin"), (50, "BroadcastHashJoin")):
