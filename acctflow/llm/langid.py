@@ -29,6 +29,7 @@ import re
 import uuid
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -101,13 +102,16 @@ class Model:
         if not words:
             return np.zeros((0, len(self.langs))), np.zeros(0)
         _, points, at, owner = framed(words)
+        # A character's probability is that of its n-gram of the highest order: each of those is looked up once.
+        _, first, which = np.unique(gram_hashes(points, at, ORDER, GRAM), return_index=True, return_inverse=True)
+        at = at[first]
         p = np.full((len(at), len(self.langs)), 1.0 / ALPHABET)
         for size in range(1, ORDER + 1):
             weight = self.look_up(gram_hashes(points, at - 1, size - 1, CONTEXT), 1.0)
             p = self.look_up(gram_hashes(points, at, size, GRAM), 0.0) + weight * p
         cost = -np.log(p)
         n = len(words)
-        sums = np.stack([np.bincount(owner, cost[:, k], n) for k in range(len(self.langs))], axis=1)
+        sums = np.stack([np.bincount(owner, cost[which, k], n) for k in range(len(self.langs))], axis=1)
         return sums, np.bincount(owner, minlength=n).astype(float)
 
 
@@ -123,11 +127,9 @@ class Scorer:
         if len(self.rows) + len(chunks) > self.size:
             self.rows, self.costs = {}, self.costs[:0]
         new = [c for c in chunks if c not in self.rows]
-        words, owner = [], []
-        for i, c in enumerate(new):
-            for w in words_of(c):
-                words.append(w)
-                owner.append(i)
+        split = [words_of(c) for c in new]
+        words = list(chain.from_iterable(split))
+        owner = np.repeat(np.arange(len(new)), [len(w) for w in split])
         both = np.zeros((len(words), len(self.model.langs) + 1))
         for lo in range(0, len(words), self.block):
             costs, n = self.model.word_costs(words[lo : lo + self.block])
@@ -136,14 +138,14 @@ class Scorer:
             np.zeros((len(new), both.shape[1]))
         )
         base = len(self.rows)
-        self.rows.update((c, base + i) for i, c in enumerate(new))
+        self.rows.update(zip(new, range(base, base + len(new))))
         self.costs = np.concatenate([self.costs, added])
 
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropies per character (a column per language) and numbers of
         predicted characters; 0 characters where a text has no letter."""
         split = [t.lower().split() for t in texts]
-        wanted = {c for s in split for c in s}
+        wanted = set().union(*split)
         if not wanted <= self.rows.keys():
             self._learn(wanted if len(self.rows) + len(wanted) > self.size else wanted - self.rows.keys())
         get = self.rows.__getitem__
