@@ -625,7 +625,7 @@ def test_html_names_of_wrappers_and_sections():
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("pages", "conversations"):
+    for t in ("pages", "conversations", "documents", "embeddings", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     expected = con.sql(queries.ORACLE_SQL[name])
     out = queries.QUERIES[name](spark, SF)
